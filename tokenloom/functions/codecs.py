@@ -162,10 +162,11 @@ def flatten_frames(matrix: Column) -> Column:
 def unflatten_frames(ids: Column, n_codebooks: int) -> Column:
     """Inverse of :func:`flatten_frames`; the length must be a multiple of ``n_codebooks``."""
     whole = F.size(ids) % n_codebooks == 0
-    rows = F.array(
-        *[F.filter(ids, lambda _, i, k=k: i % n_codebooks == k) for k in range(n_codebooks)]
-    )
-    return F.when(whole, rows)
+
+    def layer(k: int) -> Column:
+        return F.filter(ids, lambda _, i: i % n_codebooks == k)
+
+    return F.when(whole, F.array(*[layer(k) for k in range(n_codebooks)]))
 
 
 def codes_to_ids(matrix: Column, opts: CodecOptions) -> Column:

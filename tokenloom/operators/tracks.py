@@ -43,10 +43,11 @@ def extract_tracks(
         per_span = F.transform(
             F.col("__spans"), lambda span: ids_to_codes(S.deinterleave(span, t), opts)
         )
-        rows = [
-            F.flatten(F.transform(per_span, lambda m, k=k: F.get(m, F.lit(k)))) for k in range(opts.n_quantizer)
-        ]
-        return F.array(*rows)
+
+        def layer(k: int) -> Column:
+            return F.flatten(F.transform(per_span, lambda m: F.get(m, F.lit(k))))
+
+        return F.array(*[layer(k) for k in range(opts.n_quantizer)])
 
     return (
         out.withColumn("vocals", F.when(paired, track(0)))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,7 @@ def local_session(cpus: int | str = "*", app: str = "tokenloom", **conf: str) ->
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
@@ -41,3 +44,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="tokenloom-")
         scratch_path._local_root = root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers when it is not installed there (the
+    same as submitting it with ``--py-files``). Done once per Spark application."""
+    sc = spark.sparkContext
+    if ship_package.__dict__.get("app") == sc.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tokenloom-ship-")) / "tokenloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    ship_package.app = sc.applicationId

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.sequences import sub_sequence
 from ..operators.order import dense_index, prefix_sums
@@ -42,11 +43,15 @@ def write_sequences(
     stored.hint("rebalance", dataset).write.mode(mode).partitionBy(dataset).parquet(path)
 
 
-def read_sequences(spark: SparkSession, path: str, datasets: Sequence[str] | None = None) -> DataFrame:
+def read_sequences(
+    spark: SparkSession, path: str, datasets: Sequence[str] | None = None, dataset: str = "dataset"
+) -> DataFrame:
     """Open a store; a dataset list prunes partitions."""
-    df = spark.read.option("partitionOverwriteMode", "dynamic").parquet(path)
-    df = df.withColumn("dataset", F.col("dataset").cast("string"))
-    return df if datasets is None else df.where(F.col("dataset").isin(list(datasets)))
+    found = spark.read.parquet(path).schema
+    # Dataset names are text even when they look like numbers.
+    fixed = T.StructType([T.StructField(f.name, T.StringType() if f.name == dataset else f.dataType) for f in found])
+    df = spark.read.schema(fixed).parquet(path)
+    return df if datasets is None else df.where(F.col(dataset).isin(list(datasets)))
 
 
 def take_sequences(
