@@ -587,35 +587,38 @@ def f32(spark, sf):
     return counts.select("path", text.alias("text"), F.round(MX.parse_billions(text) / 1e9, 3).alias("parsed"))
 
 
-_CDF = (
-    "grid as (select i, 20 + i * 20 / 99.0::double as x, exp(-pow(20 + i * 20 / 99.0::double - 30, 2) / 6.0::double) as p from"
-    " range(100) as r(i)), cdf as (select i, x, sum(p) over (order by i) / (select sum(p) from grid) as c from grid),"
-    " u as (select doc_id, {h} / 1152921504606846976.0::double as u from documents),"
-    " drawn as (select doc_id, u, (select count(*) from cdf where c <= u) as i from u)"
-)
+def _cdf(name: str, low: int, high: int) -> str:
+    """Grid, cumulative probabilities and one draw per document for a prompt length range."""
+    x = f"{low} + i * {high - low} / 99.0::double"
+    return (
+        f"{name}grid as (select i, {x} as x, exp(-pow({x} - 30, 2) / 6.0::double) as p from range(100) as r(i)),"
+        f" {name}cdf as (select i, x, sum(p) over (order by i) / (select sum(p) from {name}grid) as c from {name}grid),"
+        f" {name}drawn as (select doc_id, u, (select count(*) from {name}cdf where c <= u) as i from"
+        f" (select doc_id, {_H.format("'7length:' || doc_id")} / 1152921504606846976.0::double as u from documents)),"
+        f" {name}len as (select a.doc_id, round(case when a.i = 0 then {low}.0 when a.i >= 100 then {high}.0"
+        " else lo.x + (hi.x - lo.x) * (a.u - lo.c) / (hi.c - lo.c) end, 6) as seconds"
+        f" from {name}drawn a left join {name}cdf lo on lo.i = a.i - 1 left join {name}cdf hi on hi.i = a.i)"
+    )
 
 
 @query(
     "a22_prompt_length",
-    "with "
-    + _CDF.format(h=_H.format("'7length:' || doc_id"))
-    + " select a.doc_id, round(case when a.i = 0 then 20.0 when a.i >= 100 then 40.0 else lo.x + (hi.x - lo.x) * (a.u - lo.c) / (hi.c - lo.c) end, 6)"
-    " as seconds, true as short_is_five from drawn a left join cdf lo on lo.i = a.i - 1 left join cdf hi on hi.i = a.i",
+    f"with {_cdf('l', 20, 40)}, {_cdf('s', 1, 5)} select doc_id, llen.seconds as long_seconds, slen.seconds as short_seconds"
+    " from llen join slen using (doc_id)",
 )
 def a22(spark, sf):
     u = T.hash_uniform(7, F.col("doc_id"), salt="length")
-    short = sample_length(u, 5.0)
     return X.documents(spark, sf).select(
-        "doc_id", F.round(sample_length(u, 30.0), 6).alias("seconds"), (F.abs(short - 5.0) < 0.2).alias("short_is_five")
+        "doc_id",
+        F.round(sample_length(u, 30.0), 6).alias("long_seconds"),
+        F.round(sample_length(u, 5.0), 6).alias("short_seconds"),
     )
 
 
 @query(
     "w05_length_cdf",
-    "with "
-    + _CDF.format(h=_H.format("'7length:' || doc_id"))
-    + ", filled as (select cdf.i, round(c, 9) as cdf, count(drawn.doc_id) as n_draws from cdf left join drawn on drawn.i = cdf.i group by all)"
-    " select * from filled",
+    f"with {_cdf('l', 20, 40)} select lcdf.i, round(c, 9) as cdf, count(ldrawn.doc_id) as n_draws from lcdf"
+    " left join ldrawn on ldrawn.i = lcdf.i group by all",
 )
 def w05(spark, sf):
     _, cdf = length_distribution(30.0)

@@ -121,3 +121,11 @@ def with_progress(df: DataFrame, n_bytes: Column, name: str = "progress") -> tup
         df.observe(seen, F.count(F.lit(1)).alias("n_docs"), F.sum(n_bytes).cast("bigint").alias("n_bytes")),
         seen,
     )
+
+
+def data_with_index(files: DataFrame, path: str = "path") -> DataFrame:
+    """Paths of ``.bin`` files that have an ``.idx`` of the same stem; others are ignored."""
+    stem = without_extension(F.col(path))
+    data = files.where(F.col(path).endswith(".bin")).withColumn("__stem", stem)
+    index = files.where(F.col(path).endswith(".idx")).select(stem.alias("__stem"))
+    return data.join(index, "__stem", "left_semi").drop("__stem")
