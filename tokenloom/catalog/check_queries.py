@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codecs as C
 from ..functions import sequences as S
+from ..functions.binding import let, let_all
 from ..operators import mapping as MP
 from ..operators import mixture as MX
 from ..operators import tracks as TR
@@ -223,22 +224,29 @@ def streams(spark, sf):
     trimmed, far = V.reconcile_stems(X.songs(spark, sf), "vocals_codec_matrix", "instrumental_codec_matrix")
     good = trimmed.where(~far & (F.col("__frames") > 0))
 
-    def span(s):
+    def span(s, v, u):
         cut = [
-            C.codes_to_ids(C.slice_frames(F.col(m), s["codec_frame_start"], s["codec_frame_end"]), X.ONE)
-            for m in ("vocals_codec_matrix", "instrumental_codec_matrix")
+            C.codes_to_ids(C.slice_frames(m, s["codec_frame_start"], s["codec_frame_end"]), X.ONE) for m in (v, u)
         ]
-        ids = S.interleave(*cut)
-        ids = F.when((F.col("doc_id") % 5 == 1) & (F.size(ids) > 2), F.slice(ids, F.lit(1), F.size(ids) - 1)).otherwise(ids)
+        short = (F.col("doc_id") % 5 == 1) & (s["codec_frame_end"] - s["codec_frame_start"] > 1)
+        ids = let(S.interleave(*cut), lambda x: F.when(short, F.slice(x, F.lit(1), F.size(x) - 1)).otherwise(x))
         return F.concat(C.int_array([7, 8]), S.wrap_audio(ids, X.ONE))
 
-    inside = F.filter(
-        "segments",
-        lambda s: (s["codec_frame_end"] > s["codec_frame_start"]) & (s["codec_frame_end"] <= F.col("__frames")),
+    inside = let(
+        F.col("__frames"),
+        lambda n: F.filter(
+            "segments", lambda s: (s["codec_frame_end"] > s["codec_frame_start"]) & (s["codec_frame_end"] <= n)
+        ),
     )
-    whole = F.flatten(F.transform(inside, span))
-    cut = F.when((F.col("doc_id") % 13 == 7) & (F.size(whole) > 0), F.slice(whole, F.lit(1), F.size(whole) - 1)).otherwise(whole)
-    return good.select("doc_id", inside.alias("used"), cut.alias("ids")).where(F.size("used") > 0)
+    spans = let_all(
+        lambda used, v, u: F.transform(used, lambda s: span(s, v, u)),
+        used=F.col("used"),
+        v=F.col("vocals_codec_matrix"),
+        u=F.col("instrumental_codec_matrix"),
+    )
+    broken = F.col("doc_id") % 13 == 7
+    cut = let(F.flatten(spans), lambda x: F.when(broken, F.slice(x, F.lit(1), F.size(x) - 1)).otherwise(x))
+    return good.withColumn("used", inside).where(F.size("used") > 0).select("doc_id", cut.alias("ids"))
 
 
 STREAM_CTES = (

@@ -16,6 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.codecs import CodecOptions
 from ..functions.text import MARKERS
 from ..operators.order import dense_index
@@ -27,7 +28,11 @@ FIRST_LAYERS = CodecOptions("xcodec", 0, 4)  # the same matrices in a codec with
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    """A driver table. One that comes in fewer files than there are cores is spread by its first
+    column, so that all cores get work; a table of many files is read as it is."""
+    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, df.columns[0])
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,17 +79,19 @@ def songs(spark: SparkSession, sf: str) -> DataFrame:
     )
     d = d.withColumn("lines", lines).withColumn("n", F.size("w"))
 
-    def begin(i: Column) -> Column:
-        return F.aggregate(F.slice("lines", F.lit(1), i), F.lit(0), lambda a, x: a + x["n"])
+    def begin(all_lines: Column, i: Column) -> Column:
+        return F.aggregate(F.slice(all_lines, F.lit(1), i), F.lit(0), lambda a, x: a + x["n"])
 
-    segments = F.transform(
-        F.transform("lines", lambda x, i: F.struct(x["t"].alias("t"), x["n"].alias("n"), begin(i).alias("b"))),
-        lambda x: F.struct(
+    def segment(x: Column, b: Column) -> Column:
+        return F.struct(
             x["t"].alias("line_content"),
             (x["n"] / F.lit(50.0)).alias("duration"),
-            x["b"].alias("codec_frame_start"),
-            (x["b"] + x["n"]).alias("codec_frame_end"),
-        ),
+            b.alias("codec_frame_start"),
+            (b + x["n"]).alias("codec_frame_end"),
+        )
+
+    segments = let(
+        F.col("lines"), lambda ls: F.transform(ls, lambda x, i: let(begin(ls, i), lambda b: segment(x, b)))
     )
     code = lambda a, b: (lambda x, t: (F.length(x) * a + t * b) % 1024)
     kept = F.greatest(F.col("n") - (F.col("doc_id") % 14).cast("int"), F.lit(0))

@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # ---- fixed values: vocabulary layout -------------------------------------------------------
 SPECIAL_TOKENS = {
     "<EOD>": 32000,
@@ -150,39 +152,50 @@ def unoffset_codes(ids: Column, opts: CodecOptions) -> Column:
 
 def flatten_frames(matrix: Column) -> Column:
     """K x T matrix to one list, frame by frame (all codebooks of frame 0, then frame 1, ...)."""
-    k = F.size(matrix)
-    total = k * n_frames(matrix)
-    flat = F.transform(
-        F.sequence(F.lit(0), total - 1),
-        lambda i: F.get(F.get(matrix, F.pmod(i, k)), F.floor(i / k).cast("int")),
-    )
-    return F.when(total > 0, flat).otherwise(F.array().cast("array<int>"))
+
+    def flat(m: Column) -> Column:
+        k = F.size(m)
+        total = k * n_frames(m)
+        ids = F.transform(
+            F.sequence(F.lit(0), total - 1),
+            lambda i: F.get(F.get(m, F.pmod(i, k)), F.floor(i / k).cast("int")),
+        )
+        return F.when(total > 0, ids).otherwise(F.array().cast("array<int>"))
+
+    return let(matrix, flat)
 
 
 def unflatten_frames(ids: Column, n_codebooks: int) -> Column:
     """Inverse of :func:`flatten_frames`; the length must be a multiple of ``n_codebooks``."""
-    whole = F.size(ids) % n_codebooks == 0
 
-    def layer(k: int) -> Column:
-        return F.filter(ids, lambda _, i: i % n_codebooks == k)
+    def rows(x: Column) -> Column:
+        def layer(k: int) -> Column:
+            return F.filter(x, lambda _, i: i % n_codebooks == k)
+
+        whole = F.size(x) % n_codebooks == 0
+        return F.when(whole, F.array(*[layer(k) for k in range(n_codebooks)]))
 
-    return F.when(whole, F.array(*[layer(k) for k in range(n_codebooks)]))
+    return let(ids, rows)
 
 
 def codes_to_ids(matrix: Column, opts: CodecOptions) -> Column:
     """Offset and flatten in one pass over the matrix."""
     bases = int_array(opts.bases)
     n = opts.n_quantizer
-    total = n_frames(matrix) * n
     if n == 1:
         row = F.get(matrix, F.lit(opts.quantizer_begin))
         return F.transform(row, lambda x: x + F.lit(opts.bases[0]))
-    ids = F.transform(
-        F.sequence(F.lit(0), total - 1),
-        lambda i: F.get(F.get(matrix, i % n + opts.quantizer_begin), F.floor(i / n).cast("int"))
-        + F.get(bases, i % n),
-    )
-    return F.when(total > 0, ids).otherwise(F.array().cast("array<int>"))
+
+    def flat(m: Column) -> Column:
+        total = n_frames(m) * n
+        ids = F.transform(
+            F.sequence(F.lit(0), total - 1),
+            lambda i: F.get(F.get(m, i % n + opts.quantizer_begin), F.floor(i / n).cast("int"))
+            + F.get(bases, i % n),
+        )
+        return F.when(total > 0, ids).otherwise(F.array().cast("array<int>"))
+
+    return let(matrix, flat)
 
 
 def starts_in_first_codebook(ids: Column, opts: CodecOptions) -> Column:
@@ -196,9 +209,12 @@ def starts_in_first_codebook(ids: Column, opts: CodecOptions) -> Column:
 def ids_to_codes(ids: Column, opts: CodecOptions) -> Column:
     """Flat ids back to a K x T code matrix; null when the list does not start at codebook 0
     or is not a whole number of frames."""
-    return F.when(
-        starts_in_first_codebook(ids, opts),
-        unoffset_codes(unflatten_frames(ids, opts.n_quantizer), opts),
+    return let(
+        ids,
+        lambda x: F.when(
+            starts_in_first_codebook(x, opts),
+            unoffset_codes(unflatten_frames(x, opts.n_quantizer), opts),
+        ),
     )
 
 
@@ -214,6 +230,10 @@ def detect_codec(low: Column, high: Column) -> Column:
 
 def codes_problem(matrix: Column, opts: CodecOptions) -> Column:
     """Why a raw code matrix is unusable, or null when it is fine."""
+    return let(matrix, lambda m: _codes_problem(m, opts))
+
+
+def _codes_problem(matrix: Column, opts: CodecOptions) -> Column:
     spec = opts.spec
     k = F.size(matrix)
     sizes = int_array(spec.sizes)
@@ -227,8 +247,7 @@ def codes_problem(matrix: Column, opts: CodecOptions) -> Column:
         lambda b: b,
     )
     ragged = F.exists(matrix, lambda row: F.size(row) != n_frames(matrix))
-    ids = codes_to_ids(matrix, opts)
-    found = detect_codec(F.array_min(ids), F.array_max(ids))
+    found = let(codes_to_ids(matrix, opts), lambda ids: detect_codec(F.array_min(ids), F.array_max(ids)))
     return (
         F.when(matrix.isNull() | (F.coalesce(k, F.lit(0)) <= 0) | (n_frames(matrix) <= 0), "empty_codes")
         .when(~k.isin(spec.num_codebooks, opts.n_quantizer), "codebook_count")
@@ -251,9 +270,13 @@ def slice_frames(matrix: Column, start: Column, end: Column) -> Column:
 
 def window_codes(matrix: Column, frames: int) -> Column:
     """Consecutive windows of ``frames`` frames; the incomplete tail is dropped."""
-    count = F.floor(n_frames(matrix) / frames).cast("int")
-    windows = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda w: F.transform(matrix, lambda row: F.slice(row, w * frames + 1, frames)),
-    )
-    return F.when(count > 0, windows).otherwise(F.array().cast("array<array<array<int>>>"))
+
+    def cut(m: Column) -> Column:
+        count = F.floor(n_frames(m) / frames).cast("int")
+        windows = F.transform(
+            F.sequence(F.lit(0), count - 1),
+            lambda w: F.transform(m, lambda row: F.slice(row, w * frames + 1, frames)),
+        )
+        return F.when(count > 0, windows).otherwise(F.array().cast("array<array<array<int>>>"))
+
+    return let(matrix, cut)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .codecs import EOA, EOD, SOA, STAGE_1, STAGE_2, CodecOptions, flatten_frames, int_array, offset_codes
 
 FRAMES_PER_SECOND = 50
@@ -17,8 +18,7 @@ def interleave(a: Column, b: Column) -> Column:
 
 
 def trim_even(ids: Column, ways: int = 2) -> Column:
-    size = F.size(ids)
-    return F.slice(ids, F.lit(1), size - size % ways)
+    return let(ids, lambda x: F.slice(x, F.lit(1), F.size(x) - F.size(x) % ways))
 
 
 def deinterleave(ids: Column, track: int, ways: int = 2) -> Column:
@@ -67,12 +67,15 @@ def slice_by_time(ids: Column, start_s: Column, end_s: Column, stems: int = 1) -
 def stage2_record(window: Column, opts: CodecOptions) -> Column:
     """``SOA stage_1 codebook0 stage_2 rest EOA``; with teacher forcing ``rest`` is every
     codebook of the window, else all but the first."""
-    ids = offset_codes(window, opts)
-    first = F.get(ids, F.lit(0))
-    rest = ids if opts.teacher_forcing else F.slice(ids, F.lit(2), F.size(ids))
-    return F.concat(
-        int_array([SOA, STAGE_1]), first, int_array([STAGE_2]), flatten_frames(rest), int_array([EOA])
-    )
+
+    def record(ids: Column) -> Column:
+        first = F.get(ids, F.lit(0))
+        rest = ids if opts.teacher_forcing else F.slice(ids, F.lit(2), F.size(ids))
+        return F.concat(
+            int_array([SOA, STAGE_1]), first, int_array([STAGE_2]), flatten_frames(rest), int_array([EOA])
+        )
+
+    return let(offset_codes(window, opts), record)
 
 
 def tail_tokens(ids: Column, max_new_tokens: int) -> Column:
@@ -121,21 +124,18 @@ def loss_mask(inputs: Column, eod: int = EOD, mask_eod: bool = True) -> Column:
 
 def _document_spans(inputs: Column, eod: int) -> Column:
     """(start, end) of the documents inside a sample: a new one begins after each EOD."""
-    size = F.size(inputs)
-    starts = F.concat(
-        int_array([0]),
-        F.filter(
-            F.transform(
-                F.filter(F.transform(inputs, lambda v, i: F.when(v == eod, i + 1)), lambda i: i.isNotNull()),
-                lambda i: i,
+
+    def spans(x: Column) -> Column:
+        after_eod = F.transform(x, lambda v, i: F.when((v == eod) & (i + 1 < F.size(x)), i + 1))
+        starts = F.concat(int_array([0]), F.array_compact(after_eod))
+        return let(
+            starts,
+            lambda st: F.transform(
+                st, lambda s, j: F.struct(s.alias("start"), F.coalesce(F.get(st, j + 1), F.size(x)).alias("end"))
             ),
-            lambda i: i < size,
-        ),
-    )
-    return F.transform(
-        starts,
-        lambda s, j: F.struct(s.alias("start"), F.coalesce(F.get(starts, j + 1), size).alias("end")),
-    )
+        )
+
+    return let(inputs, spans)
 
 
 def position_ids(inputs: Column, reset: bool = False, eod: int = EOD) -> Column:

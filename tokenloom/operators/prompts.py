@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
+from ..functions.binding import let
 from ..functions.codecs import CodecOptions, codes_to_ids, n_frames, slice_frames
 from ..functions.text import hash_uniform
 from .validate import is_varied
@@ -104,12 +105,8 @@ def sample_prompt(
         _pick_int(F.lit(0), latest, seed, key, salt="try0")
     )
     starts = F.array(start, *[_pick_int(F.lit(0), latest, seed, key, salt=f"try{i}") for i in range(1, PROMPT_TRIES)])
-    # One-element wrapping keeps the source array computed once for all tries.
-    tries = F.flatten(
-        F.transform(F.array(source), lambda ids: F.transform(starts, lambda s: F.slice(ids, s + 1, length)))
+    tries = let(source, lambda ids: F.transform(starts, lambda s: F.slice(ids, s + 1, length)))
+    chosen = let(
+        tries, lambda t: F.coalesce(F.get(F.filter(t, is_varied), F.lit(0)), F.get(t, F.lit(PROMPT_TRIES - 1)))
     )
-    chosen = F.transform(
-        F.array(tries),
-        lambda t: F.coalesce(F.get(F.filter(t, is_varied), F.lit(0)), F.get(t, F.lit(PROMPT_TRIES - 1))),
-    )
-    return F.when(usable, F.get(chosen, F.lit(0)))
+    return F.when(usable, chosen)

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.codecs import SPECIAL_TOKENS, TEXT_VOCAB_SIZE
 from ..functions.text import specials_pattern
 
@@ -241,15 +242,14 @@ def detokenize(
     tagged = F.transform(
         F.col("__pieces"), lambda p: F.struct(p.alias("p"), F.array_contains(special_pieces, p).alias("s"))
     )
-    rendered = F.transform(
-        F.col("__tagged"),
-        lambda t, i: F.when(t["s"], F.concat(F.lit(" "), t["p"], F.lit(" ")))
-        .when((i > 0) & ~F.get(F.col("__tagged"), i - 1)["s"], F.concat(F.lit(" "), t["p"]))
-        .otherwise(t["p"]),
-    )
-    return (
-        df.withColumn("__pieces", tokenizer.pieces(F.col(col)))
-        .withColumn("__tagged", tagged)
-        .withColumn(out, F.array_join(rendered, ""))
-        .drop("__pieces", "__tagged")
-    )
+
+    def rendered(all_tagged: Column) -> Column:
+        return F.transform(
+            all_tagged,
+            lambda t, i: F.when(t["s"], F.concat(F.lit(" "), t["p"], F.lit(" ")))
+            .when((i > 0) & ~F.get(all_tagged, i - 1)["s"], F.concat(F.lit(" "), t["p"]))
+            .otherwise(t["p"]),
+        )
+
+    pieces = df.withColumn("__pieces", tokenizer.pieces(F.col(col)))
+    return pieces.withColumn(out, F.array_join(let(tagged, rendered), "")).drop("__pieces")

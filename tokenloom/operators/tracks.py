@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
+from ..functions.binding import let
 from ..functions.codecs import EOA, SOA, STAGE_1, STAGE_2, CodecOptions, ids_to_codes, int_array
 
 WINDOW_SECONDS = 6
@@ -13,12 +14,16 @@ MAX_CODE = 1023
 
 
 def _positions(ids: Column, token: int) -> Column:
-    return F.filter(F.transform(ids, lambda v, i: F.when(v == token, i)), lambda i: i.isNotNull())
+    return F.array_compact(F.transform(ids, lambda v, i: F.when(v == token, i)))
 
 
 def audio_spans(ids: Column, opts: CodecOptions, skip_prompt: bool = False) -> Column:
     """Ids between each start and end of audio, without the leading separator. The first span
     is left out when it was the audio prompt."""
+    return let(ids, lambda x: _audio_spans(x, opts, skip_prompt))
+
+
+def _audio_spans(ids: Column, opts: CodecOptions, skip_prompt: bool) -> Column:
     separator = opts.spec.separator_ids[0]
     bounds = F.arrays_zip(_positions(ids, SOA).alias("s"), _positions(ids, EOA).alias("e"))
     spans = F.transform(bounds, lambda b: F.slice(ids, b["s"] + 2, F.greatest(b["e"] - b["s"] - 1, F.lit(0))))
@@ -26,7 +31,7 @@ def audio_spans(ids: Column, opts: CodecOptions, skip_prompt: bool = False) -> C
         spans,
         lambda x: F.when(F.get(x, F.lit(0)) == separator, F.slice(x, F.lit(2), F.size(x))).otherwise(x),
     )
-    return F.slice(spans, F.lit(2), F.size(spans)) if skip_prompt else spans
+    return F.filter(spans, lambda _, i: i > 0) if skip_prompt else spans
 
 
 def extract_tracks(
@@ -44,10 +49,13 @@ def extract_tracks(
             F.col("__spans"), lambda span: ids_to_codes(S.deinterleave(span, t), opts)
         )
 
-        def layer(k: int) -> Column:
-            return F.flatten(F.transform(per_span, lambda m: F.get(m, F.lit(k))))
+        def joined(spans: Column) -> Column:
+            def layer(k: int) -> Column:
+                return F.flatten(F.transform(spans, lambda m: F.get(m, F.lit(k))))
+
+            return F.array(*[layer(k) for k in range(opts.n_quantizer)])
 
-        return F.array(*[layer(k) for k in range(opts.n_quantizer)])
+        return let(per_span, joined)
 
     return (
         out.withColumn("vocals", F.when(paired, track(0)))
@@ -149,10 +157,11 @@ def row_mode(row: Column) -> Column:
             x.alias("v"), n.alias("n"), F.greatest(n, acc["best"]).alias("best"), top.alias("top")
         )
 
-    top = F.aggregate(F.sort_array(row), state, step, lambda acc: acc["top"])
-    return F.get(
-        row, (F.array_min(F.transform(top, lambda v: F.array_position(row, v))) - 1).cast("int")
-    )
+    def pick(r: Column) -> Column:
+        top = F.aggregate(F.sort_array(r), state, step, lambda acc: acc["top"])
+        return F.get(r, (F.array_min(F.transform(top, lambda v: F.array_position(r, v))) - 1).cast("int"))
+
+    return let(row, pick)
 
 
 def repair_codes(codes: Column, max_code: int = MAX_CODE) -> Column:
@@ -163,11 +172,6 @@ def repair_codes(codes: Column, max_code: int = MAX_CODE) -> Column:
         return (x < 0) | (x > max_code)
 
     def fix(row: Column) -> Column:
-        # The mode is computed once per row by wrapping it in a one-element array.
-        return F.flatten(
-            F.transform(
-                F.array(row_mode(row)), lambda m: F.transform(row, lambda x: F.when(bad(x), m).otherwise(x))
-            )
-        )
+        return let(row_mode(row), lambda m: F.transform(row, lambda x: F.when(bad(x), m).otherwise(x)))
 
     return F.transform(codes, lambda row: F.when(F.exists(row, bad), fix(row)).otherwise(row))

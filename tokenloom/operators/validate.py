@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let, let_all
 from ..functions.codecs import n_frames, slice_frames
 
 # ---- fixed values: limits of the checks ----------------------------------------------------
@@ -85,18 +86,36 @@ def fps_is_valid(fps: Column) -> Column:
 def reconcile_stems(df: DataFrame, *matrices: str) -> tuple[DataFrame, Column]:
     """Trim codec matrices of one song to the shortest when all lengths lie within ten frames.
     Returns the trimmed frame and the check that lengths were too far apart."""
-    lengths = [n_frames(F.col(m)) for m in matrices]
-    shortest, longest = F.least(*lengths), F.greatest(*lengths)
-    out = df.withColumn("__frames", shortest).withColumn("__spread", longest - shortest)
-    near = F.col("__spread") <= MAX_STEM_DIFFERENCE
-    for m in matrices:
-        trimmed = F.when(
-            near & (F.col("__spread") > 0), slice_frames(F.col(m), F.lit(0), F.col("__frames"))
-        ).otherwise(F.col(m))
-        out = out.withColumn(m, trimmed)
-    return out, ~near
+    names = [f"m{i}" for i in range(len(matrices))]
+
+    def trim(**stems: Column) -> Column:
+        lengths = [n_frames(m) for m in stems.values()]
+        bounds = F.struct(F.least(*lengths).alias("lo"), F.greatest(*lengths).alias("hi"))
+
+        def cut(m: Column, b: Column) -> Column:
+            spread = b["hi"] - b["lo"]
+            near = (spread > 0) & (spread <= MAX_STEM_DIFFERENCE)
+            return F.when(near, slice_frames(m, F.lit(0), b["lo"])).otherwise(m)
+
+        return let(
+            bounds,
+            lambda b: F.struct(
+                *[cut(m, b).alias(n) for n, m in stems.items()],
+                b["lo"].alias("frames"),
+                (b["hi"] - b["lo"]).alias("spread"),
+            ),
+        )
+
+    stems = let_all(trim, **{n: F.col(m) for n, m in zip(names, matrices)})
+    out = df.withColumn("__stems", stems)
+    trimmed = {m: F.col(f"__stems.{n}") for n, m in zip(names, matrices)}
+    columns = [trimmed[c].alias(c) if c in trimmed else F.col(c) for c in df.columns]
+    return (
+        out.select(*columns, F.col("__stems.frames").alias("__frames"), F.col("__stems.spread").alias("__spread")),
+        F.col("__spread") > MAX_STEM_DIFFERENCE,
+    )
 
 
 def is_varied(ids: Column) -> Column:
     """Distinct ids make up at least a tenth of a prompt."""
-    return F.size(F.array_distinct(ids)) >= F.size(ids) * F.lit(MIN_PROMPT_VARIATION)
+    return let(ids, lambda x: F.size(F.array_distinct(x)) >= F.size(x) * F.lit(MIN_PROMPT_VARIATION))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions import text as X
+from ..functions.binding import let, let_all
 from ..functions.codecs import (
     CodecOptions,
     code_diversity,
@@ -66,11 +67,16 @@ def missing_files(manifest: DataFrame, codecs: DataFrame, column: str) -> DataFr
 
 def _finish(df: DataFrame, parts: str, cfg: EncodeConfig) -> DataFrame:
     """Join the sequences of a document and close it."""
-    lengths = F.transform(F.col(parts), lambda p: F.size(p))
-    tokens = F.flatten(parts)
-    if cfg.append_eod:
-        lengths, tokens = S.bump_last(lengths), S.append_eod(tokens)
-    return df.withColumn("tokens", tokens).withColumn("lengths", lengths).drop(parts)
+
+    def close(p: Column) -> Column:
+        lengths, tokens = F.transform(p, lambda x: F.size(x)), F.flatten(p)
+        if cfg.append_eod:
+            lengths, tokens = let(lengths, S.bump_last), let(tokens, S.append_eod)
+        return F.struct(tokens.alias("tokens"), lengths.alias("lengths"))
+
+    return df.withColumn("__doc", let(F.col(parts), close)).select(
+        *[c for c in df.columns if c != parts], F.col("__doc.tokens").alias("tokens"), F.col("__doc.lengths").alias("lengths")
+    )
 
 
 def to_sequences(documents: DataFrame, dataset: str = "dataset", key: str = "doc_id") -> DataFrame:
@@ -148,9 +154,11 @@ def encode_text_segments(
             (F.col(seconds) <= 0, "bad_length"), (codes_problem(F.col(codec), cfg.codec).isNotNull(), "bad_codes")
         ),
     )
-    valid = F.filter(
-        F.col(segments),
-        lambda s: V.segment_is_valid_flat(s, F.col("__fps"), F.col(seconds), F.col("__frames")),
+    valid = let_all(
+        lambda fps, sec, n: F.filter(F.col(segments), lambda s: V.segment_is_valid_flat(s, fps, sec, n)),
+        fps=F.col("__fps"),
+        sec=F.col(seconds),
+        n=F.col("__frames"),
     )
     base = base.withColumn("__valid", F.when(F.col("reason").isNull(), valid))
     texts = F.transform(
@@ -158,11 +166,11 @@ def encode_text_segments(
     )
     base = base.withColumn("__text", tokenizer.nested_text_ids(texts))
 
-    def record(s: Column, t: Column) -> Column:
-        codes = slice_frames(F.col(codec), s["codec_frame_start"], s["codec_frame_end"])
+    def record(s: Column, t: Column, matrix: Column) -> Column:
+        codes = slice_frames(matrix, s["codec_frame_start"], s["codec_frame_end"])
         return S.order_text_audio(t, S.wrap_audio(codes_to_ids(codes, cfg.codec), cfg.codec), cfg.order)
 
-    parts = F.zip_with("__valid", "__text", record)
+    parts = let(F.col(codec), lambda m: F.zip_with("__valid", "__text", lambda s, t: record(s, t, m)))
     done = _finish(base.withColumn("__parts", parts), "__parts", cfg)
     empty = F.col("reason").isNull() & (F.size("__valid") == 0)
     return done.withColumn("reason", F.when(empty, "no_valid_segments").otherwise(F.col("reason"))).drop(
@@ -209,8 +217,10 @@ def encode_interleaved(
             ),
         ),
     )
-    valid = F.filter(
-        F.col(segments), lambda s: V.segment_is_valid(s, F.col("__fps"), F.col("__frames"), icl)
+    valid = let_all(
+        lambda fps, n: F.filter(F.col(segments), lambda s: V.segment_is_valid(s, fps, n, icl)),
+        fps=F.col("__fps"),
+        n=F.col("__frames"),
     )
     base = base.withColumn("__valid", F.when(F.col("reason").isNull(), valid))
 
@@ -231,18 +241,23 @@ def encode_interleaved(
     n = F.size("__valid")
     mark = {m: F.get("__ids", n + 1 + i) for i, m in enumerate(X.MARKERS)}
 
-    def record(s: Column, i: Column) -> Column:
-        text = F.get("__ids", i)
+    def record(s: Column, i: Column, texts: Column, stem_a: Column, stem_b: Column) -> Column:
+        text = F.get(texts, i)
         v, w = (
-            codes_to_ids(slice_frames(F.col(m), s["codec_frame_start"], s["codec_frame_end"]), cfg.codec)
-            for m in (vocals, instrumental)
+            codes_to_ids(slice_frames(m, s["codec_frame_start"], s["codec_frame_end"]), cfg.codec)
+            for m in (stem_a, stem_b)
         )
         audio = S.wrap_audio(S.interleave(v, w), cfg.codec)
         if headed:
             return F.concat(mark[X.START_OF_SEGMENT], text, audio, mark[X.END_OF_SEGMENT])
         return F.concat(text, audio)
 
-    parts = F.transform("__valid", record)
+    parts = let_all(
+        lambda texts, stem_a, stem_b: F.transform("__valid", lambda s, i: record(s, i, texts, stem_a, stem_b)),
+        texts=F.col("__ids"),
+        stem_a=F.col(vocals),
+        stem_b=F.col(instrumental),
+    )
     if headed:
         header = F.get("__ids", n)
         if icl:
