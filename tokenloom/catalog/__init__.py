@@ -8,6 +8,6 @@ from .registry import REGISTRY, Query
 
 def all_queries() -> dict[str, tuple[Query, str | None]]:
     """All registered queries by name, in name order."""
-    from . import check_queries, expression_queries, source_queries  # noqa: F401
+    from . import check_queries, encode_queries, expression_queries, packing_queries, source_queries  # noqa: F401
 
     return dict(sorted(REGISTRY.items()))

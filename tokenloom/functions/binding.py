@@ -14,7 +14,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     A column named inside a lambda is replaced by its defining expression when projections are
     merged, and would then be computed again for every array element. A lambda variable is not.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
 def let_all(body: Callable[..., Column], **values: Column) -> Column:

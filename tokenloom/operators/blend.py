@@ -8,13 +8,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 MAX_DATASETS = 32767  # dataset numbers are 16-bit
 REQUEST_MARGIN = 1.005  # ask for half a percent more than the target
-MAX_UNROLLED = 64
 MAX_CHUNKS = 10_000
 MIN_CHUNK = 4096
 
@@ -74,56 +73,44 @@ def blend_requests(spark: SparkSession, blend: Blend, targets: dict[str, int]) -
     return spark.createDataFrame(rows, "dataset_id int, dataset string, split string, requested bigint")
 
 
-def _draws_before(k: Column, d: Column, weights: Sequence[int]) -> Column:
-    """How many draws of all datasets precede draw ``k`` of dataset ``d`` when draws are ordered
-    by ``(k + 1/2) / weight``, ties to the lower dataset number. Integer arithmetic only."""
-    odd = 2 * k + 1
-    w_d = F.col("__w")
-
-    def earlier(w_other: Column, other: Column) -> Column:
-        m = odd * w_other
-        lower = F.call_function("div", F.call_function("div", m, w_d) + 1, F.lit(2))
-        higher = F.call_function("div", F.call_function("div", m - 1, w_d) + 1, F.lit(2))
-        return F.when(other == d, k).when(w_other == 0, F.lit(0)).when(other < d, lower).otherwise(higher)
-
-    if len(weights) <= MAX_UNROLLED:
-        total = F.lit(0).cast("bigint")
-        for i, w in enumerate(weights):
-            total = total + earlier(F.lit(int(w)).cast("bigint"), F.lit(i))
-        return total
-    table = F.array(*[F.lit(int(w)).cast("bigint") for w in weights])
-    indexed = F.transform(table, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    return F.aggregate(indexed, F.lit(0).cast("bigint"), lambda acc, x: acc + earlier(x["w"], x["i"]))
+def _places(k: np.ndarray, d: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Place of draw ``k`` of dataset ``d`` when all draws are ordered by ``(k + 1/2) / weight``,
+    ties to the lower dataset number: its own number plus the draws of every other dataset that
+    come before it. Integer arithmetic only."""
+    odd, own, place = 2 * k + 1, weights[d], k.copy()
+    for other, w in enumerate(weights):
+        if w == 0:
+            continue
+        scaled = odd * w
+        before = np.where(other < d, (scaled // own + 1) // 2, ((scaled - 1) // own + 1) // 2)
+        place += np.where(other == d, 0, before)
+    return place
 
 
 def balanced_schedule(spark: SparkSession, blend: Blend, size: int) -> DataFrame:
     """``size`` draws as ``(sample_idx, dataset_id, dataset_sample_idx)`` with the same mix as the
     exact schedule. Each row's place has a closed form: no sort, no shuffle, no state."""
-    whole = sum(blend.weights)
-    counts = [size * w // whole + 2 if w else 0 for w in blend.weights]
-    ends = np.cumsum(counts).tolist()
-    dataset, begin, weight = F.lit(0), F.lit(0).cast("bigint"), F.lit(int(blend.weights[0])).cast("bigint")
-    if len(ends) <= MAX_UNROLLED:
-        chain = None
-        for i, end in enumerate(ends):
-            item = F.struct(
-                F.lit(i).alias("d"),
-                F.lit(end - counts[i]).cast("bigint").alias("b"),
-                F.lit(int(blend.weights[i])).cast("bigint").alias("w"),
+    weights = [w // math.gcd(*blend.weights) for w in blend.weights]
+    whole = sum(weights)
+    counts = [size * w // whole + 2 if w else 0 for w in weights]
+    ends = np.cumsum(counts)
+    # Products above 64 bits are computed with Python integers, exact at any size.
+    kind = np.int64 if (2 * max(counts) + 1) * max(weights) < 1 << 62 else object
+
+    def draws(batches):
+        w = np.array(weights, dtype=kind)
+        for pdf in batches:
+            ids = pdf["id"].to_numpy()
+            d = np.searchsorted(ends, ids, side="right")
+            k = ids - (ends[d] - np.array(counts, dtype=np.int64)[d])
+            place = _places(k.astype(kind), d, w).astype(np.int64)
+            keep = place < size
+            yield pd.DataFrame(
+                {"sample_idx": place[keep], "dataset_id": d[keep].astype(np.int16), "dataset_sample_idx": k[keep]}
             )
-            chain = F.when(F.col("id") < end, item) if chain is None else chain.when(F.col("id") < end, item)
-        draws = spark.range(ends[-1]).select("id", chain.alias("x"))
-        dataset, begin, weight = F.col("x.d"), F.col("x.b"), F.col("x.w")
-    else:
-        edges = F.array(*[F.lit(e).cast("bigint") for e in ends])
-        starts = F.array(*[F.lit(e - c).cast("bigint") for e, c in zip(ends, counts)])
-        table = F.array(*[F.lit(int(w)).cast("bigint") for w in blend.weights])
-        draws = spark.range(ends[-1]).withColumn("d", F.size(F.filter(edges, lambda e: e <= F.col("id"))))
-        dataset, begin, weight = F.col("d"), F.get(starts, F.col("d")), F.get(table, F.col("d"))
-    rows = draws.select(dataset.alias("dataset_id"), (F.col("id") - begin).alias("k"), weight.alias("__w"))
-    placed = rows.withColumn("sample_idx", _draws_before(F.col("k"), F.col("dataset_id"), blend.weights))
-    return placed.where(F.col("sample_idx") < size).select(
-        "sample_idx", F.col("dataset_id").cast("smallint").alias("dataset_id"), F.col("k").alias("dataset_sample_idx")
+
+    return spark.range(int(ends[-1])).mapInPandas(
+        draws, "sample_idx bigint, dataset_id smallint, dataset_sample_idx bigint"
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.text import hash_bits
 from .order import hash_rank, prefix_sums
 
@@ -18,8 +19,10 @@ def has_long_sentence(sizes: Column) -> Column:
 def eligible(sizes: Column, min_sentences: int, scan_from: int = 2) -> Column:
     """Enough sentences and none of them too long. Documents with fewer than ``scan_from``
     sentences are not scanned for long ones."""
-    n = F.size(sizes)
-    return (n >= min_sentences) & ~((n >= scan_from) & has_long_sentence(sizes))
+    return let(
+        sizes,
+        lambda s: (F.size(s) >= min_sentences) & ~((F.size(s) >= scan_from) & has_long_sentence(s)),
+    )
 
 
 def corpus_profile(df: DataFrame, sizes: str = "sizes", scan_from: int = 2) -> DataFrame:
@@ -41,6 +44,10 @@ def _cuts(sizes: Column, target, min_sentences: int, min_remaining: int) -> Colu
     ``min_remaining``; the last sentence always closes one. ``target(cut_no)`` is the wanted
     length of the next span.
     """
+    return let(sizes, lambda s: _fold(s, target, min_sentences, min_remaining))
+
+
+def _fold(sizes: Column, target, min_sentences: int, min_remaining: int) -> Column:
     n = F.size(sizes)
     zero = F.lit(0)
     span = "array<struct<start:int,end:int,target:int>>"
@@ -149,8 +156,10 @@ def map_blocks(
     tiled = kept.join(numbered.select(key, "__base", "__doc"), key).withColumn(
         "epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
     )
-    room = F.lit(max_length) - F.col(title_size)
-    spans = tiled.withColumn("spans", _cuts(F.col(sizes), lambda _: room, least, least)).drop(sizes)
+    cuts = let(
+        F.lit(max_length) - F.col(title_size), lambda room: _cuts(F.col(sizes), lambda _: room, least, least)
+    )
+    spans = tiled.withColumn("spans", cuts).drop(sizes)
     return _run_epochs(spans, key, epochs, max_samples).select(
         (F.col("__rows_before") + F.col("__before") + F.col("cut_no")).alias("map_index"),
         (F.col("__base") + F.col("span.start")).alias("start"),

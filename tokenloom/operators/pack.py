@@ -151,7 +151,8 @@ def tile_epochs(
 
 
 def sample_index(doc_index: DataFrame, cfg: PackConfig) -> DataFrame:
-    """Where each sample starts: ``(sample, doc_pos, offset)``, one row more than samples."""
+    """Where each sample starts: ``(sample, doc_pos, offset)``, one row more than samples.
+    ``first_range`` tells how many samples come before a separate final epoch."""
     L = cfg.sequence_length
     s, n = F.col("start"), F.col(cfg.n_tokens)
     first = _div(s + L - 1, L)
@@ -164,6 +165,10 @@ def sample_index(doc_index: DataFrame, cfg: PackConfig) -> DataFrame:
             "sample",
             "doc_pos",
             (F.col("sample") * L - F.col("start")).alias("offset"),
+            "n_samples",
+            F.when(F.col("separate_final_epoch"), F.col("samples_before_last"))
+            .otherwise(F.col("n_samples"))
+            .alias("first_range"),
         )
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
-from ..functions.binding import let
+from ..functions.binding import let, let_all
 from ..functions.codecs import CodecOptions, codes_to_ids, n_frames, slice_frames
 from ..functions.text import hash_uniform
 from .validate import is_varied
@@ -17,9 +17,13 @@ from .validate import is_varied
 PROMPT_MEAN, PROMPT_VARIANCE, PROMPT_POINTS = 30.0, 3.0, 100
 LONG_PROMPT_RANGE, SHORT_PROMPT_RANGE, LONG_PROMPT_FROM = (20.0, 40.0), (1.0, 5.0), 30
 PROMPT_TRIES = 6
+PROMPT_MODES = ("dual", "mixture", "inst", "vocal")
 # ---- end of fixed values -------------------------------------------------------------------
 
 
+SECTIONS = "array<struct<label:string,start:double,end:double>>"
+
+
 def length_distribution(prompt_seconds: float) -> tuple[list[float], list[float]]:
     """(seconds, cumulative probability) at 100 evenly spaced points of a normal distribution."""
     if prompt_seconds <= 0:
@@ -77,36 +81,84 @@ def sample_prompt(
     anywhere; the first varied try wins, else the last one. All tries are slices of one array,
     so nothing is exploded.
     """
-    first = F.coalesce(F.get(segments, F.lit(0))["codec_frame_start"], F.lit(0))
-    last = F.coalesce(F.get(segments, F.size(segments) - 1)["codec_frame_end"], n_frames(vocals))
-    usable = (first >= 0) & (first < last) & (first < n_frames(vocals))
-    cut = lambda m: codes_to_ids(slice_frames(m, first, last), opts)
-    if mode == "dual":
-        source, step = S.interleave(cut(vocals), cut(instrumental)), 2
-    elif mode in ("mixture", "inst", "vocal"):
-        source, step = cut({"mixture": mixture, "inst": instrumental, "vocal": vocals}[mode]), 1
-    else:
+    if mode not in PROMPT_MODES:
         raise ValueError(f"unknown audio prompt mode {mode!r}")
-
-    frames = last - first
-    seconds = sample_length(hash_uniform(seed, key, salt="length"), prompt_seconds)
-    drawn = (seconds * fps).cast("int") * step
-    length = F.when(drawn <= 0, (fps * step).cast("int")).otherwise(drawn)
-    length = F.when(length >= frames * step, F.call_function("div", frames * step, F.lit(2)).cast("int")).otherwise(length)
-    latest = F.greatest(frames * step - length, F.lit(0))
-
-    chorus = F.filter(F.coalesce(sections, F.array().cast("array<struct<label:string,start:double,end:double>>")),
-                      lambda s: s["label"] == "chorus")
-    pick = F.get(chorus, F.floor(hash_uniform(seed, key, salt="chorus") * F.size(chorus)).cast("int"))
-    c_low = F.greatest(F.lit(0), (F.coalesce(pick["start"], F.lit(0.0)) * fps).cast("int") - first) * step
-    c_high = F.least(frames, F.coalesce((pick["end"] * fps).cast("int"), n_frames(vocals)) - first) * step - length
-    in_chorus = (F.size(chorus) > 0) & (c_high > c_low)
-    start = F.when(in_chorus, _pick_int(c_low, c_high, seed, key, salt="try0")).otherwise(
-        _pick_int(F.lit(0), latest, seed, key, salt="try0")
+    step = 2 if mode == "dual" else 1
+
+    def whole_range(segs: Column, voc: Column, inst: Column, mix: Column, secs: Column, rate: Column) -> Column:
+        """Bind the song's columns, then its lyric range."""
+        first = F.coalesce(F.get(segs, F.lit(0))["codec_frame_start"], F.lit(0))
+        last = F.coalesce(F.get(segs, F.size(segs) - 1)["codec_frame_end"], n_frames(voc))
+
+        def from_range(first: Column, last: Column, total: Column) -> Column:
+            def ids(m: Column) -> Column:
+                return codes_to_ids(slice_frames(m, first, last), opts)
+
+            stems = {"mixture": mix, "inst": inst, "vocal": voc}
+            source = S.interleave(ids(voc), ids(inst)) if mode == "dual" else ids(stems[mode])
+            frames = last - first
+            drawn = (sample_length(hash_uniform(seed, key, salt="length"), prompt_seconds) * rate).cast("int") * step
+            span = F.when(drawn <= 0, (rate * step).cast("int")).otherwise(drawn)
+            span = let(span, lambda n: F.when(n >= frames * step, _half(frames * step)).otherwise(n))
+
+            def pick(source: Column, length: Column) -> Column:
+                latest = F.greatest(frames * step - length, F.lit(0))
+                anywhere = [_pick_int(F.lit(0), latest, seed, key, salt=f"try{i}") for i in range(PROMPT_TRIES)]
+                inside = let(
+                    _chorus_range(secs, rate, first, frames, total, step, length, seed, key),
+                    lambda c: F.when(c["high"] > c["low"], _pick_int(c["low"], c["high"], seed, key, salt="try0")),
+                )
+                starts = F.array(F.coalesce(inside, anywhere[0]), *anywhere[1:])
+                tries = F.transform(starts, lambda s: F.slice(source, s + 1, length))
+                return let(
+                    tries,
+                    lambda t: F.coalesce(F.get(F.filter(t, is_varied), F.lit(0)), F.get(t, F.lit(PROMPT_TRIES - 1))),
+                )
+
+            usable = (first >= 0) & (first < last) & (first < total)
+            return F.when(usable, let_all(pick, source=source, length=span))
+
+        return let_all(from_range, first=first, last=last, total=n_frames(voc))
+
+    return let_all(
+        whole_range,
+        segs=segments,
+        voc=vocals,
+        inst=instrumental,
+        mix=vocals if mixture is None else mixture,
+        secs=F.coalesce(sections, F.array().cast(SECTIONS)),
+        rate=fps,
     )
-    starts = F.array(start, *[_pick_int(F.lit(0), latest, seed, key, salt=f"try{i}") for i in range(1, PROMPT_TRIES)])
-    tries = let(source, lambda ids: F.transform(starts, lambda s: F.slice(ids, s + 1, length)))
-    chosen = let(
-        tries, lambda t: F.coalesce(F.get(F.filter(t, is_varied), F.lit(0)), F.get(t, F.lit(PROMPT_TRIES - 1)))
+
+
+def _half(n: Column) -> Column:
+    return F.call_function("div", n, F.lit(2)).cast("int")
+
+
+def _chorus_range(
+    sections: Column,
+    fps: Column,
+    first: Column,
+    frames: Column,
+    total: Column,
+    step: int,
+    length: Column,
+    seed: int,
+    key: Column,
+) -> Column:
+    """Lowest and highest start inside a random chorus, relative to the lyric range; null without
+    a chorus."""
+    chorus = F.filter(sections, lambda s: s["label"] == "chorus")
+
+    def bounds(c: Column) -> Column:
+        low = F.greatest(F.lit(0), (F.coalesce(c["start"], F.lit(0.0)) * fps).cast("int") - first)
+        high = F.least(frames, F.coalesce((c["end"] * fps).cast("int"), total) - first)
+        return F.struct((low * step).alias("low"), (high * step - length).alias("high"))
+
+    return let(
+        chorus,
+        lambda cs: let(
+            F.get(cs, F.floor(hash_uniform(seed, key, salt="chorus") * F.size(cs)).cast("int")),
+            lambda c: F.when(c.isNotNull(), bounds(c)),
+        ),
     )
-    return F.when(usable, chosen)

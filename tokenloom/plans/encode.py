@@ -75,7 +75,7 @@ def _finish(df: DataFrame, parts: str, cfg: EncodeConfig) -> DataFrame:
         return F.struct(tokens.alias("tokens"), lengths.alias("lengths"))
 
     return df.withColumn("__doc", let(F.col(parts), close)).select(
-        *[c for c in df.columns if c != parts], F.col("__doc.tokens").alias("tokens"), F.col("__doc.lengths").alias("lengths")
+        *[c for c in df.columns if c not in (parts, "tokens", "lengths")], F.col("__doc.tokens").alias("tokens"), F.col("__doc.lengths").alias("lengths")
     )
 
 

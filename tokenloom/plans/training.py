@@ -34,12 +34,10 @@ def build_split(
     lengths = sequences.select(*narrow).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
     index = P.tile_epochs(lengths, cfg, F.col("requested"))
     parts = P.sample_parts(index, cfg)
-    numbers = parts.select(cfg.dataset, "sample").distinct()
+    starts = P.sample_index(index, cfg).where(F.col("sample") < F.col("n_samples"))
+    numbers = starts.select(cfg.dataset, "sample", "first_range")
     if shuffle:
-        order = index.groupBy(cfg.dataset).agg(
-            F.max(F.when(F.col("separate_final_epoch"), F.col("samples_before_last")).otherwise(F.col("n_samples"))).alias("first_range")
-        )
-        numbers = P.shuffle_samples(numbers.join(order, cfg.dataset), cfg, "first_range", out="dataset_sample_idx")
+        numbers = P.shuffle_samples(numbers, cfg, "first_range", out="dataset_sample_idx")
     else:
         numbers = numbers.withColumn("dataset_sample_idx", F.col("sample"))
     ids = blend_frame(spark, blend).select("dataset_id", F.col("dataset").alias(cfg.dataset))
