@@ -6,8 +6,8 @@ unique integer key. A running sum over that key is computed in a tree:
 * leaf buckets hold the rows whose keys share all but the lowest ``shifts[0]`` bits. A unique
   key bounds a leaf to ``2 ** shifts[0]`` rows, whatever the data looks like, and the bound
   also holds inside a group (dataset, track) that owns most of the rows;
-* node tables hold one pre-aggregated row per bucket and are summed the same way, one level of
-  bits at a time, until one short table per group is left.
+* a node table holds one pre-aggregated row per bucket and is summed the same way. More
+  ``shifts`` add more levels, each with one row per bucket of the level below.
 
 No window ever spans more rows than its bit width allows. Buckets are a pure function of the
 key, so a recomputed task yields the same numbers.
@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hash_bits
 
-# 1,024 rows per leaf, 32,768 nodes per window above it; keys up to 2**40 (10**12 rows).
-KEY_SHIFTS = (10, 25)
+# At most 65,536 rows per leaf and 2**24 narrow nodes per group; keys up to 2**40 (10**12 rows).
+KEY_SHIFTS = (16,)
 KEY_BITS = 40
-# Hash keys have 60 uniform bits: at most 2**20 leaves, 1,024 nodes per window above them.
-HASH_SHIFTS = (40, 50)
+# Hash keys have 60 uniform bits: at most 2**20 leaves, so 10**11 rows make 95,000 per leaf.
+HASH_SHIFTS = (40,)
 HASH_BITS = 60
 
 

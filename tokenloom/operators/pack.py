@@ -15,6 +15,7 @@ of the corpus.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -199,11 +200,15 @@ def sample_parts(doc_index: DataFrame, cfg: PackConfig) -> DataFrame:
     )
 
 
-def gather_samples(parts: DataFrame, sequences: DataFrame, cfg: PackConfig) -> DataFrame:
-    """Fetch the tokens of each part and glue them: ``(dataset, sample, tokens, doc_ids)``."""
+def gather_samples(
+    parts: DataFrame, sequences: DataFrame, cfg: PackConfig, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Fetch the tokens of each part and glue them: ``(dataset, sample, tokens, doc_ids)``.
+    ``carry`` names columns of ``parts`` that are the same for all parts of a sample."""
     pieces = parts.join(sequences.select(cfg.dataset, cfg.key, cfg.tokens), [cfg.dataset, cfg.key]).select(
         cfg.dataset,
         "sample",
+        *carry,
         F.struct(
             "doc_pos",
             F.col(cfg.key).alias("doc"),
@@ -211,11 +216,11 @@ def gather_samples(parts: DataFrame, sequences: DataFrame, cfg: PackConfig) -> D
         ).alias("p"),
     )
     ordered = F.sort_array(F.collect_list("p"))
-    samples = pieces.groupBy(cfg.dataset, "sample").agg(ordered.alias("ps"))
+    samples = pieces.groupBy(cfg.dataset, "sample", *carry).agg(ordered.alias("ps"))
     tokens = F.flatten(F.col("ps.part"))
     if cfg.bos is not None:
         tokens = S.add_bos(tokens, cfg.bos, cfg.eod)
-    return samples.select(cfg.dataset, "sample", tokens.alias("tokens"), F.col("ps.doc").alias("doc_ids"))
+    return samples.select(cfg.dataset, "sample", *carry, tokens.alias("tokens"), F.col("ps.doc").alias("doc_ids"))
 
 
 def pack_samples(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +10,12 @@ from pyspark.sql import functions as F
 from ..operators import pack as P
 from ..operators.blend import Blend, blend_frame, blend_requests, blend_schedule, lookup_blended
 from ..operators.split import SPLITS, Bounds, assign_split
+from ..session import materialize
 
 
 def build_split(
     spark: SparkSession,
+    lengths: DataFrame,
     sequences: DataFrame,
     blend: Blend,
     target: int,
@@ -24,32 +25,27 @@ def build_split(
 ) -> DataFrame:
     """Blended samples of one split: ``(sample_idx, dataset_id, dataset_sample_idx, tokens, doc_ids)``.
 
-    The size is the sum of the requests. Lengths, sample places and draws are worked out on
-    narrow rows; tokens move only for samples that are really drawn.
+    ``lengths`` names the sequences of the split, ``sequences`` holds their tokens. The size is
+    the sum of the requests. Places and draws are worked out on narrow rows, and the document
+    index is saved once; tokens move only for samples that are really drawn.
     """
     requests = blend_requests(spark, blend, {"s": target}).select("dataset_id", "dataset", "requested")
     size = sum(r["requested"] for r in requests.collect())  # one row per dataset
-    narrow = [cfg.dataset, cfg.key, cfg.n_tokens]
     named = requests.withColumnRenamed("dataset", cfg.dataset)
-    lengths = sequences.select(*narrow).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
-    index = P.tile_epochs(lengths, cfg, F.col("requested"))
-    parts = P.sample_parts(index, cfg)
+    wanted = lengths.select(cfg.dataset, cfg.key, cfg.n_tokens).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
+    index = materialize(P.tile_epochs(wanted, cfg, F.col("requested")), "document-index")
     starts = P.sample_index(index, cfg).where(F.col("sample") < F.col("n_samples"))
     numbers = starts.select(cfg.dataset, "sample", "first_range")
     if shuffle:
-        numbers = P.shuffle_samples(numbers, cfg, "first_range", out="dataset_sample_idx")
+        numbers = P.shuffle_samples(numbers, cfg, "first_range", out="__k")
     else:
-        numbers = numbers.withColumn("dataset_sample_idx", F.col("sample"))
+        numbers = numbers.withColumn("__k", F.col("sample"))
     ids = blend_frame(spark, blend).select("dataset_id", F.col("dataset").alias(cfg.dataset))
-    schedule = blend_schedule(spark, blend, size, mode)
-    keyed = numbers.join(F.broadcast(ids), cfg.dataset).select(cfg.dataset, "dataset_id", "dataset_sample_idx", "sample")
-    drawn = lookup_blended(schedule, keyed.withColumnRenamed("dataset_sample_idx", "__k"), "dataset_id", "__k")
-    drawn = drawn.select("sample_idx", "dataset_id", "dataset_sample_idx", cfg.dataset, "sample")
-    needed = parts.join(drawn.select(cfg.dataset, "sample"), [cfg.dataset, "sample"], "left_semi")
-    gathered = P.gather_samples(needed, sequences, cfg)
-    return drawn.join(gathered, [cfg.dataset, "sample"]).select(
-        "sample_idx", "dataset_id", "dataset_sample_idx", "tokens", "doc_ids"
-    )
+    keyed = numbers.join(F.broadcast(ids), cfg.dataset).select(cfg.dataset, "dataset_id", "__k", "sample")
+    drawn = lookup_blended(blend_schedule(spark, blend, size, mode), keyed, "dataset_id", "__k")
+    carried = ["sample_idx", "dataset_id", "dataset_sample_idx"]
+    needed = P.sample_parts(index, cfg).join(drawn.select(cfg.dataset, "sample", *carried), [cfg.dataset, "sample"])
+    return P.gather_samples(needed, sequences, cfg, carried).select(*carried, "tokens", "doc_ids")
 
 
 def build_splits(
@@ -64,18 +60,15 @@ def build_splits(
 ) -> dict[str, DataFrame]:
     """Blended samples per split. With one blend for all, each dataset is cut into contiguous
     split ranges; with a blend per split, every split draws from whole datasets."""
-    out = {}
-    if isinstance(blend, dict):
-        for name in SPLITS:
-            if name in blend and targets.get(name):
-                chosen = sequences.where(F.col(cfg.dataset).isin(list(blend[name].names)))
-                out[name] = build_split(spark, chosen, blend[name], targets[name], cfg, mode, shuffle)
-        return out
     narrow = sequences.select(cfg.dataset, cfg.key, cfg.n_tokens)
-    labelled = assign_split(narrow, bounds, cfg.key, [cfg.dataset]).select(cfg.dataset, cfg.key, "split")
-    cut = sequences.join(labelled, [cfg.dataset, cfg.key])
-    for name, bound in zip(SPLITS, bounds):
-        if bound is not None and targets.get(name):
-            chosen = cut.where(F.col("split") == name).drop("split")
-            out[name] = build_split(spark, chosen, blend, targets[name], replace(cfg), mode, shuffle)
-    return out
+    if isinstance(blend, dict):
+        chosen = {n: (narrow.where(F.col(cfg.dataset).isin(list(b.names))), b) for n, b in blend.items()}
+    else:
+        labelled = materialize(assign_split(narrow, bounds, cfg.key, [cfg.dataset]), "splits")
+        present = [n for n, b in zip(SPLITS, bounds) if b is not None]
+        chosen = {n: (labelled.where(F.col("split") == n), blend) for n in present}
+    return {
+        name: build_split(spark, lengths, sequences, b, targets[name], cfg, mode, shuffle)
+        for name, (lengths, b) in chosen.items()
+        if targets.get(name)
+    }
