@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.binding import let
 from ..functions.text import hash_bits
+from ..session import materialize
 from .order import hash_rank, prefix_sums
 
 LONG_SENTENCE_TOKENS = 512
@@ -73,30 +74,42 @@ def _fold(sizes: Column, target, min_sentences: int, min_remaining: int) -> Colu
     return F.aggregate(sizes, state, step, lambda acc: acc["spans"])
 
 
-def _run_epochs(spans: DataFrame, key: str, epochs: int, max_samples: int | None) -> DataFrame:
-    """Number the spans epoch by epoch in document order. The sample cap is tested only when an
-    epoch starts, so the last epoch that starts is complete."""
+def _number_spans(
+    spans: DataFrame, numbers: DataFrame, key: str, epochs: int, max_samples: int | None
+) -> DataFrame:
+    """Number the spans epoch by epoch in document order and explode them.
+
+    ``spans`` has ``epoch`` when epochs differ (random targets), else one copy serves all of them.
+    The sample cap is tested only when an epoch starts, so the last one that starts is complete.
+    The folded spans are saved first, as they are read three times.
+    """
+    differ = "epoch" in spans.columns
+    saved = materialize(spans, "spans")
+    groups = ["epoch"] if differ else []
     counted = prefix_sums(
-        spans.select(key, "epoch", F.size("spans").alias("__n")),
+        saved.select(key, *groups, F.size("spans").alias("__n")),
         key,
         {"__before": F.col("__n")},
-        ["epoch"],
-        totals={"__epoch_rows": "__before"},
-    )
-    per_epoch = counted.groupBy("epoch").agg(F.max("__epoch_rows").alias("rows"))
-    earlier = (
-        per_epoch.alias("a")
-        .join(per_epoch.alias("b"), F.col("b.epoch") < F.col("a.epoch"), "left")
-        .groupBy(F.col("a.epoch").alias("epoch"))
-        .agg(F.coalesce(F.sum("b.rows"), F.lit(0)).alias("__rows_before"))
-    )
+        groups,
+        totals={"__rows": "__before"},
+    ).drop("__n")
+    rows = saved.join(counted, [key, *groups]).join(numbers, key)
+    if differ:
+        sizes = saved.groupBy("epoch").agg(F.sum(F.size("spans")).alias("n"))  # one row per epoch
+        earlier = (
+            sizes.alias("a")
+            .join(sizes.alias("b"), F.col("b.epoch") < F.col("a.epoch"), "left")
+            .groupBy(F.col("a.epoch").alias("epoch"))
+            .agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("__rows_before"))
+        )
+        rows = rows.join(F.broadcast(earlier), "epoch")
+    else:
+        rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn(
+            "__rows_before", F.col("epoch") * F.col("__rows")
+        )
     if max_samples is not None:
-        earlier = earlier.where(F.col("__rows_before") < max_samples)
-    return (
-        spans.join(counted.select(key, "epoch", "__before"), [key, "epoch"])
-        .join(F.broadcast(earlier), "epoch")  # one row per epoch
-        .select("*", F.posexplode("spans").alias("cut_no", "span"))
-    )
+        rows = rows.where(F.col("__rows_before") < max_samples)
+    return rows.select("*", F.posexplode("spans").alias("cut_no", "span"))
 
 
 def map_sentences(
@@ -115,20 +128,21 @@ def map_sentences(
     With ``short_ratio`` r, about one span in r gets a random shorter target between 2 and
     ``max_length``, drawn from a hash of seed, epoch, document and span number.
     """
-    numbered = prefix_sums(df.select(key, F.size(sizes).alias("__s")), key, {"__base": F.col("__s")})
+    numbers = prefix_sums(df.select(key, F.size(sizes).alias("__s")), key, {"__base": F.col("__s")}).drop("__s")
     kept = df.where(eligible(F.col(sizes), min_sentences)).select(key, sizes)
-    tiled = kept.join(numbered.select(key, "__base"), key).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
-    )
+    if short_ratio:
+        kept = kept.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
     def target(cut_no: Column) -> Column:
         if short_ratio == 0:
             return F.lit(max_length)
         r = hash_bits(seed, F.col("epoch"), F.col(key), cut_no)
-        return F.when(r % short_ratio == 0, 2 + r % (max_length - 1)).otherwise(F.lit(max_length))
+        return let(
+            r, lambda x: F.when(x % short_ratio == 0, 2 + x % (max_length - 1)).otherwise(F.lit(max_length))
+        )
 
-    spans = tiled.withColumn("spans", _cuts(F.col(sizes), target, min_sentences, 2)).drop(sizes)
-    return _run_epochs(spans, key, epochs, max_samples).select(
+    spans = kept.withColumn("spans", _cuts(F.col(sizes), target, min_sentences, 2)).drop(sizes)
+    return _number_spans(spans, numbers, key, epochs, max_samples).select(
         (F.col("__rows_before") + F.col("__before") + F.col("cut_no")).alias("map_index"),
         (F.col("__base") + F.col("span.start")).alias("start"),
         (F.col("__base") + F.col("span.end")).alias("end"),
@@ -149,18 +163,15 @@ def map_blocks(
     """Block spans ``(map_index, start, end, doc, block_id)``; a block leaves room for the title
     and block numbers restart in each epoch."""
     least = 1 if one_sentence_blocks else 2
-    numbered = prefix_sums(
+    numbers = prefix_sums(
         df.select(key, F.size(sizes).alias("__s")), key, {"__base": F.col("__s"), "__doc": F.lit(1)}
-    )
+    ).drop("__s")
     kept = df.where(eligible(F.col(sizes), least, scan_from=least)).select(key, sizes, title_size)
-    tiled = kept.join(numbered.select(key, "__base", "__doc"), key).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
-    )
     cuts = let(
         F.lit(max_length) - F.col(title_size), lambda room: _cuts(F.col(sizes), lambda _: room, least, least)
     )
-    spans = tiled.withColumn("spans", cuts).drop(sizes)
-    return _run_epochs(spans, key, epochs, max_samples).select(
+    spans = kept.select(key, cuts.alias("spans"))
+    return _number_spans(spans, numbers, key, epochs, max_samples).select(
         (F.col("__rows_before") + F.col("__before") + F.col("cut_no")).alias("map_index"),
         (F.col("__base") + F.col("span.start")).alias("start"),
         (F.col("__base") + F.col("span.end")).alias("end"),

@@ -204,8 +204,12 @@ def gather_samples(
     parts: DataFrame, sequences: DataFrame, cfg: PackConfig, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Fetch the tokens of each part and glue them: ``(dataset, sample, tokens, doc_ids)``.
-    ``carry`` names columns of ``parts`` that are the same for all parts of a sample."""
-    pieces = parts.join(sequences.select(cfg.dataset, cfg.key, cfg.tokens), [cfg.dataset, cfg.key]).select(
+    ``carry`` names columns of ``parts`` that are the same for all parts of a sample.
+
+    The join is a sort-merge join on purpose: it spreads by document, where the tokens are, and
+    not by the few partitions the narrow parts come in; and it spills."""
+    tokens = sequences.select(cfg.dataset, cfg.key, cfg.tokens).hint("merge")
+    pieces = parts.join(tokens, [cfg.dataset, cfg.key]).select(
         cfg.dataset,
         "sample",
         *carry,

@@ -9,6 +9,7 @@ vocabulary's size is checked before it is shipped to the workers; a larger one i
 from __future__ import annotations
 
 from collections.abc import Sequence
+from os.path import commonprefix
 from typing import Protocol
 
 import pyarrow as pa
@@ -42,7 +43,10 @@ def words(text: Column, specials: Sequence[str] = ()) -> Column:
     token wins; it ends a word even without white space around it."""
     if specials:
         pattern = specials_pattern(specials)
-        text = F.when(text.rlike(pattern), F.regexp_replace(text, pattern, " $1 ")).otherwise(text)
+        # A plain substring scan spares most texts the alternation.
+        start = commonprefix(list(specials))
+        present = text.contains(start) & text.rlike(pattern) if start else text.rlike(pattern)
+        text = F.when(present, F.regexp_replace(text, pattern, " $1 ")).otherwise(text)
     return F.array_remove(F.split(text, "[ \\n\\t\\r]+"), "")
 
 
