@@ -238,7 +238,7 @@ def a32(spark, sf):
 # ---- blended training data -------------------------------------------------------------------
 
 
-def _training(spark, sf, **kwargs):
+def _training(spark, sf, splits=SP.SPLITS):
     seqs = X.seqs(spark, sf)
     closed = seqs.select(
         "dataset", "doc_id", F.concat("tokens", F.array(F.lit(EOD))).alias("tokens"), (F.col("n_tokens") + 1).alias("n_tokens")
@@ -247,7 +247,8 @@ def _training(spark, sf, **kwargs):
     blend = B.collect_blend(P.tokens_per_epoch(X.lengths(spark, sf), cfg), weight="tokens_per_epoch")
     whole = sum(blend.weights)
     targets = {"train": whole // 64, "valid": whole // 1280, "test": whole // 6400}
-    return TR.build_splits(spark, closed, blend, SP.split_bounds("80,10,10"), targets, cfg, **kwargs)
+    targets = {s: t for s, t in targets.items() if s in splits}
+    return TR.build_splits(spark, closed, blend, SP.split_bounds("80,10,10"), targets, cfg)
 
 
 _A13 = (
@@ -285,7 +286,7 @@ def a13(spark, sf):
 @query("a13_training_samples")
 def a13_samples(spark, sf):
     cfg = P.PackConfig(64, reset_position_ids=True, reset_attention_mask=True, eod_mask_loss=True)
-    train = P.training_fields(_training(spark, sf)["train"], cfg)
+    train = P.training_fields(_training(spark, sf, ("train",))["train"], cfg)
     return train.select(
         "sample_idx",
         "dataset_id",

@@ -16,6 +16,7 @@ MAX_DATASETS = 32767  # dataset numbers are 16-bit
 REQUEST_MARGIN = 1.005  # ask for half a percent more than the target
 MAX_CHUNKS = 10_000
 MIN_CHUNK = 4096
+CHUNKS_AT_ONCE = 64
 
 
 @dataclass(frozen=True)
@@ -114,29 +115,44 @@ def balanced_schedule(spark: SparkSession, blend: Blend, size: int) -> DataFrame
     )
 
 
-def _replay(shares: np.ndarray, begin: int, drawn: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Largest-deficit draws for ``steps`` steps from ``begin``; returns choices and counts."""
-    drawn, chosen = drawn.copy(), np.empty(steps, dtype=np.int32)
-    for s in range(steps):
-        d = int(np.argmax(shares * max(float(begin + s), 1.0) - drawn))
-        chosen[s] = d
-        drawn[d] += 1.0
-    return chosen, drawn
-
-
-def _warm_start(shares: np.ndarray, begin: int) -> np.ndarray:
-    """A guess at the counts reached by step ``begin``: rounded shares some steps earlier, then
-    a replay up to ``begin``."""
-    lead = min(begin, 8 * len(shares) + 200)
-    at = begin - lead
-    drawn = np.floor(shares * at + 1e-9)
-    short = int(at - drawn.sum())
-    order = np.argsort(-(shares * at - drawn), kind="stable")
-    drawn[order[:short]] += 1.0
-    return _replay(shares, at, drawn, lead)[1]
+def _replay(
+    shares: np.ndarray, begins: np.ndarray, drawn: np.ndarray, steps: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Largest-deficit draws of several independent runs, one step of all runs at a time.
 
-
-def exact_schedule(spark: SparkSession, blend: Blend, size: int, chunk: int | None = None) -> DataFrame:
+    Run ``r`` starts at step ``begins[r]`` with counts ``drawn[r]``. Returns the datasets chosen,
+    their draw numbers (both runs x steps) and the final counts.
+    """
+    drawn, runs = drawn.copy(), np.arange(len(begins))
+    chosen = np.empty((len(begins), steps), dtype=np.int16)
+    numbers = np.empty((len(begins), steps), dtype=np.int64)
+    for s in range(steps):
+        at = np.maximum(begins + s, 1).astype(np.float64)
+        d = np.argmax(shares * at[:, None] - drawn, axis=1)
+        chosen[:, s] = d
+        numbers[:, s] = drawn[runs, d]
+        drawn[runs, d] += 1.0
+    return chosen, numbers, drawn
+
+
+def _warm_start(shares: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A guess at the counts reached by each step in ``begins``: rounded shares some steps
+    earlier, then a replay up to there."""
+    lead = min(8 * len(shares) + 200, int(begins[begins > 0].min(initial=1 << 40)))
+    at = np.maximum(begins - lead, 0)
+    exact = shares * at[:, None]
+    drawn = np.floor(exact + 1e-9)
+    order = np.argsort(drawn - exact, axis=1, kind="stable")
+    rank = np.argsort(order, axis=1, kind="stable")
+    drawn += rank < (at - drawn.sum(axis=1))[:, None]
+    drawn = _replay(shares, at, drawn, lead)[2]
+    drawn[begins == 0] = 0.0
+    return drawn
+
+
+def exact_schedule(
+    spark: SparkSession, blend: Blend, size: int, chunk: int | None = None, guess=_warm_start
+) -> DataFrame:
     """The greedy schedule: at step n draw from the dataset with the largest
     ``share * max(n, 1) - drawn``, ties to the lowest number.
 
@@ -148,21 +164,25 @@ def exact_schedule(spark: SparkSession, blend: Blend, size: int, chunk: int | No
     shares = np.array(blend.shares, dtype=np.float64)
     chunk = chunk or max(MIN_CHUNK, -(-size // (MAX_CHUNKS - 1)))
     n_chunks = max(1, -(-size // chunk))
-    steps = lambda c: min(chunk, size - c * chunk)
+    tasks = min(n_chunks, 4 * spark.sparkContext.defaultParallelism)
 
-    def ends(batches):
+    def groups(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples():
-                start = np.array(row.start) if row.start is not None else _warm_start(shares, row.chunk * chunk)
-                out.append((row.chunk, start.tolist(), _replay(shares, row.chunk * chunk, start, steps(row.chunk))[1].tolist()))
-            yield pd.DataFrame(out, columns=["chunk", "start", "end"])
+            for at in range(0, len(pdf), CHUNKS_AT_ONCE):
+                part = pdf.iloc[at : at + CHUNKS_AT_ONCE]
+                begins = part["chunk"].to_numpy() * chunk
+                known = [s is not None for s in part["start"]]
+                starts = np.stack(part["start"].to_list()) if all(known) else guess(shares, begins)
+                yield part["chunk"].to_numpy(), begins, starts
 
-    schema = "chunk bigint, start array<double>, end array<double>"
+    def ends(batches):
+        for chunks, begins, starts in groups(batches):
+            final = _replay(shares, begins, starts, chunk)[2]
+            yield pd.DataFrame({"chunk": chunks, "start": list(starts), "end": list(final)})
 
     def run(frame: DataFrame) -> dict[int, tuple[list, list]]:
-        spread = frame.repartition(min(n_chunks, 512))
-        return {r["chunk"]: (r["start"], r["end"]) for r in spread.mapInPandas(ends, schema).collect()}
+        done = frame.repartition(tasks).mapInPandas(ends, "chunk bigint, start array<double>, end array<double>")
+        return {r["chunk"]: (r["start"], r["end"]) for r in done.collect()}
 
     known = run(spark.range(n_chunks).select(F.col("id").alias("chunk"), F.lit(None).cast("array<double>").alias("start")))
     while wrong := [c for c in range(1, n_chunks) if known[c][0] != known[c - 1][1]]:
@@ -170,25 +190,20 @@ def exact_schedule(spark: SparkSession, blend: Blend, size: int, chunk: int | No
         known.update(run(spark.createDataFrame(redo, "chunk bigint, start array<double>")))
 
     def draws(batches):
-        for pdf in batches:
-            for row in pdf.itertuples():
-                start = np.array(row.start)
-                chosen, _ = _replay(shares, row.chunk * chunk, start, steps(row.chunk))
-                hits = np.eye(len(shares), dtype=np.int64)[chosen] if len(shares) <= 64 else None
-                if hits is not None:
-                    seen = (np.cumsum(hits, axis=0) - hits)[np.arange(len(chosen)), chosen]
-                else:
-                    seen = pd.Series(chosen).groupby(chosen).cumcount().to_numpy()
+        for _, begins, starts in groups(batches):
+            chosen, numbers, _ = _replay(shares, begins, starts, chunk)
+            for r, begin in enumerate(begins):
+                n = min(chunk, size - begin)
                 yield pd.DataFrame(
                     {
-                        "sample_idx": row.chunk * chunk + np.arange(len(chosen), dtype=np.int64),
-                        "dataset_id": chosen.astype(np.int16),
-                        "dataset_sample_idx": start[chosen].astype(np.int64) + seen,
+                        "sample_idx": begin + np.arange(n, dtype=np.int64),
+                        "dataset_id": chosen[r, :n],
+                        "dataset_sample_idx": numbers[r, :n],
                     }
                 )
 
     starts = spark.createDataFrame([(c, known[c][0]) for c in range(n_chunks)], "chunk bigint, start array<double>")
-    return starts.repartition(min(n_chunks, 512)).mapInPandas(
+    return starts.repartition(tasks).mapInPandas(
         draws, "sample_idx bigint, dataset_id smallint, dataset_sample_idx bigint"
     )
 

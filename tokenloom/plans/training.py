@@ -26,12 +26,17 @@ def build_split(
     """Blended samples of one split: ``(sample_idx, dataset_id, dataset_sample_idx, tokens, doc_ids)``.
 
     ``lengths`` names the sequences of the split, ``sequences`` holds their tokens. The size is
-    the sum of the requests. Places and draws are worked out on narrow rows, and the document
-    index is saved once; tokens move only for samples that are really drawn.
+    the sum of the requests. Places and draws are worked out on narrow rows; the schedule and the
+    document index are saved once; tokens move only for samples that are really drawn.
     """
     requests = blend_requests(spark, blend, {"s": target}).select("dataset_id", "dataset", "requested")
     size = sum(r["requested"] for r in requests.collect())  # one row per dataset
-    named = requests.withColumnRenamed("dataset", cfg.dataset)
+    schedule = materialize(blend_schedule(spark, blend, size, mode), "blend-index")
+    # Rounding every request up can make a heavy dataset's draws exceed its own request.
+    draws = schedule.groupBy(F.col("dataset_id").cast("int").alias("dataset_id")).agg(F.count(F.lit(1)).alias("draws"))
+    named = requests.join(draws, "dataset_id", "left").select(
+        F.col("dataset").alias(cfg.dataset), F.greatest("requested", F.coalesce("draws", F.lit(0))).alias("requested")
+    )
     wanted = lengths.select(cfg.dataset, cfg.key, cfg.n_tokens).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
     index = materialize(P.tile_epochs(wanted, cfg, F.col("requested")), "document-index")
     starts = P.sample_index(index, cfg).where(F.col("sample") < F.col("n_samples"))
@@ -42,7 +47,7 @@ def build_split(
         numbers = numbers.withColumn("__k", F.col("sample"))
     ids = blend_frame(spark, blend).select("dataset_id", F.col("dataset").alias(cfg.dataset))
     keyed = numbers.join(F.broadcast(ids), cfg.dataset).select(cfg.dataset, "dataset_id", "__k", "sample")
-    drawn = lookup_blended(blend_schedule(spark, blend, size, mode), keyed, "dataset_id", "__k")
+    drawn = lookup_blended(schedule, keyed, "dataset_id", "__k")
     carried = ["sample_idx", "dataset_id", "dataset_sample_idx"]
     needed = P.sample_parts(index, cfg).join(drawn.select(cfg.dataset, "sample", *carried), [cfg.dataset, "sample"])
     return P.gather_samples(needed, sequences, cfg, carried).select(*carried, "tokens", "doc_ids")

@@ -116,5 +116,5 @@ def write_stats(totals: DataFrame, path: str, mode: str = "errorifexists") -> No
 
 def read_count_logs(spark: SparkSession, path: str) -> DataFrame:
     """Whole log files whose names begin like ``count*.log``, one row per file."""
-    logs = spark.read.option("wholetext", "true").text(path).withColumn("file", F.col("_metadata.file_name"))
+    logs = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
     return logs.where(F.col("file").rlike(r"^count.*.log")).select("file", "value")
