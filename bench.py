@@ -54,7 +54,7 @@ def main() -> None:
 
     # Stores a training run would start from: one sequence per document, one per line.
     docs, lines = scratch_path(spark, "docs"), scratch_path(spark, "lines")
-    ST.write_sequences(X.seqs(spark, sf), docs)
+    ST.write_sequences(X.tokenized(spark, sf), docs)
     per_line = X.documents(spark, sf).select(
         "doc_id", F.col("source").alias("dataset"), F.posexplode(F.split("text", "\n")).alias("seq_no", "line")
     )

@@ -335,7 +335,7 @@ def j02(spark, sf):
     "j03_mix_tracks",
     X.with_views(
         "wave",
-        "select a.track || '_mixed' as track, a.idx, round(a.amp + b.amp, 6) as amp from (select track // 2 as track, idx, amp from wave where track % 2 = 0) a"
+        "select a.track || '_mixed' as track, a.idx, a.amp + b.amp as amp from (select track // 2 as track, idx, amp from wave where track % 2 = 0) a"
         " join (select track // 2 as track, idx, amp from wave where track % 2 = 1) b using (track, idx)",
     ),
 )
@@ -343,7 +343,7 @@ def j03(spark, sf):
     pair = F.call_function("div", F.col("track"), F.lit(2)).cast("string")
     kind = F.when(F.col("track") % 2 == 0, "_itrack").otherwise("_vtrack")
     stems = X.wave(spark, sf).select(F.concat(pair, kind).alias("track"), "idx", "amp")
-    return W.mix_tracks(stems).withColumn("amp", F.round("amp", 6))
+    return W.mix_tracks(stems)
 
 
 @query(
@@ -495,10 +495,10 @@ def g11(spark, sf):
 
 @query(
     "f28_peak_normalize",
-    X.with_views("wave", "select track, idx, round(amp * (0.95 / max(abs(amp)) over (partition by track)), 6) as amp from wave"),
+    X.with_views("wave", "select track, idx, amp * (0.95::double / max(abs(amp)) over (partition by track)) as amp from wave"),
 )
 def f28(spark, sf):
-    return W.peak_normalize(X.wave(spark, sf).select("track", "idx", "amp")).withColumn("amp", F.round("amp", 6))
+    return W.peak_normalize(X.wave(spark, sf).select("track", "idx", "amp"))
 
 
 @query(
@@ -506,13 +506,13 @@ def f28(spark, sf):
     X.with_views(
         "wave",
         "select track, idx, greatest(least(amp / 50, 0.99), -0.99)::double as clipped,"
-        " round((amp / 50) * least(0.99 / max(abs(amp / 50)) over (partition by track), 1), 6) as scaled from wave",
+        " (amp / 50) * least(0.99::double / max(abs(amp / 50)) over (partition by track), 1.0::double) as scaled from wave",
     ),
 )
 def f29(spark, sf):
     w = X.wave(spark, sf).select("track", "idx", (F.col("amp") / 50).alias("amp"))
     clipped = W.limit_amplitude(w).withColumnRenamed("amp", "clipped")
-    scaled = W.limit_amplitude(w, rescale=True).withColumn("scaled", F.round("amp", 6)).drop("amp")
+    scaled = W.limit_amplitude(w, rescale=True).withColumnRenamed("amp", "scaled")
     return clipped.join(scaled, ["track", "idx"])
 
 

@@ -622,7 +622,7 @@ def a22(spark, sf):
 )
 def w05(spark, sf):
     _, cdf = length_distribution(30.0)
-    grid = F.array(*[F.lit(c) for c in cdf])
+    grid = C.double_array(cdf)
     u = T.hash_uniform(7, F.col("doc_id"), salt="length")
     draws = X.documents(spark, sf).select(F.size(F.filter(grid, lambda c: c <= u)).alias("i"))
     n = draws.groupBy("i").agg(F.count(F.lit(1)).alias("n"))

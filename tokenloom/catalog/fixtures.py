@@ -21,6 +21,7 @@ from ..functions.codecs import CodecOptions
 from ..functions.text import MARKERS
 from ..operators.order import dense_index
 from ..operators.tokenizer import WordTokenizer, build_vocab, words
+from ..session import materialize
 
 ONE = CodecOptions("xcodec", 0, 1)  # songs: one codebook
 FOUR = CodecOptions("dac16k")  # codes: four codebooks
@@ -56,7 +57,23 @@ def tokenizer(spark: SparkSession, sf: str, markers: bool = False) -> WordTokeni
     return _tokenizer(spark.sparkContext.applicationId, spark, sf, markers)
 
 
+@lru_cache(maxsize=16)
+def _saved(app: str, spark: SparkSession, sf: str, build) -> DataFrame:
+    return materialize(build(spark, sf), build.__name__.strip("_"))
+
+
 def seqs(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as a stored token table ``(doc_id, dataset, tokens, n_tokens)``, written once per
+    session and folder."""
+    return _saved(spark.sparkContext.applicationId, spark, sf, tokenized)
+
+
+def songs(spark: SparkSession, sf: str) -> DataFrame:
+    """The songs as a stored table, written once per session and folder."""
+    return _saved(spark.sparkContext.applicationId, spark, sf, derived_songs)
+
+
+def tokenized(spark: SparkSession, sf: str) -> DataFrame:
     """``(doc_id, dataset, tokens, n_tokens)``; plain words, no special tokens."""
     split = documents(spark, sf).select(
         "doc_id", F.col("source").alias("dataset"), words(F.col("text")).alias("w")
@@ -71,7 +88,7 @@ def sizes(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select("doc_id", per_line.alias("sizes"))
 
 
-def songs(spark: SparkSession, sf: str) -> DataFrame:
+def derived_songs(spark: SparkSession, sf: str) -> DataFrame:
     """One song per document with inlined stems; see the module text."""
     d = documents(spark, sf).select("doc_id", "lang", "source", "text", words(F.col("text")).alias("w"))
     lines = F.transform(

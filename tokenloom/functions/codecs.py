@@ -127,7 +127,12 @@ class CodecOptions:
 
 def int_array(values) -> Column:
     """A literal ``ARRAY<INT>``."""
-    return F.array(*[F.lit(int(v)) for v in values]) if len(values) else F.array().cast("array<int>")
+    return F.expr(f"cast(array({', '.join(str(int(v)) for v in values)}) as array<int>)")
+
+
+def double_array(values) -> Column:
+    """A literal ``ARRAY<DOUBLE>``."""
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
 
 
 def n_frames(matrix: Column) -> Column:

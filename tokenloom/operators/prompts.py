@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions.binding import let, let_all
-from ..functions.codecs import CodecOptions, codes_to_ids, n_frames, slice_frames
+from ..functions.codecs import CodecOptions, codes_to_ids, double_array, n_frames, slice_frames
 from ..functions.text import hash_uniform
 from .validate import is_varied
 
@@ -39,15 +39,17 @@ def length_distribution(prompt_seconds: float) -> tuple[list[float], list[float]
 def sample_length(u: Column, prompt_seconds: float = 30.0) -> Column:
     """Inverse-CDF draw of a prompt length: linear between the points, clamped at both ends."""
     xs, cdf = length_distribution(prompt_seconds)
-    x = F.array(*[F.lit(v) for v in xs])
-    c = F.array(*[F.lit(v) for v in cdf])
-    i = F.size(F.filter(c, lambda p: p <= u))
-    x0, x1, c0, c1 = (F.get(a, j) for a, j in ((x, i - 1), (x, i), (c, i - 1), (c, i)))
-    return (
-        F.when(i == 0, F.lit(xs[0]))
-        .when(i >= PROMPT_POINTS, F.lit(xs[-1]))
-        .otherwise(x0 + (x1 - x0) * (u - c0) / (c1 - c0))
-    )
+    x, c = double_array(xs), double_array(cdf)
+
+    def between(u: Column, i: Column) -> Column:
+        x0, x1, c0, c1 = (F.get(a, j) for a, j in ((x, i - 1), (x, i), (c, i - 1), (c, i)))
+        return (
+            F.when(i == 0, F.lit(xs[0]))
+            .when(i >= PROMPT_POINTS, F.lit(xs[-1]))
+            .otherwise(x0 + (x1 - x0) * (u - c0) / (c1 - c0))
+        )
+
+    return let(u, lambda v: let(F.size(F.filter(c, lambda p: p <= v)), lambda i: between(v, i)))
 
 
 def reference_block(prompt_ids: Column, start_marker: Column, end_marker: Column, opts: CodecOptions) -> Column:
@@ -98,7 +100,7 @@ def sample_prompt(
             source = S.interleave(ids(voc), ids(inst)) if mode == "dual" else ids(stems[mode])
             frames = last - first
             drawn = (sample_length(hash_uniform(seed, key, salt="length"), prompt_seconds) * rate).cast("int") * step
-            span = F.when(drawn <= 0, (rate * step).cast("int")).otherwise(drawn)
+            span = let(drawn, lambda n: F.when(n <= 0, (rate * step).cast("int")).otherwise(n))
             span = let(span, lambda n: F.when(n >= frames * step, _half(frames * step)).otherwise(n))
 
             def pick(source: Column, length: Column) -> Column:

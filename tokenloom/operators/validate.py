@@ -86,34 +86,20 @@ def fps_is_valid(fps: Column) -> Column:
 def reconcile_stems(df: DataFrame, *matrices: str) -> tuple[DataFrame, Column]:
     """Trim codec matrices of one song to the shortest when all lengths lie within ten frames.
     Returns the trimmed frame and the check that lengths were too far apart."""
-    names = [f"m{i}" for i in range(len(matrices))]
-
-    def trim(**stems: Column) -> Column:
-        lengths = [n_frames(m) for m in stems.values()]
-        bounds = F.struct(F.least(*lengths).alias("lo"), F.greatest(*lengths).alias("hi"))
-
-        def cut(m: Column, b: Column) -> Column:
-            spread = b["hi"] - b["lo"]
-            near = (spread > 0) & (spread <= MAX_STEM_DIFFERENCE)
-            return F.when(near, slice_frames(m, F.lit(0), b["lo"])).otherwise(m)
-
-        return let(
-            bounds,
-            lambda b: F.struct(
-                *[cut(m, b).alias(n) for n, m in stems.items()],
-                b["lo"].alias("frames"),
-                (b["hi"] - b["lo"]).alias("spread"),
-            ),
-        )
-
-    stems = let_all(trim, **{n: F.col(m) for n, m in zip(names, matrices)})
-    out = df.withColumn("__stems", stems)
-    trimmed = {m: F.col(f"__stems.{n}") for n, m in zip(names, matrices)}
-    columns = [trimmed[c].alias(c) if c in trimmed else F.col(c) for c in df.columns]
-    return (
-        out.select(*columns, F.col("__stems.frames").alias("__frames"), F.col("__stems.spread").alias("__spread")),
-        F.col("__spread") > MAX_STEM_DIFFERENCE,
+    # Lengths stay separate from the trimmed matrices, so that filters on them, pushed down to the
+    # scan, cost no more than a look at array sizes.
+    lengths = [n_frames(F.col(m)) for m in matrices]
+    shortest, spread = F.least(*lengths), F.greatest(*lengths) - F.least(*lengths)
+
+    def cut(m: Column, frames: Column, spread: Column) -> Column:
+        near = (spread > 0) & (spread <= MAX_STEM_DIFFERENCE)
+        return F.when(near, slice_frames(m, F.lit(0), frames)).otherwise(m)
+
+    trimmed = {m: let_all(cut, m=F.col(m), frames=shortest, spread=spread).alias(m) for m in matrices}
+    out = df.select(
+        *[trimmed.get(c, F.col(c)) for c in df.columns], shortest.alias("__frames"), spread.alias("__spread")
     )
+    return out, F.col("__spread") > MAX_STEM_DIFFERENCE
 
 
 def is_varied(ids: Column) -> Column:
