@@ -274,18 +274,16 @@ def p13(spark, sf):
     "p14_quarantine",
     X.with_views(
         "songs",
-        "select coalesce(reason, 'good') as reason, count(*) as n from (select case when doc_id % 17 = 5 then 'missing_file' when n = 0 or n_inst = 0"
-        " then 'empty' when n - n_inst > 10 then 'stem_length' when not (n_inst / seconds between 49 and 51) then 'frame_rate' end as reason"
+        "select coalesce(reason, 'good') as reason, count(*) as n from (select case when n_inst = 0 then 'missing_file' when n - n_inst > 10 then 'stem_length' when not (n_inst / seconds between 49 and 51) then 'frame_rate' end as reason"
         " from songs) group by reason",
     ),
 )
 def p14(spark, sf):
     m = E.attach_codecs(X.manifest(spark, sf), X.codec_files(spark, sf), ["vocals_codec", "instrumental_codec"])
     v, i = "vocals_codec_matrix", "instrumental_codec_matrix"
-    trimmed, far = V.reconcile_stems(m.withColumn("nv", C.n_frames(F.col(v))).withColumn("ni", C.n_frames(F.col(i))), v, i)
+    trimmed, far = V.reconcile_stems(m, v, i)
     reason = V.first_reason(
-        (F.col(i).isNull(), "missing_file"),
-        ((F.col("nv") == 0) | (F.col("ni") == 0), "empty"),
+        (V.missing_keys([v, i]), "missing_file"),
         (far, "stem_length"),
         (~V.fps_is_valid(V.song_fps(F.col("__frames"), F.col("audio_length_in_sec"))), "frame_rate"),
     )
@@ -301,7 +299,7 @@ def p14(spark, sf):
     "j01_attach_codecs",
     X.with_views(
         "songs",
-        "select doc_id, n as vocal_frames, case when doc_id % 17 <> 5 then n_inst end as inst_frames, doc_id % 17 = 5 as missing from songs",
+        "select doc_id, nullif(n, 0) as vocal_frames, nullif(n_inst, 0) as inst_frames, n_inst = 0 as missing from songs",
     ),
 )
 def j01(spark, sf):
@@ -348,11 +346,11 @@ def j03(spark, sf):
 
 @query(
     "j04_data_with_index",
-    "select 'mmap/' || doc_id || '.bin' as path from documents where doc_id % 6 <> 2 and doc_id in (select doc_id from labels)",
+    "select 'mmap/' || doc_id || '.bin' as path from documents where doc_id in (select doc_id from labels)",
 )
 def j04(spark, sf):
     name = lambda ext: F.concat(F.lit("mmap/"), F.col("doc_id").cast("string"), F.lit(ext)).alias("path")
-    data = X.documents(spark, sf).where(F.col("doc_id") % 6 != 2).select(name(".bin"))
+    data = X.documents(spark, sf).select(name(".bin"))
     index = X.table(spark, sf, "labels").select(name(".idx"))
     return MX.data_with_index(data.unionByName(index))
 
@@ -542,14 +540,13 @@ def a26(spark, sf):
     "p15_min_chunk",
     _ctes(
         "wave",
-        "w2 as (select track, idx from wave where track % 3 > 0 or idx < 9),"
-        + _CHUNKS.format(m=12).replace("from wave)", "from w2)"),
+        _CHUNKS.format(m=70).replace("idx // 16", "idx // 100"),
         "select track, segment, count(*) as n from final group by all",
     ),
 )
 def p15(spark, sf):
-    short = X.wave(spark, sf).select("track", "idx").where((F.col("track") % 3 > 0) | (F.col("idx") < 9))
-    return W.chunk_wave(short, 16, 12).groupBy("track", "segment").agg(F.count(F.lit(1)).alias("n"))
+    # Tracks with fewer than 70 samples have no chunk that is long enough.
+    return W.chunk_wave(X.wave(spark, sf).select("track", "idx"), 100, 70).groupBy("track", "segment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

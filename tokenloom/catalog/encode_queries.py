@@ -145,12 +145,11 @@ def a30_segments(spark, sf):
 
 def _interleaved_sql(text: str, headed: bool) -> str:
     reason = (
-        "case when g.doc_id % 17 = 5 then 'missing_file' when g.n - g.n_inst > 10 then 'stem_length' when g.n = 0 or g.n_inst = 0 then 'bad_length'"
+        "case when g.n_inst = 0 then 'missing_file' when g.n - g.n_inst > 10 then 'stem_length'"
         " when not (g.n_inst / g.seconds between 49 and 51) then 'frame_rate'"
         + ("" if headed else " when p.doc_id is null then 'no_valid_segments'")
         + " end"
     )
-    # n_inst = 0 with n <= 10 fails the length check after the stems were trimmed to nothing
     part = (
         "'1 ' || t.ids || ' 32001 32016 ' || c.ids || ' 32002 2'" if headed else "t.ids || ' 32001 32016 ' || c.ids || ' 32002'"
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import pack as P
-from ..operators.blend import Blend, blend_frame, blend_requests, blend_schedule, lookup_blended
+from ..operators.blend import Blend, blend_frame, blend_requests, blend_schedule, lookup_blended, request_size
 from ..operators.split import SPLITS, Bounds, assign_split
 from ..session import materialize
 
@@ -30,7 +30,7 @@ def build_split(
     document index are saved once; tokens move only for samples that are really drawn.
     """
     requests = blend_requests(spark, blend, {"s": target}).select("dataset_id", "dataset", "requested")
-    size = sum(r["requested"] for r in requests.collect())  # one row per dataset
+    size = sum(request_size(target, share) for share in blend.shares)
     schedule = materialize(blend_schedule(spark, blend, size, mode), "blend-index")
     # Rounding every request up can make a heavy dataset's draws exceed its own request.
     draws = schedule.groupBy(F.col("dataset_id").cast("int").alias("dataset_id")).agg(F.count(F.lit(1)).alias("draws"))
