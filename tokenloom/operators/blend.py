@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 MAX_DATASETS = 32767  # dataset numbers are 16-bit
 REQUEST_MARGIN = 1.005  # ask for half a percent more than the target
 MAX_CHUNKS = 10_000
+MAX_STATE_CELLS = 4_000_000  # counts of all chunks that may reach the driver
 MIN_CHUNK = 4096
-CHUNKS_AT_ONCE = 64
+RUNS_AT_ONCE = 64
+MAX_DRAWS_AT_ONCE = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -116,21 +118,23 @@ def balanced_schedule(spark: SparkSession, blend: Blend, size: int) -> DataFrame
 
 
 def _replay(
-    shares: np.ndarray, begins: np.ndarray, drawn: np.ndarray, steps: int
+    shares: np.ndarray, begins: np.ndarray, drawn: np.ndarray, steps: int, record: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Largest-deficit draws of several independent runs, one step of all runs at a time.
 
     Run ``r`` starts at step ``begins[r]`` with counts ``drawn[r]``. Returns the datasets chosen,
-    their draw numbers (both runs x steps) and the final counts.
+    their draw numbers (both runs x steps, empty unless ``record``) and the final counts.
     """
     drawn, runs = drawn.copy(), np.arange(len(begins))
-    chosen = np.empty((len(begins), steps), dtype=np.int16)
-    numbers = np.empty((len(begins), steps), dtype=np.int64)
+    kept = steps if record else 0
+    chosen = np.empty((len(begins), kept), dtype=np.int16)
+    numbers = np.empty((len(begins), kept), dtype=np.int64)
     for s in range(steps):
         at = np.maximum(begins + s, 1).astype(np.float64)
         d = np.argmax(shares * at[:, None] - drawn, axis=1)
-        chosen[:, s] = d
-        numbers[:, s] = drawn[runs, d]
+        if record:
+            chosen[:, s] = d
+            numbers[:, s] = drawn[runs, d]
         drawn[runs, d] += 1.0
     return chosen, numbers, drawn
 
@@ -159,17 +163,19 @@ def exact_schedule(
     The recurrence is sequential, so it is cut into chunks that start from guessed counts and
     run in parallel. A guess is kept only if it equals the counts the chunk before it ended
     with; otherwise that chunk runs again from the right counts. The result is exact
-    whatever the guesses were. Only the counts per chunk (at most 10,000 rows) reach the driver.
+    whatever the guesses were. Only the counts per chunk reach the driver, at most four million.
     """
     shares = np.array(blend.shares, dtype=np.float64)
-    chunk = chunk or max(MIN_CHUNK, -(-size // (MAX_CHUNKS - 1)))
+    most_chunks = max(1, min(MAX_CHUNKS, MAX_STATE_CELLS // len(shares)) - 1)
+    chunk = chunk or max(MIN_CHUNK, -(-size // most_chunks))
     n_chunks = max(1, -(-size // chunk))
     tasks = min(n_chunks, 4 * spark.sparkContext.defaultParallelism)
+    together = max(1, min(RUNS_AT_ONCE, MAX_DRAWS_AT_ONCE // chunk))
 
     def groups(batches):
         for pdf in batches:
-            for at in range(0, len(pdf), CHUNKS_AT_ONCE):
-                part = pdf.iloc[at : at + CHUNKS_AT_ONCE]
+            for at in range(0, len(pdf), together):
+                part = pdf.iloc[at : at + together]
                 begins = part["chunk"].to_numpy() * chunk
                 known = [s is not None for s in part["start"]]
                 starts = np.stack(part["start"].to_list()) if all(known) else guess(shares, begins)
@@ -191,7 +197,7 @@ def exact_schedule(
 
     def draws(batches):
         for _, begins, starts in groups(batches):
-            chosen, numbers, _ = _replay(shares, begins, starts, chunk)
+            chosen, numbers, _ = _replay(shares, begins, starts, chunk, record=True)
             for r, begin in enumerate(begins):
                 n = min(chunk, size - begin)
                 yield pd.DataFrame(
