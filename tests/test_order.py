@@ -44,6 +44,12 @@ def test_bad_keys_stop_the_job(spark):
         dense_index(df, "k").collect()
 
 
+def test_null_groups_stop_the_job(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k long, g string")
+    with pytest.raises(Exception, match="null"):
+        dense_index(df, "k", groups=["g"]).collect()
+
+
 def test_hash_rank_is_a_stable_permutation(spark):
     df = spark.range(500).withColumn("g", F.col("id") % 2)
     one = {(r.g, r.id): r.n for r in hash_rank(df, 5, ["id"], "n", ["g"]).collect()}

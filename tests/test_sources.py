@@ -144,6 +144,19 @@ def test_training_splits(spark, mode, shuffle):
             assert all((x < 0.8 * c) == (name == "train") for x in docs)
 
 
+def test_empty_split_of_a_drawn_dataset_is_reported(spark):
+    blend = B.Blend(("a", "b"), (3, 1))
+    with pytest.raises(ValueError, match="without tokens"):
+        TN.build_splits(spark, _seqs(spark), blend, [(0.0, 0.99), None, (0.99, 1.0)], {"test": 9}, P.PackConfig(8))
+
+
+def test_unknown_requests_stay(spark):
+    requests = spark.createDataFrame([(3, 1, 2), (999, 0, None)], "doc_id long, offset int, length int")
+    store = _seqs(spark).where("dataset = 'a'")
+    got = {r.doc_id: r.tokens for r in ST.take_sequences(store, requests).collect()}
+    assert got == {3: [3, 3], 999: None}
+
+
 def test_one_blend_per_split(spark):
     seqs, cfg = _seqs(spark), P.PackConfig(8)
     out = TN.build_splits(spark, seqs, {"train": B.Blend(("a",), (1,)), "test": B.Blend(("b",), (1,))}, [], {"train": 5, "test": 4}, cfg)

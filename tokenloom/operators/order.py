@@ -44,17 +44,24 @@ def prefix_sums(
     key. ``totals`` maps names of new columns to names in ``sums`` and adds the group totals.
 
     ``key`` must be a unique integer in ``[0, 2 ** key_bits)`` (checked at run time) within its
-    group, or unique together with ``ties``. Group columns must not be null.
+    group, or unique together with ``ties``. Group columns must not be null (checked likewise).
     Pass a narrow frame: it is read once for the rows and once for the bucket totals.
     """
     groups, totals = list(groups), dict(totals or {})
     names = list(sums)
     value = {n: f"__v_{n}" for n in names}
-    checked = F.when(F.col(key).between(0, (1 << key_bits) - 1), F.col(key).cast("bigint")).otherwise(
-        F.raise_error(F.lit(f"order key {key} is null or outside [0, 2**{key_bits})")).cast("bigint")
-    )
+
+    def checked(name: str, usable: Column, problem: str) -> Column:
+        kind = df.schema[name].dataType
+        return F.when(usable, F.col(name)).otherwise(F.raise_error(F.lit(f"{name} {problem}")).cast(kind))
+
+    in_range = F.col(key).between(0, (1 << key_bits) - 1)
+    leaf = checked(key, in_range, f"is null or outside [0, 2**{key_bits})").cast("bigint")
+    # Work on checked copies of the groups: rows must not get lost in the joins below.
+    copies = {f"__g{i}": checked(g, F.col(g).isNotNull(), "is null") for i, g in enumerate(groups)}
+    groups = list(copies)
     rows = df.withColumns(
-        {"__b0": F.shiftright(checked, shifts[0]), **{value[n]: c.cast("bigint") for n, c in sums.items()}}
+        {"__b0": F.shiftright(leaf, shifts[0]), **copies, **{value[n]: c.cast("bigint") for n, c in sums.items()}}
     )
 
     def before(over: list[str], order: list[str], name: str) -> Column:
@@ -95,6 +102,7 @@ def prefix_sums(
 
     local = rows.select(
         *[F.col(c) for c in df.columns],
+        *groups,
         "__b0",
         *[before([*groups, "__b0"], [key, *ties], value[n]).alias(f"__i_{n}") for n in names],
     )

@@ -39,6 +39,7 @@ def build_split(
     )
     wanted = lengths.select(cfg.dataset, cfg.key, cfg.n_tokens).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
     index = materialize(P.tile_epochs(wanted, cfg, F.col("requested")), "document-index")
+    _check_supply(named, index, cfg)
     starts = P.sample_index(index, cfg).where(F.col("sample") < F.col("n_samples"))
     numbers = starts.select(cfg.dataset, "sample", "first_range")
     if shuffle:
@@ -53,6 +54,16 @@ def build_split(
     return P.gather_samples(needed, sequences, cfg, carried).select(*carried, "tokens", "doc_ids")
 
 
+def _check_supply(requests: DataFrame, index: DataFrame, cfg: P.PackConfig) -> None:
+    """Every dataset must hold the samples that will be drawn from it; one without any token in
+    this split cannot, however many epochs are run."""
+    supply = index.groupBy(cfg.dataset).agg(F.max("n_samples").alias("n_samples"))
+    short = requests.join(supply, cfg.dataset, "left").where(F.col("requested") > F.coalesce("n_samples", F.lit(0)))
+    names = [r[0] for r in short.select(cfg.dataset).limit(10).collect()]
+    if names:
+        raise ValueError(f"datasets without tokens in this split: {names}")
+
+
 def build_splits(
     spark: SparkSession,
     sequences: DataFrame,

@@ -58,8 +58,8 @@ def take_sequences(
     store: DataFrame, requests: DataFrame, key: str = "doc_id", tokens: str = "tokens"
 ) -> DataFrame:
     """Random access: ``requests(key, offset, length)`` each return a part of one sequence; a null
-    length reads to the end."""
-    hit = requests.join(store.select(key, tokens), key)
+    length reads to the end. A request for an unknown sequence returns null tokens."""
+    hit = requests.join(store.select(key, tokens), key, "left")
     return hit.withColumn(tokens, sub_sequence(F.col(tokens), F.col("offset"), F.col("length")))
 
 
