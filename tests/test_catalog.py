@@ -5,8 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 import verify
+from tokenloom.catalog import all_queries
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+ORACLE = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in all_queries()}
 
 
 @pytest.fixture(scope="module")
