@@ -11,26 +11,12 @@ REPEAT_WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 
 
-def _table(chars: bytes) -> np.ndarray:
-    t = np.zeros(256, np.int32)
-    t[list(chars)] = 1
-    return t
-
-
-_LEAD = np.array([(b & 0xC0) != 0x80 for b in range(256)], np.int32)
-_KINDS = {
-    "symbols": _table(SYMBOLS),
-    "upper": _table(bytes(range(65, 91))),
-    "lower": _table(bytes(range(97, 123))),
-    "digits": _table(bytes(range(48, 58))),
-    "marks": _table(b"!"),
-    "stops": _table(b"."),
-    "commas": _table(b","),
-    "bars": _table(b"|"),
-    "lines": _table(b"\n"),
-    "wide": np.array([b >= 0xC2 for b in range(256)], np.int32),
-    "other": _table(bytes(x for x in range(33, 127) if not chr(x).isalnum())),
-}
+#: Each byte counts for one of these.
+CLASSES = ("rest", "upper", "lower", "digit", "symbol", "bar", "bang", "stop", "comma", "mark", "line", "wide", "tail")
+_CLASS = np.zeros(256, np.int64)
+_CLASS[[b for b in range(33, 127) if not chr(b).isalnum()]] = CLASSES.index("mark")
+for _name, _bytes in (("upper", range(65, 91)), ("lower", range(97, 123)), ("digit", range(48, 58)), ("symbol", SYMBOLS), ("bar", b"|"), ("bang", b"!"), ("stop", b"."), ("comma", b","), ("line", b"\n"), ("wide", range(0xC0, 256)), ("tail", range(0x80, 0xC0))):
+    _CLASS[list(_bytes)] = CLASSES.index(_name)
 
 
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -39,20 +25,13 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _repeats(rows: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, twice): an order that puts equal names of a row together, and which of the ordered ones occur twice or more."""
-    key = mix(names + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(key)
-    same = key[order[1:]] == key[order[:-1]]
-    twice = np.zeros(len(key), bool)
-    twice[1:] |= same
-    twice[:-1] |= same
-    return order, twice
+def _keyed(rows: np.ndarray, names: np.ndarray) -> np.ndarray:
+    return mix(names + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def distinct(rows: np.ndarray, names: np.ndarray, n: int) -> np.ndarray:
     """Distinct names of each of ``n`` rows."""
-    key = mix(names + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    key = _keyed(rows, names)
     order = np.argsort(key)
     new = np.ones(len(key), bool)
     new[1:] = key[order[1:]] != key[order[:-1]]
@@ -81,11 +60,15 @@ def repeated_words(w: Words, h: np.ndarray, size: int = REPEAT_WINDOW) -> np.nda
     at = np.flatnonzero(fits(w, size, len(g)))
     if not len(at):
         return np.zeros(len(w.first) - 1, np.int64)
-    order, twice = _repeats(w.rows[at], g[at])
+    key = _keyed(w.rows[at], g[at])
+    ordered = np.sort(key)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return np.zeros(len(w.first) - 1, np.int64)
+    hit = at[twice[np.minimum(np.searchsorted(twice, key), len(twice) - 1)] == key]
     step = np.zeros(len(h) + 1, np.int32)
-    hit = at[order[twice]]
     step[hit] += 1
-    np.subtract.at(step, hit + size, 1)
+    step[hit + size] -= 1
     return row_sums(np.cumsum(step[:-1]) > 0, w.first)
 
 
@@ -93,11 +76,15 @@ def statistics(arr: pa.Array) -> tuple[Words, np.ndarray, dict[str, np.ndarray]]
     """Words, their hashes and the counts of each row; null counts as empty."""
     w = words(arr)
     h = w.hashes() if len(w.start) else np.zeros(0, np.uint64)
-    out = {
+    n = len(arr)
+    rows = np.repeat(np.arange(n) * len(CLASSES), np.diff(w.offsets))
+    kinds = np.bincount(rows + _CLASS[w.data], minlength=n * len(CLASSES)).reshape(n, -1)
+    out = dict(zip(CLASSES, kinds.T))
+    out["symbol"] = out["symbol"] + out["bar"]
+    return w, h, out | {
+        "chars": np.diff(w.offsets) - out["tail"],
         "n_words": np.diff(w.first).astype(np.int64),
-        "chars": row_sums(_LEAD[w.data], w.offsets),
-        "word_chars": row_sums(w.chars(), w.first) if len(w.start) else np.zeros(len(arr), np.int64),
+        "word_chars": row_sums(w.chars(), w.first) if len(w.start) else np.zeros(n, np.int64),
         "n_dup_lines": duplicate_lines(w),
         "n_repeat_words": repeated_words(w, h),
     }
-    return w, h, out | {k: row_sums(t[w.data], w.offsets) for k, t in _KINDS.items()}
