@@ -106,8 +106,8 @@ def distinct_parts(arr: pa.Array) -> Parts:
 
 
 class Known:
-    """Values of parts met before in this worker, in flat arrays of bounded size; when they are full,
-    parts not met since are dropped with the rest and the table starts anew."""
+    """Values of parts met before in this worker, in flat arrays of up to ``room`` parts; a full table
+    starts anew."""
 
     def __init__(self, room: int = 1_000_000):
         self.room = room
@@ -132,7 +132,7 @@ class Known:
         pool = np.concatenate((self.values, values))
         ends = np.cumsum(size)
         out = pool[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        if len(self.names) + len(new) > self.room or len(pool) > 16 * self.room:
+        if len(self.names) + len(new) > self.room:
             self.clear()
         else:
             at = np.searchsorted(self.names, names[new])
