@@ -79,7 +79,7 @@ def plan_bins(counts: dict[int, int], limit: int) -> list[tuple[int, list[tuple[
             if top < 0:
                 break
             x = sizes[top]
-            k = min(left[x], gap // x) if used else 1
+            k = min(left[x] - used.get(x, 0), gap // x) if used else 1
             used[x] = used.get(x, 0) + k
             gap -= k * x
             if used[x] == left[x] or x > gap:
