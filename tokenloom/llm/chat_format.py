@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .groups import runs
 from .tables import table
 
 ROLES = ("system", "user", "assistant")
@@ -102,31 +103,6 @@ def cuts(summaries: list[np.ndarray]) -> tuple[int, list[int]]:
     return total, states[::-1]
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Whole groups of rows ordered by ``keys``; a group is at most one chunk of a conversation."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        change = np.zeros(len(batch), bool)
-        for c in keys:
-            v = batch[c].to_numpy(zero_copy_only=False)
-            change[1:] |= v[1:] != v[:-1]
-            if held and held[-1][c][-1].as_py() != v[0]:
-                change[0] = True
-        cut = np.flatnonzero(change).tolist()
-        last = 0
-        for x in cut:
-            if x > last:
-                held.append(batch.slice(last, x - last))
-            if held:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, last = [], x
-        held.append(batch.slice(last))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 KEYS = ["conv", "chunk"]
 
 
@@ -138,7 +114,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.clear()
         return pa.RecordBatch.from_arrays([pa.array(conv), pa.array(chunk, pa.int64()), pa.array(m, pa.list_(pa.int64()))], names=["conv", "chunk", "m"])
 
-    for group in _runs(batches, KEYS):
+    for group in runs(batches, KEYS):
         rows.append((group["conv"][0].as_py(), group["chunk"][0].as_py(), summary(tuple(group["given"].to_pylist()))))
         if len(rows) >= 5000:
             yield out()
@@ -156,7 +132,7 @@ def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group in _runs(batches, KEYS):
+    for group in runs(batches, KEYS):
         given, texts = tuple(group["given"].to_pylist()), group["text"].to_pylist()
         state, roles = group["entry"][0].as_py(), repair(tuple(given), group["entry"][0].as_py(), group["leave"][0].as_py())
         actions, counts, parts = [], [], []
