@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -36,11 +37,26 @@ class Blend:
 
 
 def collect_blend(weights: DataFrame, name: str = "dataset", weight: str = "weight") -> Blend:
-    """A weight table as plan-time configuration; there are fewer than 32,767 datasets."""
-    rows = weights.select(name, F.col(weight).cast("bigint")).orderBy(name).limit(MAX_DATASETS + 1).collect()
+    """A weight table as plan-time configuration; there are fewer than 32,767 datasets. Real-valued
+    weights are scaled to the smallest integers with the same ratios."""
+    rows = weights.select(name, F.col(weight).cast("string")).orderBy(name).limit(MAX_DATASETS + 1).collect()
     if len(rows) >= MAX_DATASETS:
         raise ValueError(f"a blend takes fewer than {MAX_DATASETS} datasets")
-    return Blend(tuple(r[0] for r in rows), tuple(int(r[1]) for r in rows))
+    return Blend(tuple(r[0] for r in rows), whole_weights([r[1] for r in rows]))
+
+
+def whole_weights(weights: Sequence[str | float]) -> tuple[int, ...]:
+    """Integers in the exact ratios of decimal weights; whole numbers stay as they are."""
+    try:
+        exact = [Fraction(str(w)) for w in weights]
+    except ValueError as e:
+        raise ValueError(f"a weight is missing or no number: {e}") from e
+    if any(w < 0 for w in exact):
+        raise ValueError("weights must not be negative")
+    scale = math.lcm(*[w.denominator for w in exact])
+    whole = [int(w * scale) for w in exact]
+    shrink = math.gcd(*whole) if scale > 1 else 1
+    return tuple(w // max(1, shrink) for w in whole)
 
 
 def blend_frame(spark: SparkSession, blend: Blend) -> DataFrame:
@@ -225,9 +241,13 @@ def blend_schedule(spark: SparkSession, blend: Blend, size: int, mode: str = "ba
 def lookup_blended(
     schedule: DataFrame, samples: DataFrame, dataset_id: str = "dataset_id", sample: str = "sample"
 ) -> DataFrame:
-    """Attach to each scheduled draw the sample it names."""
+    """Attach to each scheduled draw the sample it names; a draw without a sample stops the job."""
     keyed = samples.withColumnsRenamed({dataset_id: "dataset_id", sample: "dataset_sample_idx"})
-    return schedule.join(keyed, ["dataset_id", "dataset_sample_idx"])
+    joined = schedule.join(keyed.withColumn("__found", F.lit(True)), ["dataset_id", "dataset_sample_idx"], "left")
+    draw = F.concat_ws("/", F.col("dataset_id").cast("string"), F.col("dataset_sample_idx").cast("string"))
+    problem = F.raise_error(F.concat(F.lit("no sample for draw "), draw)).cast(joined.schema["dataset_id"].dataType)
+    checked = F.when(F.col("__found"), F.col("dataset_id")).otherwise(problem)
+    return joined.withColumn("dataset_id", checked).drop("__found")
 
 
 def achieved_ratios(schedule: DataFrame, blend: Blend, size: int) -> DataFrame:

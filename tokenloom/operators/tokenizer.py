@@ -64,7 +64,7 @@ def build_vocab(
     room = size - 1 - len(reserved)
     counted = (
         df.select(F.explode(words(F.col(col))).alias("token"))
-        .where(~F.col("token").isin(list(reserved)) if reserved else F.lit(True))
+        .where(~F.col("token").isin([*reserved, *SPECIAL_TOKENS]))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -107,10 +107,10 @@ class WordTokenizer:
         if table.num_rows > MAX_SHIPPED_VOCAB:
             raise ValueError(f"vocabulary exceeds {MAX_SHIPPED_VOCAB} rows: use tokenize_by_join")
         self.tokens = pa.concat_arrays(
-            [_as_array(table["token"]).cast(pa.string()), pa.array(list(self.specials), pa.string())]
+            [pa.array(list(self.specials), pa.string()), _as_array(table["token"]).cast(pa.string())]  # the first wins
         )
         self.ids = pa.concat_arrays(
-            [_as_array(table["id"]).cast(pa.int32()), pa.array(list(self.specials.values()), pa.int32())]
+            [pa.array(list(self.specials.values()), pa.int32()), _as_array(table["id"]).cast(pa.int32())]
         )
         self.vocab_size = max(self.ids.to_pylist(), default=0) + 1
         self._shared = vocab.sparkSession.sparkContext.broadcast((self.tokens, self.ids))
@@ -222,7 +222,7 @@ def tokenize_by_join(
     exploded = salted.select(
         key, "__salt", F.posexplode(words(F.col(col), list(specials))).alias("__pos", "token")
     )
-    full = vocab.select("token", "id").unionByName(special_vocab(df.sparkSession, specials))
+    full = vocab.select("token", "id").where(~F.col("token").isin(list(specials))).unionByName(special_vocab(df.sparkSession, specials))
     ids = (
         exploded.select("__salt", "token")
         .distinct()

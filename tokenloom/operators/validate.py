@@ -84,22 +84,22 @@ def fps_is_valid(fps: Column) -> Column:
 
 
 def reconcile_stems(df: DataFrame, *matrices: str) -> tuple[DataFrame, Column]:
-    """Trim codec matrices of one song to the shortest when all lengths lie within ten frames.
+    """Trim codec matrices of one song to the shortest. They are taken in the given order: each must lie
+    within ten frames of what the ones before it were trimmed to.
     Returns the trimmed frame and the check that lengths were too far apart."""
     # Lengths stay separate from the trimmed matrices, so that filters on them, pushed down to the
     # scan, cost no more than a look at array sizes.
-    lengths = [n_frames(F.col(m)) for m in matrices]
-    shortest, spread = F.least(*lengths), F.greatest(*lengths) - F.least(*lengths)
+    frames, far = n_frames(F.col(matrices[0])), F.lit(False)
+    for m in matrices[1:]:
+        far = far | (F.abs(frames - n_frames(F.col(m))) > MAX_STEM_DIFFERENCE)
+        frames = F.least(frames, n_frames(F.col(m)))
 
-    def cut(m: Column, frames: Column, spread: Column) -> Column:
-        near = (spread > 0) & (spread <= MAX_STEM_DIFFERENCE)
-        return F.when(near, slice_frames(m, F.lit(0), frames)).otherwise(m)
+    def cut(m: Column, frames: Column, far: Column) -> Column:
+        return F.when(far, m).otherwise(slice_frames(m, F.lit(0), frames))
 
-    trimmed = {m: let_all(cut, m=F.col(m), frames=shortest, spread=spread).alias(m) for m in matrices}
-    out = df.select(
-        *[trimmed.get(c, F.col(c)) for c in df.columns], shortest.alias("__frames"), spread.alias("__spread")
-    )
-    return out, F.col("__spread") > MAX_STEM_DIFFERENCE
+    trimmed = {m: let_all(cut, m=F.col(m), frames=frames, far=far).alias(m) for m in matrices}
+    out = df.select(*[trimmed.get(c, F.col(c)) for c in df.columns], frames.alias("__frames"), far.alias("__far"))
+    return out, F.col("__far")
 
 
 def is_varied(ids: Column) -> Column:

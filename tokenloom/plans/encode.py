@@ -282,7 +282,7 @@ def encode_interleaved(
     if not headed:
         empty = F.col("reason").isNull() & (F.size("__valid") == 0)
         done = done.withColumn("reason", F.when(empty, "no_valid_segments").otherwise(F.col("reason")))
-    return done.drop("__frames", "__spread", "__fps", "__valid", "__ids", "__prompt")
+    return done.drop("__frames", "__far", "__fps", "__valid", "__ids", "__prompt")
 
 
 def encode_stage2(df: DataFrame, codec: str, cfg: EncodeConfig) -> DataFrame:

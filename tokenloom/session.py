@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -34,15 +35,15 @@ def local_session(cpus: int | str = "*", app: str = "tokenloom", **conf: str) ->
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (single-machine tests) is a temporary folder made and
-    recorded as that setting, so later calls share it.
+    A session without that setting gets a temporary folder of this machine if it is a local one,
+    and an error otherwise: on a cluster every executor would write to its own disk.
     """
-    root = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(_CHECKPOINT_CONF)
+    conf = spark.sparkContext.getConf()
+    root = spark.conf.get(_CHECKPOINT_CONF, None) or conf.get(_CHECKPOINT_CONF) or getattr(scratch_path, "_local_root", None)
     if not root:
-        root = getattr(scratch_path, "_local_root", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tokenloom-")
-        scratch_path._local_root = root
+        if not re.match(r"local(\[|$)", conf.get("spark.master", "")):
+            raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that the driver and all executors share")
+        root = scratch_path._local_root = tempfile.mkdtemp(prefix="tokenloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.codecs import CodecOptions, codes_to_ids
 
 
+_INT = np.iinfo(np.int32)
+
+
 def read_codec(spark: SparkSession, path: str) -> DataFrame:
     """All ``.npy`` files below ``path`` as ``(path, codec)``; a damaged file gives a null matrix."""
     files = (
@@ -25,7 +28,8 @@ def read_codec(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode_npy(files: DataFrame) -> DataFrame:
-    """``(path, content BINARY)`` to ``(path, codec ARRAY<ARRAY<INT>>)``, batch by batch."""
+    """``(path, content BINARY)`` to ``(path, codec ARRAY<ARRAY<INT>>)``, batch by batch. Files that
+    are unreadable, not two-dimensional, not of integers, or wider than 32 bits give null."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -33,7 +37,9 @@ def decode_npy(files: DataFrame) -> DataFrame:
             for content in batch.column("content"):
                 try:
                     m = np.load(io.BytesIO(content.as_py()), allow_pickle=False)
-                    matrices.append(np.atleast_2d(m).astype(np.int32).tolist() if m.ndim <= 2 else None)
+                    # Values are judged as they are stored: nothing wraps, and no fraction is cut off.
+                    fine = m.ndim == 2 and m.dtype.kind in "iu" and (not m.size or (m.min() >= _INT.min and m.max() <= _INT.max))
+                    matrices.append(m.astype(np.int32).tolist() if fine else None)
                 except (ValueError, TypeError, EOFError, OSError):
                     matrices.append(None)
             codec = pa.array(matrices, pa.list_(pa.list_(pa.int32())))
