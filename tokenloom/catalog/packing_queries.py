@@ -389,7 +389,7 @@ def j07(spark, sf):
     ids = B.blend_frame(spark, blend).select("dataset_id", "dataset")
     packed = P.pack_samples(X.seqs(spark, sf), PACK).join(F.broadcast(ids), "dataset")
     schedule = B.blend_schedule(spark, blend, _size(spark, sf))
-    hit = B.lookup_blended(schedule, packed.select("dataset_id", "sample", "tokens"))
+    hit = B.lookup_blended(schedule, packed.select("dataset_id", "sample", "tokens"), missing="skip")
     return hit.select("sample_idx", "dataset_id", "dataset_sample_idx", X.joined("tokens").alias("tokens"))
 
 
