@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.operators import pack as P
+from tokenloom.operators import split as SP
+from tokenloom.plans import encode as E
+from tokenloom.sources import store as ST
 
 
 def _brute(docs, L, epochs=1):
@@ -85,3 +88,60 @@ def test_plan_shuffles_tokens_by_document_and_sample_only(spark):
     df = _frame(spark, {"a": [[1, 2, 3]] * 5})
     plan = P.pack_samples(df, P.PackConfig(2))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def _by_sequence(spark, docs):
+    """Documents ``{(dataset, doc): [sequence, ...]}`` as a store with a row per sequence."""
+    rows = [(d, i, sum(qs, []), [len(q) for q in qs]) for (d, i), qs in docs.items()]
+    return E.to_sequences(spark.createDataFrame(rows, "dataset string, doc_id long, tokens array<int>, lengths array<int>").repartition(3))
+
+
+def test_several_sequences_per_document(spark):
+    store = _by_sequence(spark, {("a", 0): [[1, 2, 3], [4, 5]], ("a", 1): [[6, 7]]})
+    assert _packed(store, P.PackConfig(2, ties=("seq_no",))) == {"a": [[1, 2, 3], [3, 4, 5], [5, 6, 7]]}
+    with pytest.raises(Exception, match="not unique"):
+        P.pack_samples(store, P.PackConfig(2)).collect()
+    with pytest.raises(Exception, match="not unique"):
+        P.pack_samples(store.unionByName(store), P.PackConfig(2, ties=("seq_no",))).collect()
+
+
+@pytest.mark.parametrize("L", [3, 16])
+def test_sequences_match_brute_force(spark, L):
+    rng = random.Random(L)
+    docs = {
+        (name, i): [[rng.randrange(900) for _ in range(rng.choice([0, 1, 4, 30]))] for _ in range(rng.choice([1, 2, 7]))]
+        for name, n in (("hot", 40), ("b", 5)) for i in range(n)
+    }
+    store = _by_sequence(spark, docs)
+    cfg = P.PackConfig(L, ties=("seq_no",))
+    assert _packed(store, cfg) == {n: b for n in ("hot", "b") if (b := _brute([q for (d, _), qs in docs.items() if d == n for q in qs], L))}
+    shuffled = P.PackConfig(L, ties=("seq_no",), shuffle_documents=True)
+    one, two = (_packed(store.repartition(n), shuffled, F.lit(60)) for n in (1, 4))
+    assert one == two
+    labels = SP.assign_split(store, SP.split_bounds("70,20,10"), "doc_id", ["dataset"], ties=["seq_no"]).where("dataset = 'hot'")
+    got = [r.split for r in labels.orderBy("doc_id", "seq_no").collect()]
+    assert got == sorted(got, key=SP.SPLITS.index) and abs(got.count("train") - 0.7 * len(got)) <= 1
+
+
+def test_sequences_in_stores(spark):
+    one = _by_sequence(spark, {("a", 0): [[1], [2, 3]], ("b", 0): [[4]]})
+    two = _by_sequence(spark, {("a", 0): [[5], [6]], ("a", 9): [[7]]})
+    got = ST.append_stores([one, two])
+    ids = {(r.store_no, r.dataset, r.doc_id, r.seq_no): r.new_id for r in got.collect()}
+    assert ids == {(0, "a", 0, 0): 0, (0, "a", 0, 1): 0, (0, "b", 0, 0): 1, (1, "a", 0, 0): 2, (1, "a", 0, 1): 2, (1, "a", 9, 0): 3}
+    ask = spark.createDataFrame([("a", 0, 1, 1, None), ("b", 0, 0, 0, 5), ("b", 7, 0, 0, 1)], "dataset string, doc_id long, seq_no int, offset int, length int")
+    assert {(r.dataset, r.doc_id): r.tokens for r in ST.take_sequences(one, ask).collect()} == {("a", 0): [3], ("b", 0): [4], ("b", 7): None}
+    with pytest.raises(ValueError, match="dataset"):
+        ST.take_sequences(one, ask.drop("dataset"))
+
+
+def test_documents_with_very_many_sequences(spark):
+    n = 80_000
+    doc = spark.range(1).select(F.lit("a").alias("dataset"), F.col("id").alias("doc_id"), F.sequence(F.lit(0), F.lit(2 * n - 1)).alias("tokens"), F.array_repeat(F.lit(2), n).alias("lengths"))
+    got = E.to_sequences(doc).agg(F.count(F.lit(1)).alias("n"), F.max("seq_no").alias("last"), F.count_if(F.col("tokens")[0] == 2 * F.col("seq_no")).alias("right")).first()
+    assert tuple(got) == (n, n - 1, n)
+    odd = spark.createDataFrame([("a", 1, [1, 2], [1])], "dataset string, doc_id long, tokens array<int>, lengths array<int>")
+    with pytest.raises(Exception, match="add up"):
+        E.to_sequences(odd).collect()
+    none = spark.createDataFrame([("a", 1, None, None), ("a", 2, [], []), ("b", 3, [9], [0, 1])], "dataset string, doc_id long, tokens array<int>, lengths array<int>")
+    assert sorted((r.doc_id, r.seq_no, r.tokens) for r in E.to_sequences(none).collect()) == [(3, 0, []), (3, 1, [9])]

@@ -21,6 +21,7 @@ from ..functions.codecs import CodecOptions
 from ..functions.text import MARKERS
 from ..operators.order import dense_index
 from ..operators.tokenizer import WordTokenizer, build_vocab, words
+from ..plans.encode import to_sequences
 from ..session import materialize
 
 ONE = CodecOptions("xcodec", 0, 1)  # songs: one codebook
@@ -82,6 +83,12 @@ def tokenized(spark: SparkSession, sf: str) -> DataFrame:
     return split.select("doc_id", "dataset", ids.alias("tokens"), F.size("w").alias("n_tokens"))
 
 
+def line_seqs(spark: SparkSession, sf: str) -> DataFrame:
+    """The store with a row per line: ``(dataset, doc_id, seq_no, tokens, n_tokens)``."""
+    lines = sizes(spark, sf).withColumnRenamed("sizes", "lengths")
+    return to_sequences(seqs(spark, sf).drop("n_tokens").join(lines, "doc_id"))
+
+
 def sizes(spark: SparkSession, sf: str) -> DataFrame:
     """``(doc_id, sizes)``: words per line of each document."""
     per_line = F.transform(F.split("text", "\n"), lambda line: F.size(words(line)))

@@ -40,6 +40,12 @@ def a01_long(spark, sf):
     return packed.select("dataset", "sample", X.joined("tokens").alias("tokens"))
 
 
+@query("a01_pack_sequences", X.with_views("flat", PACKED.format(L=L)))
+def a01_sequences(spark, sf):
+    packed = P.pack_samples(X.line_seqs(spark, sf), P.PackConfig(L, ties=("seq_no",)))
+    return packed.select("dataset", "sample", X.joined("tokens").alias("tokens"))
+
+
 _SAMPLE_DOCS = PACKED.format(L=L).replace(
     "string_agg(f.id::varchar, ' ' order by f.place) as tokens", "array_to_string(list(distinct f.doc_id order by f.doc_id), ' ') as doc_ids"
 )
@@ -278,6 +284,20 @@ def a09(spark, sf):
     return split.select("dataset", "doc_id", "split")
 
 
+@query(
+    "a09_split_by_sequence",
+    X.with_views(
+        "linew",
+        f"select dataset, doc_id, seq_no, {_ASSIGNED} as split from (select dataset, doc_id, i::integer as seq_no, row_number() over (partition by dataset"
+        " order by doc_id, i) - 1 as r, count(*) over (partition by dataset) as n from linew)",
+    ),
+)
+def a09_sequence(spark, sf):
+    rows = X.line_seqs(spark, sf).drop("tokens")
+    split = SP.assign_split(rows, SP.split_bounds("70,20,10"), "doc_id", ["dataset"], ties=["seq_no"])
+    return split.select("dataset", "doc_id", "seq_no", "split")
+
+
 @query(
     "a09_split_by_document",
     X.with_views(

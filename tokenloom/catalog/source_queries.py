@@ -120,10 +120,31 @@ def take_sequences(spark, sf):
         (F.col("doc_id") % 5).cast("int").alias("offset"),
         F.when(F.col("toxic") != 1, 3 + F.col("quality") * 4).cast("int").alias("length"),
     )
-    got = ST.take_sequences(X.seqs(spark, sf), requests)
+    got = ST.take_sequences(X.seqs(spark, sf), requests, ["doc_id"])
     return got.select("doc_id", "offset", "length", X.joined("tokens").alias("tokens"))
 
 
+@query(
+    "s07_take_by_dataset",
+    X.with_views(
+        "linew toks",
+        "select l.dataset, l.doc_id, l.i::integer as seq_no, coalesce(string_agg(t.id::varchar, ' ' order by t.pos), '') as tokens from linew l"
+        " left join toks t on t.doc_id = l.doc_id and t.pos >= l.b + l.doc_id % 3 and t.pos < l.b + l.n and (l.i % 2 = 0 or"
+        " t.pos < l.b + l.doc_id % 3 + 2) group by all",
+    ),
+)
+def take_by_dataset(spark, sf):
+    lines = X.line_seqs(spark, sf)
+    # A second dataset with the same document and sequence numbers, but other tokens.
+    other = lines.withColumn("dataset", F.concat(F.lit("copy_"), "dataset")).withColumn("tokens", F.transform("tokens", lambda t: t + 1))
+    requests = lines.select(
+        "dataset", "doc_id", "seq_no", (F.col("doc_id") % 3).cast("int").alias("offset"),
+        F.when(F.col("seq_no") % 2 != 0, 2).cast("int").alias("length"),
+    )
+    got = ST.take_sequences(lines.unionByName(other), requests)
+    return got.select("dataset", "doc_id", "seq_no", X.joined("tokens").alias("tokens"))
+
+
 @query(
     "s08_write_stats",
     X.with_views(
@@ -178,6 +199,20 @@ def append_store(spark, sf):
     return ST.append_stores(stores).select("store_no", "doc_id", "n_tokens", "new_id")
 
 
+@query(
+    "u01_append_sequences",
+    X.with_views(
+        "linew",
+        "select store_no, dataset, doc_id, seq_no, dense_rank() over (order by store_no, doc_id) - 1 as new_id from"
+        " (select (case when dataset < 'src5' then 0 else 1 end)::integer as store_no, dataset, doc_id, i::integer as seq_no from linew)",
+    ),
+)
+def append_sequences(spark, sf):
+    rows = X.line_seqs(spark, sf).drop("tokens")
+    stores = [rows.where(F.col("dataset") < "src5"), rows.where(F.col("dataset") >= "src5")]
+    return ST.append_stores(stores).select("store_no", "dataset", "doc_id", "seq_no", "new_id")
+
+
 @query(
     "u04_partition_lines",
     "select doc_id, ((row_number() over (order by doc_id) - 1) % 7)::integer as dealt,"

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hash_bits
 
-# At most 65,536 rows per leaf and 2**24 narrow nodes per group; keys up to 2**40 (10**12 rows).
-KEY_SHIFTS = (16,)
+# At most 65,536 keys per leaf and 4,096 narrow nodes per window above; keys up to 2**40 (10**12 rows).
+KEY_SHIFTS = (16, 28)
 KEY_BITS = 40
 # Hash keys have 60 uniform bits: at most 2**20 leaves, so 10**11 rows make 95,000 per leaf.
 HASH_SHIFTS = (40,)
@@ -43,8 +43,8 @@ def prefix_sums(
     """Add, per row, the sum of each ``sums`` column over all rows of its group with a smaller
     key. ``totals`` maps names of new columns to names in ``sums`` and adds the group totals.
 
-    ``key`` must be a unique integer in ``[0, 2 ** key_bits)`` (checked at run time) within its
-    group, or unique together with ``ties``. Group columns must not be null (checked likewise).
+    ``key`` must be an integer in ``[0, 2 ** key_bits)``, unique within its group or unique together
+    with ``ties``, and group columns must not be null; all of it is checked at run time.
     Pass a narrow frame: it is read once for the rows and once for the bucket totals.
     """
     groups, totals = list(groups), dict(totals or {})
@@ -100,11 +100,19 @@ def prefix_sums(
             *[f"__t_{t}" for t in totals],
         )
 
+    # Equal keys would have no order among themselves: results could differ from run to run.
+    identity = F.struct(key, *ties)
+    repeated = F.lag(identity).over(Window.partitionBy(*groups, "__b0").orderBy(key, *ties)).eqNullSafe(identity)
+    problem = F.raise_error(F.concat(F.lit(f"{', '.join([key, *ties])} is not unique: "), F.to_json(identity))).cast("bigint")
+
+    def inner_sum(name: str) -> Column:
+        return F.when(repeated, problem).otherwise(before([*groups, "__b0"], [key, *ties], name))
+
     local = rows.select(
         *[F.col(c) for c in df.columns],
         *groups,
         "__b0",
-        *[before([*groups, "__b0"], [key, *ties], value[n]).alias(f"__i_{n}") for n in names],
+        *[inner_sum(value[n]).alias(f"__i_{n}") for n in names],
     )
     return local.join(offsets, [*groups, "__b0"]).select(
         *df.columns,

@@ -30,11 +30,15 @@ FINAL_EPOCH_THRESHOLD = 0.80
 
 @dataclass(frozen=True)
 class PackConfig:
-    """How sequences become samples. Results depend on these values and the data only."""
+    """How sequences become samples. Results depend on these values and the data only.
+
+    Sequences are ordered by ``key``, then ``ties``, and each is named by dataset, key and ties: a store
+    with several sequences per document takes ``ties=("seq_no",)``. Repeated names stop the job."""
 
     sequence_length: int
     dataset: str = "dataset"
     key: str = "doc_id"
+    ties: tuple[str, ...] = ()
     tokens: str = "tokens"
     n_tokens: str = "n_tokens"
     shuffle_documents: bool = False
@@ -49,6 +53,11 @@ class PackConfig:
         if self.sequence_length <= 1:
             raise ValueError("sequence_length must be above 1")
 
+    @property
+    def names(self) -> list[str]:
+        """The columns that name a sequence."""
+        return [self.dataset, self.key, *self.ties]
+
 
 # ---- epochs (scalar arithmetic on token totals) ----------------------------------------------
 
@@ -111,7 +120,7 @@ def tile_epochs(
     Adds ``epoch, doc_pos`` (0-based place among all sequences), ``start`` (flat token
     position) and ``n_samples``. ``num_samples`` may be a column of ``lengths``.
     """
-    narrow = [cfg.dataset, cfg.key, cfg.n_tokens]
+    narrow = [*cfg.names, cfg.n_tokens]
     extra = [c for c in lengths.columns if c not in narrow and c != cfg.tokens]
     rows = prefix_sums(
         lengths.select(*narrow, *extra),
@@ -119,6 +128,7 @@ def tile_epochs(
         {"start": F.col(cfg.n_tokens), "doc_pos": F.lit(1)},
         [cfg.dataset],
         totals={"tokens_per_epoch": "start", "docs_per_epoch": "doc_pos"},
+        ties=cfg.ties,
     )
     planned = epoch_plan(rows, cfg, num_samples)
     if num_samples is None:
@@ -137,7 +147,7 @@ def tile_epochs(
         placed = hash_prefix_sums(
             tiled.drop("start", "doc_pos").withColumn("__late", late),
             cfg.seed,
-            [cfg.key, "epoch"],
+            [cfg.key, *cfg.ties, "epoch"],
             {"start": F.col(cfg.n_tokens), "doc_pos": F.lit(1)},
             [cfg.dataset, "__late"],
         )
@@ -146,7 +156,7 @@ def tile_epochs(
             "start", F.col("start") + epochs_before * F.col("tokens_per_epoch")
         ).withColumn("doc_pos", F.col("doc_pos") + epochs_before * F.col("docs_per_epoch"))
     return placed.select(
-        cfg.dataset, cfg.key, cfg.n_tokens, "epoch", "doc_pos", "start", "n_samples",
+        *cfg.names, cfg.n_tokens, "epoch", "doc_pos", "start", "n_samples",
         "samples_before_last", "separate_final_epoch",
     )
 
@@ -189,8 +199,7 @@ def sample_parts(doc_index: DataFrame, cfg: PackConfig) -> DataFrame:
         doc_index.where((n > 0) & (first <= last))
         .withColumn("sample", F.explode(F.sequence(first, last)))
         .select(
-            cfg.dataset,
-            cfg.key,
+            *cfg.names,
             "epoch",
             "sample",
             "doc_pos",
@@ -208,8 +217,8 @@ def gather_samples(
 
     The join is a sort-merge join on purpose: it spreads by document, where the tokens are, and
     not by the few partitions the narrow parts come in; and it spills."""
-    tokens = sequences.select(cfg.dataset, cfg.key, cfg.tokens).hint("merge")
-    pieces = parts.join(tokens, [cfg.dataset, cfg.key]).select(
+    tokens = sequences.select(*cfg.names, cfg.tokens).hint("merge")
+    pieces = parts.join(tokens, cfg.names).select(
         cfg.dataset,
         "sample",
         *carry,

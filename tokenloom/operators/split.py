@@ -78,14 +78,15 @@ def assign_split(
     by: str = "sequence",
     document: str = "doc_id",
     out: str = "split",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Label rows by contiguous ranges of their position in key order, per group. Rows outside
-    every range keep a null split. ``by="document"`` ranges over whole documents instead."""
+    """Label rows by contiguous ranges of their position in the order of key and ties, per group. Rows
+    outside every range keep a null split. ``by="document"`` ranges over whole documents instead."""
     if by == "document":
         docs = df.select(*groups, document).distinct()
         labelled = assign_split(docs, bounds, document, groups, "sequence", out=out)
         return df.join(labelled, [*groups, document])
-    numbered = dense_index(df, key, "__row", groups, total="__rows")
+    numbered = dense_index(df, key, "__row", groups, total="__rows", ties=ties)
     label = F.lit(None).cast("string")
     for name, begin, end in reversed(range_ends(bounds, F.col("__rows"))):
         label = F.when((F.col("__row") >= begin) & (F.col("__row") < end), name).otherwise(label)

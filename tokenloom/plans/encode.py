@@ -6,10 +6,15 @@ length of every sequence in it; the only shuffle is the join that fetches codec
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import sequences as S
 from ..functions import text as X
@@ -80,18 +85,33 @@ def _finish(df: DataFrame, parts: str, cfg: EncodeConfig) -> DataFrame:
 
 
 def to_sequences(documents: DataFrame, dataset: str = "dataset", key: str = "doc_id") -> DataFrame:
-    """Documents as store rows, one per sequence: ``(dataset, doc_id, seq_no, tokens, n_tokens)``."""
-    ends = F.transform(
-        F.col("lengths"),
-        lambda n, i: F.struct(F.aggregate(F.slice("lengths", F.lit(1), i), F.lit(0), lambda a, x: a + x).alias("b"), n.alias("n")),
-    )
-    return documents.select(dataset, key, "tokens", F.posexplode(ends).alias("seq_no", "s")).select(
-        dataset,
-        key,
-        "seq_no",
-        F.slice("tokens", F.col("s.b") + 1, F.col("s.n")).alias("tokens"),
-        F.col("s.n").alias("n_tokens"),
-    )
+    """Documents as store rows, one per sequence: ``(dataset, doc_id, seq_no, tokens, n_tokens)``.
+
+    The sequences of an Arrow batch are new offsets over the same tokens, so the work is linear in them.
+    A document without lengths gives no row; lengths that do not add up to the tokens stop the job.
+    """
+    narrow = documents.select(dataset, key, "tokens", "lengths")
+    fields = [*narrow.schema.fields[:2], T.StructField("seq_no", T.IntegerType()), narrow.schema["tokens"]]
+    schema = T.StructType([*fields, T.StructField("n_tokens", T.IntegerType())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count, held = (pc.fill_null(pc.list_value_length(batch[c]), 0).to_numpy() for c in ("lengths", "tokens"))
+            sizes = batch["lengths"].flatten().to_numpy(zero_copy_only=False)
+            ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            last = np.cumsum(count)
+            if np.any(ends[last] - ends[last - count] != np.where(count > 0, held, 0)):
+                raise ValueError("lengths of a document do not add up to its tokens")
+            used = batch["tokens"].filter(pa.array(count > 0)).flatten()
+            row = np.repeat(np.arange(len(count)), count)
+            number = np.arange(len(sizes)) - np.repeat(last - count, count)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[i].take(pa.array(row)) for i in (0, 1)), pa.array(number, pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), used), pa.array(sizes, pa.int32())],
+                names=schema.names,
+            )
+
+    return narrow.mapInArrow(cut, schema)
 
 
 def reassemble(sequences: DataFrame, dataset: str = "dataset", key: str = "doc_id") -> DataFrame:

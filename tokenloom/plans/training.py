@@ -37,7 +37,7 @@ def build_split(
     named = requests.join(draws, "dataset_id", "left").select(
         F.col("dataset").alias(cfg.dataset), F.greatest("requested", F.coalesce("draws", F.lit(0))).alias("requested")
     )
-    wanted = lengths.select(cfg.dataset, cfg.key, cfg.n_tokens).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
+    wanted = lengths.select(*cfg.names, cfg.n_tokens).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
     index = materialize(P.tile_epochs(wanted, cfg, F.col("requested")), "document-index")
     _check_supply(named, index, cfg)
     starts = P.sample_index(index, cfg).where(F.col("sample") < F.col("n_samples"))
@@ -76,11 +76,11 @@ def build_splits(
 ) -> dict[str, DataFrame]:
     """Blended samples per split. With one blend for all, each dataset is cut into contiguous
     split ranges; with a blend per split, every split draws from whole datasets."""
-    narrow = sequences.select(cfg.dataset, cfg.key, cfg.n_tokens)
+    narrow = sequences.select(*cfg.names, cfg.n_tokens)
     if isinstance(blend, dict):
         chosen = {n: (narrow.where(F.col(cfg.dataset).isin(list(b.names))), b) for n, b in blend.items()}
     else:
-        labelled = materialize(assign_split(narrow, bounds, cfg.key, [cfg.dataset]), "splits")
+        labelled = materialize(assign_split(narrow, bounds, cfg.key, [cfg.dataset], ties=cfg.ties), "splits")
         present = [n for n, b in zip(SPLITS, bounds) if b is not None]
         chosen = {n: (labelled.where(F.col("split") == n), blend) for n in present}
     return {

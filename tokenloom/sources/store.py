@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ TYPE_BYTES = {
 }
 NARROW_CARDINALITY = 65500
 # ---- end of fixed values -------------------------------------------------------------------
+IDENTITY = ("dataset", "doc_id", "seq_no")  # what names a stored sequence
 
 
 def narrowest_type(cardinality: int | None) -> str:
@@ -55,11 +56,18 @@ def read_sequences(
 
 
 def take_sequences(
-    store: DataFrame, requests: DataFrame, key: str = "doc_id", tokens: str = "tokens"
+    store: DataFrame, requests: DataFrame, keys: Sequence[str] | None = None, tokens: str = "tokens"
 ) -> DataFrame:
-    """Random access: ``requests(key, offset, length)`` each return a part of one sequence; a null
-    length reads to the end. A request for an unknown sequence returns null tokens."""
-    hit = requests.join(store.select(key, tokens), key, "left")
+    """Random access: each row of ``requests`` with ``offset`` and ``length`` returns a part of one
+    sequence; a null length reads to the end. A request for an unknown sequence returns null tokens.
+
+    ``keys`` name a sequence of the store; by default those of ``dataset, doc_id, seq_no`` that the store has.
+    """
+    keys = [c for c in IDENTITY if c in store.columns] if keys is None else list(keys)
+    absent = [c for c in keys if c not in requests.columns]
+    if absent:
+        raise ValueError(f"requests do not say which sequence they mean, without {absent}")
+    hit = requests.join(store.select(*keys, tokens), keys, "left")
     return hit.withColumn(tokens, sub_sequence(F.col(tokens), F.col("offset"), F.col("length")))
 
 
@@ -75,14 +83,17 @@ def with_pointers(
     cardinality: int | None = None,
     groups: Sequence[str] = ("dataset",),
     out: str = "pointer",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Byte offset of each sequence inside its dataset."""
+    """Byte offset of each sequence inside its dataset, in the order of key and ties."""
     size = TYPE_BYTES[narrowest_type(cardinality)]
-    return prefix_sums(lengths, key, {out: F.col(n_tokens).cast("bigint") * size}, groups)
+    return prefix_sums(lengths, key, {out: F.col(n_tokens).cast("bigint") * size}, groups, ties=ties)
 
 
 def append_stores(stores: Sequence[DataFrame], key: str = "doc_id", out: str = "new_id") -> DataFrame:
-    """Concatenate stores in order; documents are renumbered behind those of earlier stores."""
+    """Concatenate stores in order; documents are renumbered behind those of earlier stores, in order of
+    key, then dataset where there is one. All sequences of a document get its number; a null key or
+    dataset stops the job."""
     types = [dict(s.dtypes) for s in stores]
     if any(t != types[0] for t in types):
         raise TypeError("stores must have the same columns and types")
@@ -90,18 +101,17 @@ def append_stores(stores: Sequence[DataFrame], key: str = "doc_id", out: str = "
     for i, store in enumerate(stores):
         part = store.withColumn("store_no", F.lit(i))
         parts = part if parts is None else parts.unionByName(part)
-    numbered = dense_index(parts.select("store_no", key), key, "__local", ["store_no"])
-    counts = parts.groupBy("store_no").agg(F.count(F.lit(1)).alias("__n"))  # one row per store
-    earlier = (
-        counts.alias("a")
-        .join(counts.alias("b"), F.col("b.store_no") < F.col("a.store_no"), "left")
-        .groupBy(F.col("a.store_no").alias("store_no"))
-        .agg(F.coalesce(F.sum("b.__n"), F.lit(0)).cast("bigint").alias("__before"))
+    ties = [c for c in ("dataset",) if c in parts.columns]
+    documents = parts.select("store_no", key, *ties).distinct()
+    numbered = dense_index(documents, key, "__local", ["store_no"], ties=ties)
+    counts = documents.groupBy("store_no").agg(F.count(F.lit(1)).alias("__n"))  # one row per store
+    earlier = Window.orderBy("store_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("store_no", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    renumbered = numbered.join(F.broadcast(before), "store_no").select(
+        "store_no", key, *ties, (F.col("__local") + F.col("__before")).alias(out)
     )
-    renumbered = numbered.join(F.broadcast(earlier), "store_no").select(
-        "store_no", key, (F.col("__local") + F.col("__before")).alias(out)
-    )
-    return parts.join(renumbered, ["store_no", key])
+    missing = F.raise_error(F.lit(f"{', '.join([key, *ties])} holds nulls")).cast("bigint")
+    return parts.join(renumbered, ["store_no", key, *ties], "left").withColumn(out, F.coalesce(out, missing))
 
 
 def write_samples(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
