@@ -13,7 +13,7 @@ import pyarrow as pa
 
 from .wordhash import mix, slices, utf8, words
 
-SLICE_BYTES = 1 << 24
+SLICE_BYTES = 1 << 22
 _INNER_BYTES = 1 << 20
 _GLUE = (b"", b" ", b"\n")
 
