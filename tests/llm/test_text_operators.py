@@ -15,7 +15,7 @@ from tokenloom.llm import best_fit_packing as bp
 from tokenloom.llm import fertility, language_id, ngram_join, quality, viterbi
 from tokenloom.llm.fm_index import FMIndex
 from tokenloom.llm.substring_dedup import remove_repeats, removal_digest, shard_repeats
-from tokenloom.llm.wordhash import words
+from tokenloom.llm.wordhash import utf8, words
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -166,6 +166,34 @@ def test_base_rules(docs):
         assert r.base_failed == (len(w) < 10 or 100 * len(hit) > 20 * len(w)) and not (r.base_failed and r.kept)
 
 
+def test_fertility_bands_by_script(spark):
+    """Scripts that the vocabulary spells with bytes are judged by their own documents."""
+    words = {
+        "telugu": "తెలుగు భాష చాలా అందమైన భాష మరియు దీనిని కోట్ల మంది ప్రజలు ప్రతి రోజూ మాట్లాడుతారు", "ethiopic": "ሰላም ለዓለም ሁሉ ይሁን እኛ ዛሬ ጠዋት ወደ ገበያ ሄደን ፍራፍሬ ገዛን",
+        "lao": "ສະບາຍດີ ຂ້ອຍ ຢູ່ ນະຄອນ ຫຼວງ ວຽງຈັນ ແລະ ມັກ ກິນ ເຂົ້າ ໜຽວ ທຸກ ມື້", "thai": "ฉัน ชอบ กิน ข้าว กับ ปลา ทุก วัน ที่ บ้าน ของ แม่ ใน เมือง",
+        "latin": "the quick brown fox jumps over one lazy dog near that quiet river bank",
+    }
+    rows = []
+    for name, text in words.items():
+        w = text.split()
+        for k in range(8):
+            rows.append((len(rows), " ".join(w[k % 3 :][:10]) if k < 3 else " ".join([*w[k:], *w[:k]]), name))
+    noise = " ".join(f"ab{chr(0xE000 + k)}{chr(0xE100 + k)}{chr(0xE200 + k)}" for k in range(12))
+    rows.append((len(rows), noise, "noise"))
+    got = {r.doc_id: r for r in fertility.fertility_rules(spark.createDataFrame(rows, "doc_id long, text string, name string")).collect()}
+    for i, text, name in rows[:-1]:
+        assert got[i].script == name and got[i].kept, (name, text, got[i])
+    assert max(r.byte_share for r in got.values() if r.script == "telugu") > 0.25
+    assert got[rows[-1][0]].byte_share > 0.25 and not got[rows[-1][0]].kept
+
+
+def test_row_scripts():
+    texts = ["hello you", "ქართული ენა", "ខ្មែរ", "မြန်မာ", "한국어", "Tiếng Việt", "12 😀", "", "𞤀𞤣𞤤𞤢𞤥", "𠀀𠀁", "русский a", "日本語の"]
+    data, off = utf8(pa.array(texts))
+    names = fertility.scripts()[0][fertility.row_scripts(data, off)].tolist()
+    assert names == ["latin", "georgian", "khmer", "myanmar", "hangul", "latin", "none", "none", "adlam", "han", "cyrillic", "han"]
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
