@@ -11,7 +11,7 @@ vocabulary spells no letters with bytes. The script is that of most letters, by
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -98,8 +98,8 @@ def token_measures(first: np.ndarray, ids: np.ndarray, is_byte: np.ndarray) -> t
     return n, byte / np.maximum(n, 1), entropy / np.log2(np.maximum(n, 2))
 
 
-def _measured(path: str):
-    names = [x.split()[0] for x in MEASURES.split(", ")]
+def _measured(path: str, carry: list[str]):
+    names = [x.split()[0] for x in MEASURES.split(", ")] + carry
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = piece_ids(path)
@@ -117,21 +117,23 @@ def _measured(path: str):
                     done += y - x
                     yield pa.RecordBatch.from_arrays(
                         [inner["doc_id"], *[pa.array(s[c]) for c in ("n_words", "word_chars", "symbol", "n_dup_lines", "n_repeat_words")], pa.array(scripts()[0][script]),
-                         pa.array(n[at]), pa.array(s["chars"] / np.maximum(n[at], 1)), pa.array(byte[at]), pa.array(entropy[at])],
+                         pa.array(n[at]), pa.array(s["chars"] / np.maximum(n[at], 1)), pa.array(byte[at]), pa.array(entropy[at]), *[inner[c] for c in carry]],
                         names=names,
                     )
 
     return run
 
 
-def fertility_rules(docs: DataFrame, path: str | None = None) -> DataFrame:
+def fertility_rules(docs: DataFrame, path: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: base counts, token measures, ``base_failed`` and ``kept``.
 
     Null, empty and blank texts have no words and fail the base rules. Repeated rows and null ids are
-    measured like any other row; extra columns are ignored; an empty table gives an empty result.
+    measured like any other row; extra columns are ignored but for those named in ``carry``, which are
+    returned with their row; an empty table gives an empty result.
     """
-    base = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    found = materialize(base.mapInArrow(_measured(path or vocabulary_path()), MEASURES), "measures")
+    base = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"), *carry)
+    schema = ", ".join([MEASURES, *[f"{c} {base.schema[c].dataType.simpleString()}" for c in carry]])
+    found = materialize(base.mapInArrow(_measured(path or vocabulary_path(), [*carry]), schema), "measures")
     bands = found.groupBy("script").agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(f"q_{c}") for c in BANDED])
 
     def inside(c: str, least: float = 0.0):

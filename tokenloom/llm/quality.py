@@ -8,7 +8,7 @@ scored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -107,12 +107,12 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([flat, part["quality"]], names=["x", "quality"])
 
 
-def _scored(forest: Forest):
+def _scored(forest: Forest, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch["text"]):
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(forest.scores(features(part["text"])))], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(forest.scores(features(part["text"]))), *[part[c] for c in carry]], names=["doc_id", "score", *carry])
 
     return run
 
@@ -136,17 +136,18 @@ def train_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> F
     return fit_forest(x[order], y[order])
 
 
-def quality_scores(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def quality_scores(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, carry: Sequence[str] = ()) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: held_out, score and predicted.
 
     Null texts are scored as empty ones. Repeated rows and null ids get a score like any other row;
-    extra columns are ignored; an empty table gives an empty result. Without usable labels all scores
-    are one half.
+    extra columns are ignored but for those named in ``carry``, which are returned with their row; an
+    empty table gives an empty result. Without usable labels all scores are one half.
     """
     forest = train_quality(train_docs, labels)
-    base = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    out = base.mapInArrow(_scored(forest), "doc_id bigint, score double")
-    return out.select("doc_id", (held_remainder("doc_id", HELD_MOD) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    base = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"), *carry)
+    schema = ", ".join(["doc_id bigint, score double", *[f"{c} {base.schema[c].dataType.simpleString()}" for c in carry]])
+    out = base.mapInArrow(_scored(forest, [*carry]), schema)
+    return out.select("doc_id", (held_remainder("doc_id", HELD_MOD) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *carry)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
