@@ -75,6 +75,13 @@ def test_sentences(spark):
     assert r.a == ["One.", "Two!", "Three?x four"] and "".join(r.b) == "One. Two!\n\nThree?x four" and len(r.c) == 1
 
 
+def test_sentences_of_a_long_text(spark):
+    """No sentence ends where a text passes a million characters."""
+    text = "One. " + "word " * 220_000 + "end. Two."
+    r = spark.createDataFrame([(text,)], "t string").select(T.split_sentences(F.col("t")).alias("a"), T.split_sentences(F.col("t"), keep_newlines=True).alias("b")).first()
+    assert r.a == ["One.", text[5:-5], "Two."] and "".join(r.b) == text and len(r.b) == 3
+
+
 def test_names(spark):
     files = ["d/My Song.Vocals.WAV", "x.inst.mp3", "a/b.c/full", "Vocal_take.flac"]
     df = spark.createDataFrame([(f,) for f in files], "f string")

@@ -451,6 +451,11 @@ def a15(spark, sf):
     return MP.map_sentences(X.sizes(spark, sf), 100, epochs=3, max_samples=2000)
 
 
+@query("a15_all_epochs", _map_sql(_PAIRS_OK, "100::bigint", 2, 2, 3, _PAIR_BODY.replace("2000", "1000000000")))
+def a15_all(spark, sf):
+    return MP.map_sentences(X.sizes(spark, sf), 100, epochs=3)
+
+
 _SHORT = "(case when {h} % 4 = 0 then 2 + {h} % 99 else 100 end)".format(h=_hash("'1234:' || rec.epoch || ':' || rec.doc_id || ':' || rec.cut"))
 
 

@@ -15,7 +15,6 @@ END_OF_REFERENCE = "[end_of_reference]"
 MARKERS = (START_OF_SEGMENT, END_OF_SEGMENT, START_OF_REFERENCE, END_OF_REFERENCE)
 LYRICS_INSTRUCTION = "Generate music from the given lyrics segment by segment."
 AUDIO_EXTENSIONS = (".mp3", ".wav", ".flac")
-SENTENCE_PIECE_CHARS = 1_000_000
 # ---- end of fixed values -------------------------------------------------------------------
 
 # A section runs from "[tag]" to the next "[" or the very end of the text. Word characters are
@@ -90,7 +89,7 @@ def limit_sections(prompts: Column, sections: Column, n: int) -> Column:
 
 
 def split_sentences(text: Column, enabled: bool = True, keep_newlines: bool = False) -> Column:
-    """Sentences of a text, cut after ``. ! ?`` inside pieces of one million characters.
+    """Sentences of a text, cut after ``. ! ?``.
 
     ``enabled=False`` keeps the whole text as the only sentence. With ``keep_newlines`` the
     white space stays with the following sentence, so joining the result gives the text back.
@@ -98,14 +97,7 @@ def split_sentences(text: Column, enabled: bool = True, keep_newlines: bool = Fa
     if not enabled:
         return F.array(text)
     cut = r"(?<=[.!?])(?=[ \t\n\r\f])" if keep_newlines else r"(?<=[.!?])[ \t\n\r\f]+"
-    n = F.char_length(text)
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(SENTENCE_PIECE_CHARS)),
-        lambda i: F.substring(text, i + 1, F.lit(SENTENCE_PIECE_CHARS)),
-    )
-    return F.filter(
-        F.flatten(F.transform(pieces, lambda p: F.split(p, cut))), lambda s: F.length(s) > 0
-    )
+    return F.filter(F.split(text, cut), lambda s: F.length(s) > 0)
 
 
 def extension(name: Column) -> Column:
