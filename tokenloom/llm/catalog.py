@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit_packing, chat_format, embedding_dedup, fertility, language_id, ngram_join, quality, substring_dedup, viterbi, warc
+from . import best_fit_packing, chat_format, embedding_dedup, fertility, language_id, ngram_join, quality, spelling, substring_dedup, vector_codes, vector_graph, viterbi, warc
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (substring_dedup.op1_substring_dedup, None),
@@ -19,4 +19,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_chat_format": (chat_format.op8_chat_format, None),
     "op9_sentencepiece": (viterbi.op9_sentencepiece, None),
     "op10_best_fit_packing": (best_fit_packing.op10_best_fit_packing, None),
+    "op11_vector_codes": (vector_codes.op11_vector_codes, vector_codes.OP11_SQL),
+    "op12_spelling_variants": (spelling.op12_spelling_variants, spelling.OP12_SQL),
+    "op13_graph_search": (vector_graph.op13_graph_search, None),
 }
