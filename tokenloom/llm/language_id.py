@@ -15,10 +15,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import documents, held_remainder
+from .tables import documents, held_remainder, materialize
 from .wordhash import slices, utf8
 
 HELD_MOD, HELD = 4, 2
@@ -140,26 +140,29 @@ def _predicted(model: Centroids):
     return run
 
 
-def train_centroids(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, sample: int = SAMPLE) -> Centroids | None:
-    """Fit on a sample of the documents that are not held out: per language the rows with the least
-    text hash, at most ``per_language``, and ``sample`` in all. None if no document has a language."""
+def training_rows(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, sample: int = SAMPLE) -> DataFrame:
+    """``(lang, rank, text)`` of the documents to learn from: per language the distinct texts with the least hash, as
+    many as ``per_language`` and a fair part of ``sample`` allow, and at most ``sample`` in all. Copies
+    count once, so a text that fills most of a language neither crowds out the others nor is collected often."""
     usable = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    usable = usable.where((held_remainder("doc_id", HELD_MOD) != HELD) & F.col("text").rlike(r"\p{L}"))
-    usable = usable.withColumn("rank", F.pmod(F.xxhash64("text"), F.lit(1 << 30)))
-    n = dict(usable.groupBy("lang").count().collect())
-    if not n:
-        return None
-    quota = max(1, min(per_language, sample // len(n)))
-    share = F.create_map(*[F.lit(v) for lang, k in n.items() for v in (lang, int((1 << 30) * min(1.0, (1.3 * quota + 30) / k)))])
-    # Close to the quota in number; trimmed to it below.
-    rows = usable.where(F.col("rank") < share[F.col("lang")]).select("lang", "rank", "text").mapInArrow(_counted, "lang string, rank bigint, x binary").collect()
-    taken: dict[str, list] = {}
-    for r in sorted(rows, key=lambda r: (r.rank, bytes(r.x))):
-        taken.setdefault(r.lang, []).append(r.x)
-    if not taken:
+    usable = usable.where((held_remainder("doc_id", HELD_MOD) != HELD) & F.col("text").rlike(r"\p{L}")).withColumn("rank", F.xxhash64("text"))
+    texts = materialize(usable.groupBy("lang", "rank").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id")).alias("first")), "lang-texts")
+    quota = max(1, min(per_language, sample // max(1, texts.select("lang").distinct().count())))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))  # tasks send no more than the quota of each language
+    chosen = texts.withColumn("turn", turn).where(F.col("turn") <= quota).orderBy("turn", "rank", "lang").limit(sample)
+    chosen = materialize(chosen.select("lang", "rank", F.col("first.doc_id").alias("named")), "lang-sample")
+    rows = usable.join(F.broadcast(chosen), ["lang", "rank"]).where(F.col("doc_id").eqNullSafe(F.col("named")))  # at most ``sample`` rows
+    return rows.groupBy("lang", "rank").agg(F.first("text").alias("text"))
+
+
+def train_centroids(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, sample: int = SAMPLE) -> Centroids | None:
+    """Fit on a sample of the documents that are not held out (``training_rows``). None if no document
+    has a language."""
+    rows = training_rows(docs, per_language, sample).mapInArrow(_counted, "lang string, rank bigint, x binary").collect()
+    if not rows:
         return None
-    pairs = [(lang, x) for lang, xs in sorted(taken.items()) for x in xs[:quota]]
-    return fit_centroids(np.array([np.frombuffer(x, "<u2") for _, x in pairs], float), np.array([lang for lang, _ in pairs], object))
+    rows.sort(key=lambda r: (r.lang, r.rank))
+    return fit_centroids(np.array([np.frombuffer(r.x, "<u2") for r in rows], float), np.array([r.lang for r in rows], object))
 
 
 def identify_languages(docs: DataFrame, train_docs: DataFrame | None = None) -> DataFrame:
