@@ -140,6 +140,40 @@ def test_join_near_copies(spark):
     assert sorted((tuple(r) for r in got), key=repr) == components(list(enumerate(texts)))
 
 
+def _sharing(n, seed):
+    """Texts made mostly of a few phrases, so that frequent shingles are in their prefixes; some are near copies."""
+    rng = np.random.default_rng(seed)
+    phrases = [[f"p{j}x{x}" for x in range(15)] for j in range(7)]
+    texts = []
+    for k in range(n):
+        if k % 10 == 9:
+            t = texts[int(rng.integers(len(texts)))].split()
+            t[int(rng.integers(len(t)))] = f"c{k}"
+        else:
+            t = [w for j in rng.permutation(7)[: int(rng.integers(2, 4))] for w in phrases[j]]
+            at = int(rng.integers(len(t)))
+            t[at:at] = [f"u{k}x{x}" for x in range(int(rng.integers(1, 9)))]
+        texts.append(" ".join(t))
+    return texts
+
+
+@pytest.mark.parametrize("short,block", [(8, 256), (1, 8), (3, 30)])
+def test_join_of_shared_phrases(spark, monkeypatch, short, block):
+    monkeypatch.setattr(ngram_join, "SHORT", short)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rows = list(enumerate(_sharing(350, short)))
+    got = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == components(rows)
+
+
+def test_join_with_one_shingle_in_all_prefixes(spark):
+    """2,000 texts share three quarters of their shingles but do not link; a few have a copy that does."""
+    shared = [f"s{x}" for x in range(34)]
+    texts = [" ".join([*shared, *[f"u{k}x{x}" for x in range(10)]]) for k in range(2000)] + [" ".join([*shared, *[f"u{k}x{x}" for x in range(9)]]) for k in range(0, 2000, 100)]
+    got = ngram_join.ngram_jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k if k < 2000 else 100 * (k - 2000) for k in range(len(texts))}
+
+
 def test_light_sets_meet_exactly_when_they_link():
     for a, b in itertools.product(range(1, ngram_join.MAX_LIGHT + 1), repeat=2):
         need = ngram_join.overlap(a, b)
@@ -149,6 +183,23 @@ def test_light_sets_meet_exactly_when_they_link():
     assert ngram_join.choose_boundary({3: 10, 4: 10}, {3: 500, 4: 500}) >= 4
 
 
+def test_language_samples_hold_texts_once(spark):
+    """One text that is most of a language takes one place, wherever its hash lies, and nothing else is crowded out."""
+    rows = [(k, f"palabra {k % 40} común número{k % 40}", "es") for k in range(400)]
+    for lang, text in (("xx", "ombra lunga sul muro"), ("yy", "zeta iota kappa")):
+        rows += [(1000 + len(rows) + k, text, lang) for k in range(600)] + [(5000 + len(rows) + k, f"{text} {k}", lang) for k in range(3)]
+    rows += [(None, "nameless text", "es"), (None, "nameless text", "es"), (7, "repeated id", "es"), (7, "other text", "es"), (9, None, "es"), (10, "123", "es"), (11, "no language", None)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, lang string, rank int").repartition(3)
+    usable = {(lang, t) for i, t, lang in rows if t and lang and re.search("[a-z]", t) and zlib.crc32(str("" if i is None else i).encode()) % 4 != 2}
+    every = [(r.lang, r.text) for r in language_id.training_rows(df, 500, 8000).collect()]
+    assert len(every) == len(set(every)) and set(every) == usable
+    few = [(r.lang, r.text) for r in language_id.training_rows(df, 3, 8000).collect()]
+    assert collections.Counter(lang for lang, _ in few) == {lang: min(3, k) for lang, k in collections.Counter(lang for lang, _ in usable).items()}
+    assert len(language_id.training_rows(df, 500, 2).collect()) == 2
+    got = {r.doc_id: r.lang_pred for r in language_id.identify_languages(df).collect()}
+    assert got[1000 + 400] == "xx" and sorted({*got.values()}) == ["es", "und", "xx", "yy"]
+
+
 def test_words_are_the_pattern():
     texts = ["", " ", "a", "é b  c\x0bd\x1ce", None, "x" * 5000 + " y"]
     w = words(pa.array(texts))
