@@ -1,16 +1,18 @@
 """Global order without a global sort: distributed prefix sums and dense numbering.
 
 Spark tables have no implicit order, so every operator that depends on order takes an explicit
-unique integer key. A running sum over that key is computed in a tree:
-
-* leaf buckets hold the rows whose keys share all but the lowest ``shifts[0]`` bits. A unique
-  key bounds a leaf to ``2 ** shifts[0]`` rows, whatever the data looks like, and the bound
-  also holds inside a group (dataset, track) that owns most of the rows;
-* a node table holds one pre-aggregated row per bucket and is summed the same way. More
-  ``shifts`` add more levels, each with one row per bucket of the level below.
-
-No window ever spans more rows than its bit width allows. Buckets are a pure function of the
-key, so a recomputed task yields the same numbers.
+unique key. A running sum over that key is computed in a tree:
+
+* leaf buckets hold rows that are next to each other in key order;
+* a node table holds one pre-aggregated row per bucket and is summed the same way, in as many
+  levels as its size needs.
+
+What a bucket is follows the key. Keys that fill an interval of the integers are cut by their high bits: a unique
+key bounds a leaf to ``2 ** shifts[0]`` rows, also inside a group (dataset, track) that owns most of the
+rows. One aggregate over the key alone tells whether that is so and how many levels are needed.
+All other keys (hashes, strings, sparse 64-bit integers, composite keys) are sorted by ranges that Spark samples;
+a row's range is saved with it, so that it stays the same whatever is computed again. Ranges follow the
+number of rows and not the values of keys, hold parts of a large group or many small ones, and sorting them may spill.
 """
 
 from __future__ import annotations
@@ -21,13 +23,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_bits
+from ..session import materialize
 
-# At most 65,536 keys per leaf and 4,096 narrow nodes per window above; keys up to 2**40 (10**12 rows).
-KEY_SHIFTS = (16, 28)
-KEY_BITS = 40
+# At most 65,536 keys per leaf and 4,096 narrow nodes per window above, for keys below 2**28 and 2**40.
+LEAF_SHIFT = 16
+FAN_OUT = 12
+# Mean rows of a leaf below which integer keys count as sparse.
+LEAST_LEAF_ROWS = 64
 # Hash keys have 60 uniform bits: at most 2**20 leaves, so 10**11 rows make 95,000 per leaf.
 HASH_SHIFTS = (40,)
-HASH_BITS = 60
+_INTEGERS = ("byte", "short", "integer", "long")
+
+
+def bucket_shifts(df: DataFrame, key: str) -> tuple[int, ...] | None:
+    """Bits to cut by at each level for an integer key that fills its interval, or None. Reads the key only."""
+    if df.schema[key].dataType.typeName() not in _INTEGERS:
+        return None
+    low, high, rows = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+    if low is None or low < 0:
+        return None
+    if high >> LEAF_SHIFT and rows / ((high >> LEAF_SHIFT) + 1) < LEAST_LEAF_ROWS:
+        return None
+    shifts = [LEAF_SHIFT]
+    while high >> shifts[-1] >= 1 << FAN_OUT:
+        shifts.append(shifts[-1] + FAN_OUT)
+    return tuple(shifts)
 
 
 def prefix_sums(
@@ -37,32 +57,36 @@ def prefix_sums(
     groups: Sequence[str] = (),
     totals: Mapping[str, str] | None = None,
     ties: Sequence[str] = (),
-    shifts: Sequence[int] = KEY_SHIFTS,
-    key_bits: int = KEY_BITS,
+    shifts: Sequence[int] | None = None,
 ) -> DataFrame:
     """Add, per row, the sum of each ``sums`` column over all rows of its group with a smaller
     key. ``totals`` maps names of new columns to names in ``sums`` and adds the group totals.
 
-    ``key`` must be an integer in ``[0, 2 ** key_bits)``, unique within its group or unique together
-    with ``ties``, and group columns must not be null; all of it is checked at run time.
-    Pass a narrow frame: it is read once for the rows and once for the bucket totals.
+    ``key`` may have any type that has an order; it must be unique within its group, or unique together with
+    ``ties``, which order equal keys. Keys and group columns must not be null; all of it is
+    checked at run time. Pass a narrow frame. ``shifts`` states how to cut a non-negative integer key by its bits;
+    without it the key is looked at first.
     """
     groups, totals = list(groups), dict(totals or {})
     names = list(sums)
     value = {n: f"__v_{n}" for n in names}
 
-    def checked(name: str, usable: Column, problem: str) -> Column:
+    def checked(name: str, problem: str) -> Column:
         kind = df.schema[name].dataType
-        return F.when(usable, F.col(name)).otherwise(F.raise_error(F.lit(f"{name} {problem}")).cast(kind))
+        return F.when(F.col(name).isNotNull(), F.col(name)).otherwise(F.raise_error(F.lit(f"{name} {problem}")).cast(kind))
 
-    in_range = F.col(key).between(0, (1 << key_bits) - 1)
-    leaf = checked(key, in_range, f"is null or outside [0, 2**{key_bits})").cast("bigint")
+    shifts = shifts or bucket_shifts(df, key)
     # Work on checked copies of the groups: rows must not get lost in the joins below.
-    copies = {f"__g{i}": checked(g, F.col(g).isNotNull(), "is null") for i, g in enumerate(groups)}
+    copies = {f"__g{i}": checked(g, "is null") for i, g in enumerate(groups)}
     groups = list(copies)
-    rows = df.withColumns(
-        {"__b0": F.shiftright(leaf, shifts[0]), **copies, **{value[n]: c.cast("bigint") for n, c in sums.items()}}
-    )
+    rows = df.withColumns({"__k": checked(key, "is null"), **copies, **{value[n]: c.cast("bigint") for n, c in sums.items()}})
+    if shifts is None:
+        sorted_ = rows.repartitionByRange(*groups, "__k", *ties)
+        rows = materialize(sorted_.withColumn("__b0", F.spark_partition_id().cast("bigint")), "sorted-ranges")
+        shifts = (0,)
+    else:
+        rows = rows.withColumn("__b0", F.shiftright(F.col("__k").cast("bigint"), shifts[0]))
+    rows = rows.drop("__k")
 
     def before(over: list[str], order: list[str], name: str) -> Column:
         w = Window.partitionBy(*over).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -145,7 +169,7 @@ def hash_prefix_sums(
     """Prefix sums in a pseudo-random order fixed by ``seed`` and the unique ``keys``."""
     hashed = df.withColumn("__h", hash_bits(seed, *[F.col(k) for k in keys], salt=salt))
     return prefix_sums(
-        hashed, "__h", sums, groups, totals, ties=keys, shifts=HASH_SHIFTS, key_bits=HASH_BITS
+        hashed, "__h", sums, groups, totals, ties=keys, shifts=HASH_SHIFTS
     ).drop("__h")
 
 
