@@ -1,5 +1,7 @@
 import random
+import time
 
+import pyarrow as pa
 import pytest
 
 from tokenloom.operators import mapping as M
@@ -56,6 +58,43 @@ def test_blocks_match_a_loop(spark, one):
     assert [tuple(r) for r in got] == want
 
 
+@pytest.mark.parametrize("least,remaining", [(2, 2), (1, 1), (3, 0), (1, 4)])
+def test_spans_match_a_loop(least, remaining):
+    rng = random.Random(least)
+    docs = [[rng.choice([0, 0, 1, 7, 30]) for _ in range(rng.randrange(0, 40))] for _ in range(200)] + [[1] * 3000, []]
+    for wanted in ([rng.randrange(-3, 60) for _ in docs], [12] * len(docs)):
+        got = M.batch_spans(pa.array(docs, pa.list_(pa.int64())), pa.array([[w] for w in wanted], pa.list_(pa.int64())), least, remaining).to_pylist()
+        assert [[(s["start"], s["end"]) for s in d] for d in got] == [_spans(d, w, least, remaining) for d, w in zip(docs, wanted)]
+    many = [[rng.randrange(1, 50) for _ in range(len(d) + 1)] for d in docs]
+    got = M.batch_spans(pa.array(docs, pa.list_(pa.int64())), pa.array(many, pa.list_(pa.int64())), least, remaining).to_pylist()
+    for d, w, g in zip(docs, many, got):
+        want, first, length = [], 0, 0
+        for i, s in enumerate(d):
+            length, left = length + s, len(d) - i - 1
+            if (length >= w[len(want)] and left >= remaining and i + 1 - first >= least) or left == 0:
+                want.append((first, i + 1, w[len(want)]))
+                first, length = i + 1, 0
+        assert [(s["start"], s["end"], s["target"]) for s in g] == want
+
+
+def test_nulls_count_as_nothing():
+    sizes = pa.array([None, [], [5, None, 5, 5, 5]], pa.list_(pa.int64()))
+    got = M.batch_spans(sizes, pa.array([[4], [4], [10]], pa.list_(pa.int64())), 1, 1).to_pylist()
+    assert got == [[], [], [{"start": 0, "end": 3, "target": 10}, {"start": 3, "end": 5, "target": 10}]]
+    never = M.batch_spans(sizes, pa.array([[4], [4], [None]], pa.list_(pa.int64())), 1, 1).to_pylist()
+    assert [(s["start"], s["end"]) for s in never[2]] == [(0, 5)]
+
+
+@pytest.mark.parametrize("short", [0, 3])
+def test_long_documents_take_linear_time(spark, short):
+    rng = random.Random(4)
+    df = _frame(spark, [[rng.randrange(1, 60) for _ in range(80_000)], [5, 5, 5, 5]])
+    M.map_sentences(_frame(spark, [[5] * 9]), 100, short_ratio=short).count()
+    began = time.perf_counter()
+    rows = M.map_sentences(df, 100, short_ratio=short).count()
+    assert rows > 10_000 and time.perf_counter() - began < 15  # the fold took 52 s
+
+
 def test_shuffle_is_a_permutation(spark):
     mapped = M.map_sentences(_frame(spark, _docs(3)), 30)
     places = [r.shuffled_no for r in M.shuffle_mapping(mapped, 1).orderBy("map_index").collect()]
