@@ -68,3 +68,60 @@ def test_achieved_ratios(spark):
     blend = _blend(1, 3)
     got = {r.dataset_id: (r.n, r.achieved) for r in B.achieved_ratios(B.balanced_schedule(spark, blend, 80), blend, 80).collect()}
     assert got == {0: (20, 0.25), 1: (60, 0.75)}
+
+
+@pytest.mark.parametrize("weights", ["0.1 a 0.2 b 0.7 c", "1e-20 a 1 b", "0.1234567890123456789 a 3 b 1e18 c 999999999999999999 d", "1 a 1 a 0 b", "2.5e-7 a 1e-7 b 3e12 c"])
+def test_balanced_with_real_weights(spark, weights):
+    from fractions import Fraction
+
+    blend, size = B.parse_blend(weights), 400
+    exact = [Fraction(w) for w in weights.split()[::2]]
+    draws = [(Fraction(2 * k + 1) / w, d, k) for d, w in enumerate(exact) if w for k in range(size)]
+    assert _rows(B.balanced_schedule(spark, blend, size)) == [(i, d, k) for i, (_, d, k) in enumerate(sorted(draws)[:size])]
+
+
+def test_wide_quotients():
+    rng = random.Random(5)
+    for bits in (40, 59, 70, 100, 119):
+        weights = [rng.randrange(1 << (bits - 8), 1 << bits) for _ in range(9)] + [6 << (bits - 4), 3 << (bits - 4)]
+        w = np.array(weights, dtype=np.int64 if bits < 60 else object)
+        d = np.array([rng.randrange(len(weights)) for _ in range(500)])
+        k = np.array([rng.randrange(1 << 30) * weights[x] // max(weights) for x in d])
+        want = [
+            int(a) + sum(((2 * int(a) + 1) * v - (0 if o < x else 1)) // weights[x] // 2 + ((((2 * int(a) + 1) * v - (0 if o < x else 1)) // weights[x]) % 2) for o, v in enumerate(weights) if o != x)
+            for a, x in zip(k, d.tolist())
+        ]
+        assert B._places(k, d, w).tolist() == want
+
+
+def test_fractions_are_as_fast_as_integers():
+    import time
+
+    rng = np.random.default_rng(1)
+    shares, seconds = rng.random(400), []
+    for weights in (rng.integers(1, 10**6, 400).tolist(), B.whole_weights([repr(x) for x in (shares / shares.sum()).tolist()])):
+        d, k = np.repeat(np.arange(400), 50), np.tile(np.arange(50), 400)
+        began = time.perf_counter()
+        B._places(k, d, np.array(weights, dtype=np.int64 if max(weights) < 1 << 60 else object))
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 3 * seconds[0] + 0.2
+
+
+def test_parsing(spark):
+    rows = [("x", "0.30  p/a 70 p/b  "), ("y", " p/a "), ("z", None), ("w", " "), ("v", "1 a 3 a")]
+    got = {tuple(r) for r in B.blend_entries(spark.createDataFrame(rows, "split string, blend string"), by=["split"]).collect()}
+    assert got == {("x", 0, "p/a", 0.3, 0.3 / 70.3, False), ("x", 1, "p/b", 70.0, 70 / 70.3, False), ("y", 0, "p/a", 1.0, 1.0, True), ("v", 0, "a", 1.0, 0.25, False), ("v", 1, "a", 3.0, 0.75, False)}
+    lists = spark.createDataFrame([(["30", " a", "70", "b "],)], "blend array<string>")
+    entries = B.blend_entries(lists)
+    assert [tuple(r)[:2] for r in entries.collect()] == [(0, "a"), (1, "b")]
+    requests = {tuple(r) for r in B.entry_requests(entries, {"train": 1000, "valid": 7}).collect()}
+    assert requests == {(0, "a", "train", 302), (1, "b", "train", 704), (0, "a", "valid", 3), (1, "b", "valid", 5)}
+    one = B.blend_entries(spark.createDataFrame([("a",)], "blend string"))
+    assert [tuple(r) for r in B.entry_requests(one, {"train": 1000}).collect()] == [(0, "a", "train", 1000)]
+    assert [tuple(r)[3] for r in B.blend_requests(spark, B.parse_blend("a"), {"train": 1000}).collect()] == [1000]
+    for wrong in ("1 a 2", "x a 1 b", "-1 a 2 b", "0 a 0 b", "nan a 1 b"):
+        with pytest.raises(Exception, match="blend"):
+            B.blend_entries(spark.createDataFrame([(wrong,)], "blend string")).collect()
+    for wrong in ("1 a 2", "x a 1 b", "-1 a 2 b", "0 a 0 b", ""):
+        with pytest.raises(ValueError):
+            B.parse_blend(wrong)

@@ -3,31 +3,38 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
+from ..session import materialize
 
+# Fixed values of the blend format.
 MAX_DATASETS = 32767  # dataset numbers are 16-bit
 REQUEST_MARGIN = 1.005  # ask for half a percent more than the target
-MAX_CHUNKS = 10_000
-MAX_STATE_CELLS = 4_000_000  # counts of all chunks that may reach the driver
+
 MIN_CHUNK = 4096
+MAX_CHUNK = 65_536
 RUNS_AT_ONCE = 64
 MAX_DRAWS_AT_ONCE = 1 << 22
+MAX_WEIGHT = 1 << 120  # of scaled weights; two 64-bit words hold a remainder
 
 
 @dataclass(frozen=True)
 class Blend:
-    """Datasets with integer weights, numbered in name order."""
+    """Datasets with integer weights, numbered by position. A name may occur more than once: each place is a
+    dataset of its own. The ``single`` dataset of a blend without weights is asked for no margin."""
 
     names: tuple[str, ...]
     weights: tuple[int, ...]
+    single: bool = False
 
     @property
     def shares(self) -> list[float]:
@@ -60,9 +67,71 @@ def whole_weights(weights: Sequence[str | float]) -> tuple[int, ...]:
 
 
 def blend_frame(spark: SparkSession, blend: Blend) -> DataFrame:
-    """The blend as a table ``(dataset_id, dataset, weight, share)``."""
-    rows = [(i, n, w, s) for i, (n, w, s) in enumerate(zip(blend.names, blend.weights, blend.shares))]
-    return spark.createDataFrame(rows, "dataset_id int, dataset string, weight bigint, share double")
+    """The blend as a table ``(dataset_id, dataset, weight, share)``; real weights can scale to integers of
+    more than 64 bits, so weights are decimals."""
+    rows = [(i, n, Decimal(w), s) for i, (n, w, s) in enumerate(zip(blend.names, blend.weights, blend.shares))]
+    return spark.createDataFrame(rows, "dataset_id int, dataset string, weight decimal(38,0), share double")
+
+
+def blend_entries(blends: DataFrame, text: str = "blend", by: Sequence[str] = ()) -> DataFrame:
+    """The entries of blend lists: ``(*by, dataset_id, dataset, weight, share, single)``, one row per dataset and place.
+
+    ``text`` is a list ``[weight, prefix, weight, prefix, ...]`` or the same separated by white space, as
+    ``mixture_string`` writes it. A lone prefix is a single dataset with share 1. Shares are weights divided by
+    their sum. Rows of ``by`` name the blends (a split, for one). An odd list, a weight that is no number
+    or negative, weights that sum to nothing, or too many datasets stop the job; null or blank blends have no entries.
+    """
+    given = F.col(text)
+    if blends.schema[text].dataType.typeName() == "string":
+        given = F.filter(F.split(given, r"\s+"), lambda x: x != "")
+    parts = blends.select(*by, F.transform(given, lambda x: F.trim(x)).alias("__parts")).where(F.size("__parts") > 0)
+    one = F.size("__parts") == 1
+
+    def entry(p: Column, i: Column) -> Column:
+        return F.struct(F.get(p, i + 1).alias("dataset"), F.get(p, i).try_cast("double").alias("weight"))
+
+    whole = F.array(F.struct(F.get("__parts", F.lit(0)).alias("dataset"), F.lit(1.0).alias("weight")))
+    pairs = let(F.col("__parts"), lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 1, F.lit(2)), lambda i: entry(p, i)))
+    listed = parts.select(*by, one.alias("single"), F.when(one, whole).otherwise(pairs).alias("__entries"), F.size("__parts").alias("__n"))
+    bad = F.exists("__entries", lambda e: e["weight"].isNull() | F.isnan(e["weight"]) | (e["weight"] < 0) | (e["weight"] == float("inf")))
+    total = F.aggregate("__entries", F.lit(0.0), lambda acc, e: acc + e["weight"])
+    problem = (
+        F.when(~F.col("single") & (F.col("__n") % 2 == 1), "a blend lists weights and prefixes in turn")
+        .when(F.size("__entries") >= MAX_DATASETS, f"a blend takes fewer than {MAX_DATASETS} datasets")
+        .when(bad, "a weight of the blend is missing, negative or no number")
+        .when(total <= 0, "the weights of the blend sum to nothing")
+    )
+    checked = listed.select(*by, "single", total.alias("__total"), F.when(problem.isNotNull(), F.raise_error(problem).cast("int")).alias("__stop"), "__entries")
+    rows = checked.select(*by, "single", "__total", "__stop", F.posexplode("__entries").alias("dataset_id", "__e"))
+    return rows.select(
+        *by, (F.col("dataset_id") + F.coalesce("__stop", F.lit(0))).alias("dataset_id"), F.col("__e.dataset").alias("dataset"), F.col("__e.weight").alias("weight"),
+        (F.col("__e.weight") / F.col("__total")).alias("share"), "single",
+    )
+
+
+def entry_requests(entries: DataFrame, targets: Mapping[str, int]) -> DataFrame:
+    """``(dataset_id, dataset, split, requested)`` of ``blend_entries`` for each split; a single dataset
+    is asked for the target itself, others for their share and a margin."""
+    splits = F.array(*[F.struct(F.lit(s).alias("split"), F.lit(n).cast("bigint").alias("target")) for s, n in targets.items()])
+    each = entries.withColumn("__t", F.explode(splits))
+    share = F.ceil(F.col("__t.target").cast("double") * F.col("share") * F.lit(REQUEST_MARGIN)).cast("bigint")
+    requested = F.when(F.col("single"), F.col("__t.target")).otherwise(share)
+    return each.select("dataset_id", "dataset", F.col("__t.split").alias("split"), requested.alias("requested"))
+
+
+def parse_blend(blend: str | Sequence[str]) -> Blend:
+    """A blend list as plan-time configuration; the weights keep their exact decimal ratios."""
+    parts = [str(p).strip() for p in (blend.split() if isinstance(blend, str) else blend)]
+    if len(parts) == 1:
+        return Blend((parts[0],), (1,), True)
+    if not parts or len(parts) % 2:
+        raise ValueError("a blend lists weights and prefixes in turn, or one prefix")
+    if len(parts) // 2 >= MAX_DATASETS:
+        raise ValueError(f"a blend takes fewer than {MAX_DATASETS} datasets")
+    weights = whole_weights(parts[::2])
+    if not sum(weights):
+        raise ValueError("the weights of the blend sum to nothing")
+    return Blend(tuple(parts[1::2]), weights)
 
 
 def fit_weights(weights: Sequence[float], n_datasets: int) -> list[float]:
@@ -82,26 +151,88 @@ def request_size(target: int, share: float) -> int:
     return int(math.ceil(target * share * REQUEST_MARGIN))
 
 
-def blend_requests(spark: SparkSession, blend: Blend, targets: dict[str, int]) -> DataFrame:
+def blend_requests(spark: SparkSession, blend: Blend, targets: Mapping[str, int]) -> DataFrame:
     """``(dataset_id, dataset, split, requested)`` for each dataset and split."""
-    rows = [
-        (i, n, split, request_size(target, share))
-        for i, (n, share) in enumerate(zip(blend.names, blend.shares))
-        for split, target in targets.items()
-    ]
-    return spark.createDataFrame(rows, "dataset_id int, dataset string, split string, requested bigint")
+    return entry_requests(blend_frame(spark, blend).withColumn("single", F.lit(blend.single)), targets)
+
+
+def _quotients(odd: np.ndarray, w: int, own: np.ndarray, words: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Floor of ``odd * w / own`` and whether something remains, exact, in 64-bit words.
+
+    The quotient is estimated in doubles, where it is off by one at most, as draws stay below
+    2**45. The remainder of the estimate is then smaller than two ``own``, so products that wrap round still
+    give it exactly: in one word for weights below 2**60, in two (``words``) beyond.
+    """
+    guess = np.floor(odd * float(w) / own).astype(np.int64)
+    if words is None:
+        rest = odd * np.int64(w) - guess * own
+        step = np.floor_divide(rest, own)
+        return guess + step, rest != step * own
+    high, low = words
+    rest = _minus(_times(odd, np.array([w >> 64]), np.array([w & _WORD], np.uint64)), _times(guess, high, low))
+    for _ in range(2):  # the estimate is off by one at most
+        less = rest[0] < 0
+        guess = guess - less
+        rest = _plus(rest, (np.where(less, high, 0), np.where(less, low, np.uint64(0))))
+    for _ in range(2):
+        over = (rest[0] > high) | (rest[0] == high) & (rest[1] >= low)
+        guess = guess + over
+        rest = _minus(rest, (np.where(over, high, 0), np.where(over, low, np.uint64(0))))
+    return guess, (rest[0] != 0) | (rest[1] != 0)
+
+
+_UNSURE = 2.0**-48  # relative; far above the rounding of two products
+_WORD = (1 << 64) - 1
+_HALF = np.uint64((1 << 32) - 1)
+_32 = np.uint64(32)
+
+
+def _words(weights: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(high signed, low unsigned) words of the weights of datasets ``d``."""
+    whole = [int(w) for w in weights]
+    return np.array([w >> 64 for w in whole], np.int64)[d], np.array([w & _WORD for w in whole], np.uint64)[d]
+
+
+def _times(a: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``a * (high, low)`` modulo 2**128, for ``a`` in [0, 2**63)."""
+    u = a.astype(np.uint64)
+    a1, a0, b1, b0 = u >> _32, u & _HALF, low >> _32, low & _HALF
+    bottom, cross = a0 * b0, a1 * b0
+    middle = cross + (bottom >> _32)
+    other = a0 * b1 + (middle & _HALF)
+    return (a1 * b1 + (middle >> _32) + (other >> _32)).astype(np.int64) + a * high.astype(np.int64), u * low
+
+
+def _plus(x, y):
+    low = x[1] + y[1]
+    return x[0] + y[0] + (low < x[1]), low
+
+
+def _minus(x, y):
+    return x[0] - y[0] - (x[1] < y[1]), x[1] - y[1]
 
 
 def _places(k: np.ndarray, d: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Place of draw ``k`` of dataset ``d`` when all draws are ordered by ``(k + 1/2) / weight``,
     ties to the lower dataset number: its own number plus the draws of every other dataset that
-    come before it. Integer arithmetic only."""
-    odd, own, place = 2 * k + 1, weights[d], k.copy()
-    for other, w in enumerate(weights):
+    come before it. Exact, in integers of 64 bits."""
+    odd, place = 2 * k + 1, k.copy()
+    wide = weights.dtype == object
+    words = _words(weights, d) if wide else None
+    own = weights.astype(np.float64)[d] if wide else weights[d]
+    turn = odd / own
+    for other, w in enumerate(weights.tolist()):
         if w == 0:
             continue
-        scaled = odd * w
-        before = np.where(other < d, (scaled // own + 1) // 2, ((scaled - 1) // own + 1) // 2)
+        # How many half steps of the other dataset fit before this draw. Doubles settle all that are not next to
+        # a whole number; those are worked out exactly.
+        steps = turn * float(w)
+        whole = np.floor(steps)
+        before = (whole.astype(np.int64) + 1) // 2
+        close = np.flatnonzero(np.abs(steps - np.rint(steps)) <= steps * _UNSURE)
+        if len(close):
+            q, rest = _quotients(odd[close], w, own[close], words and (words[0][close], words[1][close]))
+            before[close] = (q + ((other < d[close]) | rest)) // 2  # a draw at the same time comes before if its dataset does
         place += np.where(other == d, 0, before)
     return place
 
@@ -109,12 +240,16 @@ def _places(k: np.ndarray, d: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def balanced_schedule(spark: SparkSession, blend: Blend, size: int) -> DataFrame:
     """``size`` draws as ``(sample_idx, dataset_id, dataset_sample_idx)`` with the same mix as the
     exact schedule. Each row's place has a closed form: no sort, no shuffle, no state."""
-    weights = [w // math.gcd(*blend.weights) for w in blend.weights]
+    # A dataset whose first draw comes after all others are drawn ``size`` times has none, and precedes none.
+    heavy = max(blend.weights)
+    drawn = [w if w * 2 * (size + 1) > heavy else 0 for w in blend.weights]
+    weights = [w // math.gcd(*drawn) for w in drawn]
     whole = sum(weights)
+    if max(weights) >= MAX_WEIGHT or size >= 1 << 45:
+        raise ValueError("the weights of a blend have too many digits, or its size is above 2**45")
     counts = [size * w // whole + 2 if w else 0 for w in weights]
     ends = np.cumsum(counts)
-    # Products above 64 bits are computed with Python integers, exact at any size.
-    kind = np.int64 if (2 * max(counts) + 1) * max(weights) < 1 << 62 else object
+    kind = np.int64 if max(weights) < 1 << 60 else object
 
     def draws(batches):
         w = np.array(weights, dtype=kind)
@@ -122,7 +257,7 @@ def balanced_schedule(spark: SparkSession, blend: Blend, size: int) -> DataFrame
             ids = pdf["id"].to_numpy()
             d = np.searchsorted(ends, ids, side="right")
             k = ids - (ends[d] - np.array(counts, dtype=np.int64)[d])
-            place = _places(k.astype(kind), d, w).astype(np.int64)
+            place = _places(k, d, w)
             keep = place < size
             yield pd.DataFrame(
                 {"sample_idx": place[keep], "dataset_id": d[keep].astype(np.int16), "dataset_sample_idx": k[keep]}
@@ -177,15 +312,13 @@ def exact_schedule(
     ``share * max(n, 1) - drawn``, ties to the lowest number.
 
     The recurrence is sequential, so it is cut into chunks that start from guessed counts and
-    run in parallel. A guess is kept only if it equals the counts the chunk before it ended
-    with; otherwise that chunk runs again from the right counts. The result is exact
-    whatever the guesses were. Only the counts per chunk reach the driver, at most four million.
+    run in parallel. Counts at both ends of each chunk are a table: a chunk that does not start where the one
+    before it ends runs again from there, until none is left, so the result is exact whatever
+    the guesses were. No counts reach the driver.
     """
     shares = np.array(blend.shares, dtype=np.float64)
-    most_chunks = max(1, min(MAX_CHUNKS, MAX_STATE_CELLS // len(shares)) - 1)
-    chunk = chunk or max(MIN_CHUNK, -(-size // most_chunks))
+    chunk = chunk or min(MAX_CHUNK, max(MIN_CHUNK, size // 256))
     n_chunks = max(1, -(-size // chunk))
-    tasks = min(n_chunks, 4 * spark.sparkContext.defaultParallelism)
     together = max(1, min(RUNS_AT_ONCE, MAX_DRAWS_AT_ONCE // chunk))
 
     def groups(batches):
@@ -202,14 +335,21 @@ def exact_schedule(
             final = _replay(shares, begins, starts, chunk)[2]
             yield pd.DataFrame({"chunk": chunks, "start": list(starts), "end": list(final)})
 
-    def run(frame: DataFrame) -> dict[int, tuple[list, list]]:
-        done = frame.repartition(tasks).mapInPandas(ends, "chunk bigint, start array<double>, end array<double>")
-        return {r["chunk"]: (r["start"], r["end"]) for r in done.collect()}
-
-    known = run(spark.range(n_chunks).select(F.col("id").alias("chunk"), F.lit(None).cast("array<double>").alias("start")))
-    while wrong := [c for c in range(1, n_chunks) if known[c][0] != known[c - 1][1]]:
-        redo = [(c, known[c - 1][1]) for c in wrong]
-        known.update(run(spark.createDataFrame(redo, "chunk bigint, start array<double>")))
+    def run(chunks: DataFrame) -> DataFrame:
+        return chunks.mapInPandas(ends, "chunk bigint, start array<double>, end array<double>")
+
+    # As many rows at a time as run together; their counts stay small in a worker.
+    tasks = min(-(-n_chunks // together), 4 * spark.sparkContext.defaultParallelism)
+    first = spark.range(0, n_chunks, 1, tasks).select(F.col("id").alias("chunk"), F.lit(None).cast("array<double>").alias("start"))
+    states = materialize(run(first), "blend-states")
+    while True:
+        reached = states.select((F.col("chunk") + 1).alias("chunk"), F.col("end").alias("reached"))
+        wrong = states.join(reached, "chunk").where(F.col("start") != F.col("reached")).select("chunk", F.col("reached").alias("start"))
+        wrong = materialize(wrong, "blend-redo")
+        if wrong.isEmpty():
+            break
+        kept = states.join(wrong.select("chunk"), "chunk", "left_anti")
+        states = materialize(kept.unionByName(run(wrong.repartition("chunk"))), "blend-states")
 
     def draws(batches):
         for _, begins, starts in groups(batches):
@@ -224,8 +364,7 @@ def exact_schedule(
                     }
                 )
 
-    starts = spark.createDataFrame([(c, known[c][0]) for c in range(n_chunks)], "chunk bigint, start array<double>")
-    return starts.repartition(tasks).mapInPandas(
+    return states.select("chunk", "start").repartition(tasks, "chunk").mapInPandas(
         draws, "sample_idx bigint, dataset_id smallint, dataset_sample_idx bigint"
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,40 +27,42 @@ def build_split(
     """Blended samples of one split: ``(sample_idx, dataset_id, dataset_sample_idx, tokens, doc_ids)``.
 
     ``lengths`` names the sequences of the split, ``sequences`` holds their tokens. The size is
-    the sum of the requests. Places and draws are worked out on narrow rows; the schedule and the
+    the sum of the requests; a single dataset is not blended and gives ``target`` samples. Places and draws are worked out on narrow rows; the schedule and the
     document index are saved once; tokens move only for samples that are really drawn.
     """
-    requests = blend_requests(spark, blend, {"s": target}).select("dataset_id", "dataset", "requested")
-    size = sum(request_size(target, share) for share in blend.shares)
+    requests = blend_requests(spark, blend, {"s": target}).select("dataset_id", "requested")
+    size = target if blend.single else sum(request_size(target, share) for share in blend.shares)
     schedule = materialize(blend_schedule(spark, blend, size, mode), "blend-index")
     # Rounding every request up can make a heavy dataset's draws exceed its own request.
     draws = schedule.groupBy(F.col("dataset_id").cast("int").alias("dataset_id")).agg(F.count(F.lit(1)).alias("draws"))
-    named = requests.join(draws, "dataset_id", "left").select(
-        F.col("dataset").alias(cfg.dataset), F.greatest("requested", F.coalesce("draws", F.lit(0))).alias("requested")
-    )
-    wanted = lengths.select(*cfg.names, cfg.n_tokens).join(F.broadcast(named), cfg.dataset)  # < 32,767 rows
-    index = materialize(P.tile_epochs(wanted, cfg, F.col("requested")), "document-index")
-    _check_supply(named, index, cfg)
-    starts = P.sample_index(index, cfg).where(F.col("sample") < F.col("n_samples"))
-    numbers = starts.select(cfg.dataset, "sample", "first_range")
+    wanted = requests.join(draws, "dataset_id", "left").select("dataset_id", F.greatest("requested", F.coalesce("draws", F.lit(0))).alias("requested"))
+    # From here on a dataset is its place in the blend, so a name that is listed twice is two datasets.
+    entries = F.broadcast(blend_frame(spark, blend).select("dataset_id", F.col("dataset").alias(cfg.dataset)))  # < 32,767 rows
+    placed = replace(cfg, dataset="dataset_id")
+    named = lengths.select(*cfg.names, cfg.n_tokens).join(entries, cfg.dataset).select(*placed.names, cfg.n_tokens)
+    index = materialize(P.tile_epochs(named.join(F.broadcast(wanted), "dataset_id"), placed, F.col("requested")), "document-index")
+    _check_supply(wanted, index, blend)
+    starts = P.sample_index(index, placed).where(F.col("sample") < F.col("n_samples"))
+    numbers = starts.select("dataset_id", "sample", "first_range")
     if shuffle:
-        numbers = P.shuffle_samples(numbers, cfg, "first_range", out="__k")
+        numbers = P.shuffle_samples(numbers, placed, "first_range", out="__k")
     else:
         numbers = numbers.withColumn("__k", F.col("sample"))
-    ids = blend_frame(spark, blend).select("dataset_id", F.col("dataset").alias(cfg.dataset))
-    keyed = numbers.join(F.broadcast(ids), cfg.dataset).select(cfg.dataset, "dataset_id", "__k", "sample")
-    drawn = lookup_blended(schedule, keyed, "dataset_id", "__k")
-    carried = ["sample_idx", "dataset_id", "dataset_sample_idx"]
-    needed = P.sample_parts(index, cfg).join(drawn.select(cfg.dataset, "sample", *carried), [cfg.dataset, "sample"])
-    return P.gather_samples(needed, sequences, cfg, carried).select(*carried, "tokens", "doc_ids")
+    drawn = lookup_blended(schedule, numbers.select("dataset_id", "__k", "sample"), "dataset_id", "__k")
+    carried = ["sample_idx", "dataset_sample_idx"]
+    drawn = drawn.select(F.col("dataset_id").cast("int").alias("dataset_id"), "sample", *carried)
+    needed = P.sample_parts(index, placed).join(drawn, ["dataset_id", "sample"])
+    tokens = sequences.join(entries, cfg.dataset).select(*placed.names, cfg.tokens)
+    samples = P.gather_samples(needed, tokens, placed, carried)
+    return samples.select("sample_idx", F.col("dataset_id").cast("smallint").alias("dataset_id"), "dataset_sample_idx", "tokens", "doc_ids")
 
 
-def _check_supply(requests: DataFrame, index: DataFrame, cfg: P.PackConfig) -> None:
+def _check_supply(requests: DataFrame, index: DataFrame, blend: Blend) -> None:
     """Every dataset must hold the samples that will be drawn from it; one without any token in
     this split cannot, however many epochs are run."""
-    supply = index.groupBy(cfg.dataset).agg(F.max("n_samples").alias("n_samples"))
-    short = requests.join(supply, cfg.dataset, "left").where(F.col("requested") > F.coalesce("n_samples", F.lit(0)))
-    names = [r[0] for r in short.select(cfg.dataset).limit(10).collect()]
+    supply = index.groupBy("dataset_id").agg(F.max("n_samples").alias("n_samples"))
+    short = requests.join(supply, "dataset_id", "left").where(F.col("requested") > F.coalesce("n_samples", F.lit(0)))
+    names = [blend.names[r[0]] for r in short.select("dataset_id").orderBy("dataset_id").limit(10).collect()]
     if names:
         raise ValueError(f"datasets without tokens in this split: {names}")
 
