@@ -6,10 +6,13 @@ is reduced by partial aggregation and never lands in one window.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import track_key, track_type
+from ..session import materialize
 from .order import dense_index
 
 MAX_AMPLITUDE = 0.95
@@ -80,32 +83,29 @@ def trim_silence(
 ) -> DataFrame:
     """Keep the hop-sized stretches whose frame is within ``top_db`` of the loudest frame.
 
-    Frame t is centred on sample t * hop with zero padding. Each sample feeds the few frames
-    that cover it; frame energies are summed with partial aggregation.
+    Frame t is centred on sample t * hop with zero padding. Samples are gathered once, in blocks that no
+    frame divides; a block's energy is added to the few frames that cover it, and the blocks that stay are
+    unfolded again. A sample number must be unique in its track.
     """
     half = frame // 2
-    i = F.col(idx)
-    first = F.greatest(F.ceil((i - half + 1) / F.lit(float(hop))).cast("bigint"), F.lit(0).cast("bigint"))
-    last = F.call_function("div", i + half, F.lit(hop))
-    ends = df.groupBy(track).agg(F.max(idx).alias("__last"))
-    frames = (
-        df.withColumn("__f", F.explode(F.sequence(first, last)))
-        .groupBy(track, "__f")
-        .agg(F.sum(F.col(amp) * F.col(amp)).alias("__e"))
-        .join(ends, track)
-        .where(F.col("__f") <= F.call_function("div", F.col("__last") + 1, F.lit(hop)))
+    step = math.gcd(half, hop)
+    block = F.call_function("div", F.col(idx), F.lit(step)).cast("bigint")
+    blocks = df.groupBy(track, block.alias("__b")).agg(
+        F.sum(F.col(amp) * F.col(amp)).alias("__e"), F.max(idx).alias("__last"), F.collect_list(F.struct(*df.columns)).alias("__rows")
     )
+    blocks = materialize(blocks, "wave-blocks")
+    begin = F.col("__b") * step
+    first = F.greatest(F.ceil((begin + step - half) / F.lit(float(hop))).cast("bigint"), F.lit(0).cast("bigint"))
+    last = F.call_function("div", begin + half, F.lit(hop))
+    frames = blocks.select(track, "__e", F.explode(F.sequence(first, last)).alias("__f")).groupBy(track, "__f").agg(F.sum("__e").alias("__e"))
+    if half < hop:  # else a frame behind the end covers no more than the one before it
+        ends = blocks.groupBy(track).agg(F.max("__last").alias("__last"))
+        frames = frames.join(ends, track).where(F.col("__f") <= F.call_function("div", F.col("__last") + 1, F.lit(hop)))
     loudest = frames.groupBy(track).agg(F.max("__e").alias("__max"))
-    audible = (
-        frames.join(loudest, track)
-        .where((F.col("__max") > 0) & (F.col("__e") > F.col("__max") * F.lit(10.0 ** (-top_db / 10.0))))
-        .select(track, F.col("__f").alias("__block"))
-    )
-    return (
-        df.withColumn("__block", F.call_function("div", i, F.lit(hop)))
-        .join(audible, [track, "__block"], "left_semi")
-        .drop("__block")
-    )
+    loud = (F.col("__max") > 0) & (F.col("__e") > F.col("__max") * F.lit(10.0 ** (-top_db / 10.0)))
+    audible = frames.join(loudest, track).where(loud).select(track, "__f")
+    kept = blocks.withColumn("__f", F.call_function("div", begin, F.lit(hop))).join(audible, [track, "__f"], "left_semi")
+    return kept.select(F.inline("__rows")).select(*df.columns)
 
 
 def pair_stems(files: DataFrame, name: str = "file", order: str = "file_no") -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +27,8 @@ TYPE_BYTES = {
 }
 NARROW_CARDINALITY = 65500
 # ---- end of fixed values -------------------------------------------------------------------
+RANGES = "_ranges"  # folder of a clustered store's file ranges; readers skip such names
+MAX_FILES = 1 << 20
 IDENTITY = ("dataset", "doc_id", "seq_no")  # what names a stored sequence
 
 
@@ -32,16 +37,70 @@ def narrowest_type(cardinality: int | None) -> str:
 
 
 def write_sequences(
-    df: DataFrame, path: str, dataset: str = "dataset", tokens: str = "tokens", mode: str = "errorifexists"
+    df: DataFrame, path: str, dataset: str = "dataset", tokens: str = "tokens", mode: str = "errorifexists",
+    cluster: str | None = None, files: int | None = None,
 ) -> None:
     """Write sequences partitioned by dataset. The rebalance hint gathers each dataset's rows into
-    well-sized files and lets adaptive execution split a dataset that holds most of the rows."""
+    well-sized files and lets adaptive execution split a dataset that holds most of the rows.
+
+    With ``cluster``, a key column, rows are sorted by dataset and key over ``files`` ranges, and the lowest and
+    highest key of each file are saved beside them, for ``read_requested``."""
     stored = df
     if "n_tokens" not in df.columns:
         stored = stored.withColumn("n_tokens", F.size(tokens))
     if "mode" not in df.columns:
         stored = stored.withColumn("mode", F.lit(0).cast("tinyint"))
-    stored.hint("rebalance", dataset).write.mode(mode).partitionBy(dataset).parquet(path)
+    if cluster is None:
+        stored = stored.hint("rebalance", dataset)
+    else:
+        many = [files] if files else []
+        stored = stored.repartitionByRange(*many, dataset, cluster).sortWithinPartitions(dataset, cluster)
+    stored.write.mode(mode).partitionBy(dataset).parquet(path)
+    if cluster is not None:
+        spark = df.sparkSession
+        keys = read_sequences(spark, path, dataset=dataset).select(dataset, cluster, F.input_file_name().alias("file"))
+        ranges = keys.groupBy(dataset, "file").agg(F.min(cluster).alias("lowest"), F.max(cluster).alias("highest"))
+        ranges.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RANGES}")
+
+
+def read_requested(
+    spark: SparkSession, path: str, requests: DataFrame, key: str = "doc_id", dataset: str = "dataset"
+) -> DataFrame:
+    """Those files of a clustered store that can hold a row with the ``(dataset, key)`` of a request.
+
+    The ranges of the files (one row per file, as many as the driver lists anyway) go to the tasks that hold the
+    requests; only the numbers of the files that are met come back. Beyond ``MAX_FILES`` files, or where most are
+    met, the store is opened whole."""
+    whole = read_sequences(spark, path, dataset=dataset)
+    ranges = spark.read.parquet(f"{path.rstrip('/')}/{RANGES}")
+    if ranges.count() > MAX_FILES:
+        return whole
+    rows = ranges.select(dataset, "lowest", "highest", "file").collect()
+    by_dataset: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        by_dataset.setdefault(str(r[0]), []).append(i)
+    spans = {d: (np.array(at), np.array([rows[i][1] for i in at]), np.array([rows[i][2] for i in at])) for d, at in by_dataset.items()}
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.zeros(len(rows), bool)
+        for batch in batches:
+            names = batch["dataset"].dictionary_encode()
+            which, keys = names.indices.to_numpy(zero_copy_only=False), batch["key"].to_numpy(zero_copy_only=False)
+            for d, name in enumerate(names.dictionary.to_pylist()):
+                if name in spans:
+                    at, lowest, highest = spans[name]
+                    wanted = np.unique(keys[which == d])
+                    met[at[np.searchsorted(wanted, highest, side="right") > np.searchsorted(wanted, lowest)]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(met))], names=["file"])
+
+    wanted = requests.select(F.col(dataset).cast("string").alias("dataset"), F.col(key).alias("key")).where("dataset is not null and key is not null")
+    numbers = [r[0] for r in wanted.mapInArrow(meet, "file bigint").distinct().collect()]
+    if 2 * len(numbers) > len(rows):
+        return whole
+    if not numbers:
+        return whole.where("false")
+    # The listed files only: the others are neither opened nor listed.
+    return spark.read.schema(whole.schema).option("basePath", path).parquet(*[unquote(rows[i].file) for i in sorted(numbers)])
 
 
 def read_sequences(
@@ -61,12 +120,18 @@ def take_sequences(
     """Random access: each row of ``requests`` with ``offset`` and ``length`` returns a part of one
     sequence; a null length reads to the end. A request for an unknown sequence returns null tokens.
 
-    ``keys`` name a sequence of the store; by default those of ``dataset, doc_id, seq_no`` that the store has.
+    ``keys`` name a sequence of the store; by default those of ``dataset, doc_id, seq_no`` that the store has. A
+    dataset or sequence number that requests do not have is taken from the store if all of it has the same one.
     """
-    keys = [c for c in IDENTITY if c in store.columns] if keys is None else list(keys)
-    absent = [c for c in keys if c not in requests.columns]
-    if absent:
-        raise ValueError(f"requests do not say which sequence they mean, without {absent}")
+    if keys is None:
+        keys = [c for c in IDENTITY if c in store.columns]
+        for absent in [c for c in keys if c not in requests.columns]:
+            values = store.select(absent).distinct().limit(2).collect()
+            if len(values) > 1:
+                raise ValueError(f"requests do not say which sequence they mean, without {absent}")
+            only = F.lit(values[0][0] if values else None)
+            requests = requests.withColumn(absent, only.cast(store.schema[absent].dataType))
+    keys = list(keys)
     hit = requests.join(store.select(*keys, tokens), keys, "left")
     return hit.withColumn(tokens, sub_sequence(F.col(tokens), F.col("offset"), F.col("length")))
 
@@ -125,6 +190,10 @@ def write_stats(totals: DataFrame, path: str, mode: str = "errorifexists") -> No
 
 
 def read_count_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Whole log files whose names begin like ``count*.log``, one row per file."""
-    logs = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
-    return logs.where(F.col("file").rlike(r"^count.*.log")).select("file", "value")
+    """Whole log files whose names begin like ``count*.log``, one row per file. There is one log per dataset, so
+    their names fit the driver, which adds the empty ones that a scan passes over."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "count*.log*").load(path)
+    logs = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content").cast("string").alias("value"))
+    names = sorted({unquote(f.rsplit("/", 1)[1]) for f in files.inputFiles()})
+    found = spark.createDataFrame([(n,) for n in names], "file string").where(F.col("file").rlike(r"^count.*.log"))
+    return found.join(logs, "file", "left").select("file", F.coalesce("value", F.lit("")).alias("value"))
