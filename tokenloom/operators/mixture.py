@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame, Observation
+import threading
+import time
+from collections.abc import Callable, Mapping, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import without_extension
+from .order import dense_index, prefix_sums
 
+# What a token-count log says.
 COUNT_PATH = r"Counting tokens in\s+(.*)"
 COUNT_TOTAL = r"Total number of tokens:\s+(\d+)"
+# End of fixed values.
 BILLION = 1_000_000_000
 
 
@@ -29,15 +37,26 @@ def dataset_counts(sequences: DataFrame, dataset: str = "dataset", document: str
     )
 
 
-def parse_count_logs(logs: DataFrame, text: str = "value") -> DataFrame:
-    """Path and token total of each token-count log (one whole log per row); rows without both
-    are dropped."""
-    return logs.select(
+def parse_count_logs(logs: DataFrame, text: str = "value", on_error: str = "fail", file: str | None = None) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Path and token total of each token-count log (one whole log per row).
+
+    A log without one of them stops the job. ``on_error="quarantine"`` returns ``(good rows, bad logs with their
+    problem)`` instead, where ``file`` names a column to carry along.
+    """
+    carried = [file] if file else []
+    found = logs.select(
+        *carried,
         F.regexp_extract(text, COUNT_PATH, 1).alias("path"),
-        F.regexp_extract(text, COUNT_TOTAL, 1).alias("__n"),
-    ).where((F.col("path") != "") & (F.col("__n") != "")).select(
-        "path", F.col("__n").cast("bigint").alias("n_tokens")
+        F.regexp_extract(text, COUNT_TOTAL, 1).try_cast("bigint").alias("n_tokens"),
     )
+    problem = F.when(F.col("path").isNull() | (F.col("path") == ""), "no path").when(F.col("n_tokens").isNull(), "no token total")
+    if on_error == "quarantine":
+        judged = found.withColumn("problem", problem)
+        return judged.where("problem is null").drop("problem"), judged.where("problem is not null").select(*carried, "problem")
+    if on_error != "fail":
+        raise ValueError(f"on_error is fail or quarantine, not {on_error!r}")
+    stop = F.raise_error(F.concat(F.lit("a token-count log has "), problem)).cast("string")
+    return found.withColumn("path", F.when(problem.isNotNull(), stop).otherwise(F.col("path")))
 
 
 def format_billions(n: Column) -> Column:
@@ -123,6 +142,74 @@ def with_progress(df: DataFrame, n_bytes: Column, name: str = "progress") -> tup
     )
 
 
+def document_bytes(line: Column, *matrices: Column, code_bytes: int = 2) -> Column:
+    """Bytes a document was made from: its JSON line, and its code matrices as they are stored."""
+    size = F.octet_length(line).cast("bigint")
+    for m in matrices:
+        codes = F.aggregate(m, F.lit(0).cast("bigint"), lambda n, row: n + F.size(row))
+        size = size + F.coalesce(codes, F.lit(0).cast("bigint")) * code_bytes
+    return size
+
+
+def interval_totals(df: DataFrame, key: str, n_bytes: Column, every: int, ties: Sequence[str] = ()) -> DataFrame:
+    """Documents and bytes so far after each ``every`` documents in key order: ``(n_docs, n_bytes)``, one row per full interval."""
+    sized = df.select(key, *ties, n_bytes.cast("bigint").alias("__bytes"))
+    numbered = dense_index(sized, key, "__no", ties=ties)
+    sums = numbered.groupBy(F.call_function("div", F.col("__no"), F.lit(every)).alias("__part")).agg(F.sum("__bytes").alias("__bytes"), F.count(F.lit(1)).alias("__n"))
+    totals = prefix_sums(sums, "__part", {"__before": F.col("__bytes")})
+    full = totals.where(F.col("__n") == every)
+    return full.select(((F.col("__part") + 1) * every).alias("n_docs"), (F.col("__before") + F.col("__bytes")).alias("n_bytes"))
+
+
+class ProgressLog:
+    """Reports documents/s and MB/s while a job runs, each time ``every`` more documents are done.
+
+    ``watch`` counts a narrow column in the tasks that compute it; counts reach the driver as tasks end, so intervals
+    follow finished tasks, and a task that runs twice counts twice. The numbers are for people; exact ones are
+    those of ``with_progress`` and ``interval_totals``.
+    """
+
+    def __init__(self, spark: SparkSession, every: int, report: Callable[[str], None] = print):
+        sc = spark.sparkContext
+        self.every, self.report, self.begun, self.lines = every, report, time.monotonic(), 0
+        self.docs, self.bytes = sc.accumulator(0), sc.accumulator(0)
+        self._stop = threading.Event()
+        self._thread = threading.Thread(target=self._watch, daemon=True)
+
+    def watch(self, df: DataFrame, n_bytes: Column) -> DataFrame:
+        """``df`` with each document counted when it is computed."""
+        docs, total = self.docs, self.bytes
+
+        @F.arrow_udf("boolean")
+        def counted(size: pa.Array) -> pa.Array:
+            docs.add(len(size))
+            total.add(pc.sum(size).as_py() or 0)
+            return pa.array(np.ones(len(size), bool))
+
+        return df.where(counted(n_bytes.cast("bigint")))
+
+    def tell(self) -> None:
+        """One report for every interval that is full."""
+        docs, seconds = self.docs.value, max(time.monotonic() - self.begun, 1e-9)
+        while (self.lines + 1) * self.every <= docs:
+            self.lines += 1
+            rate, volume = docs / seconds, self.bytes.value / seconds / (1 << 20)
+            self.report(f"Processed {self.lines * self.every} documents ({rate:.2f} docs/s, {volume:.2f} MB/s).")
+
+    def _watch(self) -> None:
+        while not self._stop.wait(0.5):
+            self.tell()
+
+    def __enter__(self) -> ProgressLog:
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._stop.set()
+        self._thread.join()
+        self.tell()
+
+
 def data_with_index(files: DataFrame, path: str = "path") -> DataFrame:
     """Paths of ``.bin`` files that have an ``.idx`` of the same stem; others are ignored."""
     stem = without_extension(F.col(path))
