@@ -33,6 +33,8 @@ from ..operators.prompts import reference_block, sample_prompt
 from ..operators.tokenizer import Tokenizer
 
 STAGE2_WINDOW = 300
+#: What one document is encoded from: lyric segments with codes, a whole text with a whole codec file, a text, or ids.
+UNITS = ("segments", "file", "text", "ids")
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,7 @@ class EncodeConfig:
     split_sentences: bool = False
     keep_newlines: bool = False
     seed: int = 42
+    unit: str = "segments"
 
 
 def attach_codecs(manifest: DataFrame, codecs: DataFrame, columns: list[str]) -> DataFrame:
@@ -320,10 +323,31 @@ def encode_stage2(df: DataFrame, codec: str, cfg: EncodeConfig) -> DataFrame:
     return _finish(base.withColumn("__parts", parts).drop("__w"), "__parts", cfg)
 
 
-def encode(df: DataFrame, key: str, tokenizer: Tokenizer, cfg: EncodeConfig, **columns: str) -> DataFrame:
-    """Choose the encoder by the configuration: stage two, then interleaving, then flat."""
+def encoder_name(cfg: EncodeConfig) -> str:
+    """The encoder a configuration asks for. Windows of codes for stage two come first; then, for songs in segments,
+    interleaved stems, which audio prompts need together with a lyric header; then the unit that is encoded."""
     if cfg.stage2:
-        return encode_stage2(df, columns.get("codec", "codec_matrix"), cfg)
-    if cfg.interleave or cfg.use_audio_icl:
-        return encode_interleaved(df, key, tokenizer, cfg, **columns)
-    return encode_text_segments(df, key, tokenizer, cfg, **columns)
+        return "stage2"
+    if cfg.unit not in UNITS:
+        raise ValueError(f"unknown unit {cfg.unit!r}")
+    if cfg.unit == "segments" and (cfg.interleave or (cfg.use_audio_icl and cfg.cot)):
+        return "interleaved"
+    return cfg.unit
+
+
+def encode(df: DataFrame, key: str, tokenizer: Tokenizer, cfg: EncodeConfig, **columns: str) -> DataFrame:
+    """Encode by the configuration (see ``encoder_name``); ``columns`` names columns of ``df`` that are not called as
+    the encoder expects."""
+    kind = encoder_name(cfg)
+    named = {k: v for k, v in columns.items() if v is not None}
+    if kind == "stage2":
+        return encode_stage2(df, named.get("codec", "codec_matrix"), cfg)
+    if kind == "interleaved":
+        return encode_interleaved(df, key, tokenizer, cfg, **named)
+    if kind == "text":
+        return encode_documents(df, named.get("text", "text"), tokenizer, cfg)
+    if kind == "ids":
+        return encode_ids(df, named.get("ids", "ids"), cfg)
+    if kind == "file":
+        return encode_text_codec(df, key, named.get("text", "text"), named.get("codec", "codec_matrix"), tokenizer, cfg)
+    return encode_text_segments(df, key, tokenizer, cfg, **named)
