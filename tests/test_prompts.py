@@ -87,7 +87,7 @@ def test_prompt_matches_a_loop(spark, mode, seconds):
 
 def test_icl_documents_hold_header_prompt_and_segments(spark):
     vocab = spark.createDataFrame([(m, i) for i, m in enumerate(MARKERS, 1)] + [("one", 5), ("pop", 6)], "token string, id int")
-    cfg = E.EncodeConfig(ONE, instruction="one", use_audio_icl=True, audio_prompt_seconds=5.0, seed=SEED)
+    cfg = E.EncodeConfig(ONE, instruction="one", use_audio_icl=True, cot=True, audio_prompt_seconds=5.0, seed=SEED)
     docs = E.encode(spark.createDataFrame(_songs(), SCHEMA), "doc_id", WordTokenizer(vocab), cfg).collect()
     for r, song in zip(sorted(docs, key=lambda r: r.doc_id), _songs()):
         assert r.reason is None and sum(r.lengths) == len(r.tokens) and r.tokens[-1] == 32000
@@ -103,7 +103,7 @@ def test_unusable_lyric_range_is_reported(spark):
     song[3] = [("x", 2.0, 60, 10), ("y", 2.0, 0, 55)]
     song[3][-1] = ("y", 2.0, 0, 50)
     vocab = spark.createDataFrame([("x", 5)], "token string, id int")
-    cfg = E.EncodeConfig(ONE, use_audio_icl=True)
+    cfg = E.EncodeConfig(ONE, use_audio_icl=True, cot=True)
     r = E.encode(spark.createDataFrame([tuple(song)], SCHEMA), "doc_id", WordTokenizer(vocab), cfg).first()
     assert (r.reason, r.tokens) == ("no_prompt", None)
 
@@ -112,3 +112,13 @@ def test_draws_stay_in_range(spark):
     u = spark.range(2000).select((F.col("id") / 1999.0).alias("u"))
     r = u.select(PR.sample_length(F.col("u")).alias("x")).agg(F.min("x"), F.max("x"), F.avg("x")).first()
     assert r[0] == 20.0 and r[1] == 40.0 and abs(r[2] - 30) < 0.2
+
+
+def test_the_encoder_follows_the_configuration():
+    name = lambda **kw: E.encoder_name(E.EncodeConfig(**kw))
+    assert name() == name(use_audio_icl=True) == name(cot=True) == "segments"  # prompts need a header, a header needs interleaving
+    assert name(interleave=True) == name(use_audio_icl=True, cot=True) == name(interleave=True, cot=True) == "interleaved"
+    assert name(stage2=True, interleave=True) == "stage2"
+    assert [name(unit=u) for u in E.UNITS] == list(E.UNITS)
+    with pytest.raises(ValueError):
+        name(unit="word")

@@ -13,6 +13,7 @@ from tokenloom.operators import pack as P
 from tokenloom.sources import codec_files as C
 from tokenloom.sources import manifests as M
 from tokenloom.sources import store as ST
+from tokenloom.sources.files import write_files
 from tokenloom.streaming.encode_stream import encode_stream
 from tokenloom.operators.tokenizer import WordTokenizer
 
@@ -29,6 +30,49 @@ def test_npy_files(spark, tmp_path):
     assert sorted(r.path.rsplit("/", 1)[1] for r in listed) == ["a.npy", "bad.npy"]
 
 
+def test_npy_forms(spark, tmp_path):
+    a = np.arange(-6, 6).reshape(3, 4)
+    forms = {
+        "f.npy": np.asfortranarray(a), "b.npy": a.astype(">i8"), "u.npy": np.abs(a).astype(np.uint64), "e.npy": np.zeros((0, 5), np.int16), "t.npy": np.zeros((4, 0), np.int8),
+        "r.npy": a.astype(np.int64) * 2**40, "c.npy": a.astype(float), "s.npy": a.reshape(3, 2, 2), "o.npy": np.array(["x"]), "z.npy": np.array(5),
+    }
+    for name, x in forms.items():
+        np.save(tmp_path / name, x)
+    (tmp_path / "cut.npy").write_bytes((tmp_path / "b.npy").read_bytes()[:-1])
+    (tmp_path / "none.npy").write_bytes(b"")
+    got = {r.path.rsplit("/", 1)[1]: (r.codec, r.problem) for r in C.read_codec(spark, str(tmp_path)).collect()}
+    fine = {n: (forms[n].tolist(), None) for n in ("f.npy", "b.npy", "u.npy", "e.npy", "t.npy")}
+    wrong = {"r.npy": "range", "c.npy": "type", "s.npy": "shape", "o.npy": "type", "z.npy": "shape", "cut.npy": "unreadable"}
+    assert got == fine | {n: (None, p) for n, p in wrong.items()}
+
+
+def test_files_round_trip(spark, tmp_path):
+    rows = [(f"d{k % 3}/{k}.npy", [[k, k + 1], [5, 6]]) for k in range(20)] + [("none.npy", None), ("wide.npy", [[]])]
+    df = spark.createDataFrame(rows, "name string, m array<array<int>>")
+    out = write_files(df.select("name", C.encode_npy(F.col("m"), "int32").alias("content")), str(tmp_path / "f")).collect()
+    assert sorted(r.path for r in out) == sorted(f"{tmp_path}/f/{n}" for n, _ in rows)
+    got = {r.path.split("/f/")[1]: (r.codec, r.problem) for r in C.read_codec(spark, str(tmp_path / "f")).collect()}
+    assert got == {n: (m, None) for n, m in rows if m is not None}  # empty files are passed over
+    assert not [p for p in (tmp_path / "f").rglob("*.part")]
+    for wrong in ([[1 << 20]], [[1, 2], [3]]):
+        with pytest.raises(Exception, match="fit|differ"):
+            spark.createDataFrame([(wrong,)], "m array<array<int>>").select(C.encode_npy(F.col("m"))).collect()
+
+
+def test_point_reads(spark, tmp_path):
+    rows = [(n, k, [k, k + 1]) for n in ("a b", "x=1/y", "c%20d") for k in range(0, 400, 2)]
+    path = str(tmp_path / "store")
+    ST.write_sequences(spark.createDataFrame(rows, "dataset string, doc_id long, tokens array<int>"), path, cluster="doc_id", files=30)
+    asked = spark.createDataFrame([("a b", 10), ("a b", 11), ("x=1/y", 398), ("c%20d", 0), ("unknown", 4), (None, 4), ("a b", None)], "dataset string, doc_id long")
+    files = ST.read_requested(spark, path, asked)
+    assert 3 <= len(files.inputFiles()) <= 4 and len(ST.read_sequences(spark, path).inputFiles()) >= 30
+    requests = asked.withColumns({"offset": F.lit(0), "length": F.lit(1)})
+    got = sorted(((r.dataset, r.doc_id, r.tokens) for r in ST.take_sequences(files, requests).collect()), key=repr)
+    assert got == sorted([("a b", 10, [10]), ("a b", 11, None), ("x=1/y", 398, [398]), ("c%20d", 0, [0]), ("unknown", 4, None), (None, 4, None), ("a b", None, None)], key=repr)
+    assert ST.read_requested(spark, path, asked.where("dataset = 'unknown'")).count() == 0
+    assert ST.read_requested(spark, path, spark.createDataFrame(rows, "dataset string, doc_id long, t array<int>")).count() == len(rows)
+
+
 def test_manifest_modes(spark, tmp_path):
     (tmp_path / "m.jsonl").write_text('{"id":"a","n":1}\n{"id":"b","n"\n\n{"id":"c"}\n')
     path, schema = str(tmp_path / "m.jsonl"), "id string, n int"
@@ -59,6 +103,15 @@ def test_count_logs(spark, tmp_path):
 
     rows = parse_count_logs(ST.read_count_logs(spark, str(tmp_path))).collect()
     assert [tuple(r) for r in rows] == [("./a.bin", 12)]
+    (tmp_path / "count_b.log").write_text("Counting tokens in  ./b.bin\n 10%")
+    (tmp_path / "count_c.log").write_text("")
+    (tmp_path / "count_d.log").write_text("Total number of tokens:  7\n")
+    logs = ST.read_count_logs(spark, str(tmp_path))
+    good, bad = parse_count_logs(logs, on_error="quarantine", file="file")
+    assert [tuple(r) for r in good.collect()] == [("count_a.log", "./a.bin", 12)]
+    assert sorted(tuple(r) for r in bad.collect()) == [("count_b.log", "no token total"), ("count_c.log", "no path"), ("count_d.log", "no path")]
+    with pytest.raises(Exception, match="a token-count log has no"):
+        parse_count_logs(logs).collect()
 
 
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
@@ -155,6 +208,20 @@ def test_unknown_requests_stay(spark):
     store = _seqs(spark).where("dataset = 'a'")
     got = {r.doc_id: r.tokens for r in ST.take_sequences(store, requests).collect()}
     assert got == {3: [3, 3], 999: None}
+    with pytest.raises(ValueError, match="without dataset"):
+        ST.take_sequences(_seqs(spark), requests)
+
+
+def test_repeated_and_single_prefixes(spark):
+    seqs, cfg = _seqs(spark), P.PackConfig(8)
+    lengths = seqs.select("dataset", "doc_id", "n_tokens")
+    rows = TN.build_split(spark, lengths, seqs, B.parse_blend("0.5 a 1 b 0.25 a"), 20, cfg).collect()
+    counts = {d: sorted(r.dataset_sample_idx for r in rows if r.dataset_id == d) for d in range(3)}
+    assert {d: len(v) for d, v in counts.items()} == {0: 6, 1: 12, 2: 3} and all(v == list(range(len(v))) for v in counts.values())
+    first, third = ({r.dataset_sample_idx: r.tokens for r in rows if r.dataset_id == d} for d in (0, 2))
+    assert all(x < 100 for t in [*first.values(), *third.values()] for x in t)  # both draw from a
+    alone = TN.build_split(spark, lengths, seqs, B.parse_blend("b"), 7, cfg, shuffle=False).collect()
+    assert sorted((r.sample_idx, r.dataset_sample_idx) for r in alone) == [(k, k) for k in range(7)]
 
 
 def test_one_blend_per_split(spark):

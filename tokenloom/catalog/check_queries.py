@@ -477,6 +477,24 @@ def g10(spark, sf):
     return W.peak_amplitude(X.wave(spark, sf))
 
 
+# Song lines with the bytes of both stems, a report every 50 documents.
+_BYTES = "octet_length(encode(to_json({'doc_id': doc_id, 'n': n_tokens})::varchar)) + 2 * (n_tokens + greatest(n_tokens - doc_id % 14, 0))"
+
+
+@query(
+    "g11_interval_bytes",
+    _ctes(
+        "lens",
+        f"sized as (select doc_id, {_BYTES} as b from lens), so_far as (select row_number() over (order by doc_id) as n_docs, sum(b) over (order by doc_id rows unbounded preceding)::bigint as n_bytes from sized)",
+        "select n_docs, n_bytes from so_far where n_docs % 50 = 0",
+    ),
+)
+def g11_intervals(spark, sf):
+    songs = X.songs(spark, sf).withColumn("n", F.size(F.get("vocals_codec_matrix", F.lit(0))))
+    size = MX.document_bytes(F.to_json(F.struct("doc_id", "n")), F.col("vocals_codec_matrix"), F.col("instrumental_codec_matrix"))
+    return MX.interval_totals(songs, "doc_id", size, 50)
+
+
 @query(
     "g11_progress",
     "select count(*) as n_docs, sum(strlen(text))::bigint as n_bytes from documents",

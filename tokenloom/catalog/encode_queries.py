@@ -10,13 +10,17 @@ from ..operators import pack as P
 from ..operators import split as SP
 from ..operators.prompts import sample_prompt
 from ..plans import encode as E
+from ..plans import manifest as MF
 from ..plans import training as TR
-from ..session import scratch_path
+from ..session import materialize, scratch_path
+from ..sources.manifests import SONG_SCHEMA
 from ..streaming.encode_stream import encode_stream
+from ..streaming.quarantine_stream import quarantine_stream, read_sink
 from . import fixtures as X
 from .expression_queries import SEGMENT_CTES, SEGMENT_VIEWS, VALID
 from .packing_queries import _ctes
 from .registry import query
+from .source_queries import PACKED
 
 STEMS = ["vocals_codec", "instrumental_codec"]
 
@@ -195,10 +199,73 @@ def a31_cot(spark, sf):
     return _doc(E.encode(_songs_from_files(spark, sf), "doc_id", X.tokenizer(spark, sf, True), cfg), "reason")
 
 
+# Song manifests as nested JSON lines; one in nine breaks off in the middle, one in eight has no genres.
+def _manifest_lines(spark, sf):
+    n = F.col("doc_id")
+    rows = X.manifest(spark, sf).withColumn("genres", F.when(n % 8 != 2, F.col("genres")))
+    song = F.struct(
+        n.cast("string").alias("id"), "genres", "audio_length_in_sec", "vocals_codec", "instrumental_codec", F.col("vocals_codec").alias("codec"),
+        F.struct(F.col("segments").alias("segmented_lyrics")).alias("splitted_lyrics"), "msa",
+    )
+    line = F.to_json(song)
+    return rows.select("doc_id", F.when(n % 9 == 4, F.substring(line, F.lit(1), F.length(line) - 7)).otherwise(line).alias("value"))
+
+
+_PLAIN = _interleaved_sql(f"'{_INSTRUCTION}' || chr(10) || line", False)
+_PLAIN_CTES, _PLAIN_ROWS = _PLAIN[: _PLAIN.rindex("select doc_id, reason, case")], _PLAIN[_PLAIN.rindex("select doc_id, reason, case") :]
+_SONG_ROWS = (
+    f", judged as (select doc_id, case when doc_id % 8 = 2 then 'missing_keys' else reason end as reason, tokens, lengths from ({_PLAIN_ROWS}) where doc_id % 9 <> 4)"
+    " select 'good' as status, doc_id, null as reason, tokens, lengths from judged where reason is null"
+    " union all select 'bad', doc_id, reason, null, null from judged where reason is not null"
+    " union all select 'bad', null, 'malformed', null, null from documents where doc_id % 9 = 4"
+)
+
+
+# Lines come in two deliveries with a restart between them; documents and rejects go to folders of their own.
+@query("t01_quarantine_stream", _PLAIN_CTES.rstrip() + _SONG_ROWS)
+def t01_quarantine(spark, sf):
+    source, good, bad, state = (scratch_path(spark, n) for n in ("lines", "good", "bad", "state"))
+    lines, tok = _manifest_lines(spark, sf), X.tokenizer(spark, sf, True)
+    codecs = materialize(X.codec_files(spark, sf), "codec-table")
+    cfg = E.EncodeConfig(X.ONE, instruction=_INSTRUCTION, interleave=True)
+
+    def encode(rows):
+        return MF.encode_songs(rows, codecs, tok, cfg)
+
+    for part in (F.col("doc_id") % 3 != 0, F.col("doc_id") % 3 == 0):
+        lines.where(part).select("value").write.mode("append").text(source)
+        quarantine_stream(spark, source, SONG_SCHEMA, encode, good, bad, state, max_files=8).awaitTermination()
+    fine = read_sink(spark, good).select(F.lit("good").alias("status"), "id", F.lit(None).cast("string").alias("reason"), X.joined("tokens").alias("tokens"), X.joined("lengths").alias("lengths"))
+    broken = read_sink(spark, bad).select(F.lit("bad").alias("status"), "id", "reason")
+    return fine.unionByName(broken, allowMissingColumns=True).withColumn("doc_id", F.col("id").cast("bigint")).drop("id")
+
+
+_MANIFEST_SAMPLES = (
+    ", docs as (select d.source as dataset, lpad(p.doc_id::varchar, 12, '0') as k, string_split(p.tokens, ' ') as ids from"
+    f" ({_PLAIN_ROWS}) p join documents d using (doc_id) where p.reason is null and p.doc_id % 9 <> 4 and p.doc_id % 8 <> 2),"
+    " each as (select dataset, k, unnest(ids) as id, generate_subscripts(ids, 1) as pos from docs),"
+    " flat as (select dataset, id, row_number() over (partition by dataset order by k, pos) - 1 as place, count(*) over (partition by dataset) as total from each) "
+    + PACKED.format(L=128)
+)
+
+
+# From nested JSON lines over codec files to packed samples; documents in the order of their ids.
+@query("j01_manifest_samples", _PLAIN_CTES.rstrip() + _MANIFEST_SAMPLES)
+def j01_samples(spark, sf):
+    id_ = F.regexp_replace("value", '"id":"([0-9]+)"', F.concat(F.lit('"id":"'), F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit('"')))
+    lines = _manifest_lines(spark, sf).select(id_.alias("value"))
+    sources = X.documents(spark, sf).select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("id"), F.col("source").alias("dataset"))
+    cfg = E.EncodeConfig(X.ONE, instruction=_INSTRUCTION, interleave=True)
+    prepared = MF.prepare_manifest(lines, X.codec_files(spark, sf), X.tokenizer(spark, sf, True), cfg, F.lit(""))
+    prepared = prepared._replace(documents=prepared.documents.drop("dataset").join(sources, "id"))
+    samples = MF.manifest_samples(prepared, P.PackConfig(128, ties=("seq_no",)))
+    return samples.select("dataset", "sample", X.joined("tokens").alias("tokens"))
+
+
 # In-context prompts are drawn at random; tests compare them with a plain loop.
 @query("a31_interleave_icl")
 def a31_icl(spark, sf):
-    cfg = E.EncodeConfig(X.ONE, instruction="Sing.", use_audio_icl=True, audio_prompt_seconds=5.0)
+    cfg = E.EncodeConfig(X.ONE, instruction="Sing.", use_audio_icl=True, cot=True, audio_prompt_seconds=5.0)
     return _doc(E.encode(_songs_from_files(spark, sf), "doc_id", X.tokenizer(spark, sf, True), cfg), "reason")
 
 
@@ -281,6 +348,35 @@ def a13(spark, sf):
     )
 
 
+# The first dataset is listed again with real weights: two datasets with draws of their own over one store.
+_REPEATED = (
+    "w as (select dataset, (row_number() over (order by dataset) - 1)::integer as d, count(*) over () as n from lens group by dataset),"
+    " listed as (select dataset, d, 1.0::double + d / 4.0::double as weight from w union all select dataset, n::integer, 0.5::double from w where d = 0),"
+    " sh as (select *, weight / (sum(weight) over ()) as share from listed),"
+    " req as (select *, ceil(300.0::double * share * 1.005::double)::bigint as requested from sh), sz as (select sum(requested)::bigint as size from req),"
+    " dr as (select d, weight, size, unnest(range(0, ceil(size * share)::bigint + 2)) as k from req, sz),"
+    " rk as (select *, row_number() over (order by (2 * k + 1)::double / weight, d) - 1 as n from dr)"
+)
+
+
+@query(
+    "a13_repeated_prefix",
+    _ctes(
+        "lens",
+        _REPEATED,
+        "select d::smallint as dataset_id, count(*) as n_samples, max(k) as last_sample, 65 * count(*) as n_tokens from rk where n < size group by d",
+    ),
+)
+def a13_repeated(spark, sf):
+    seqs, cfg = X.seqs(spark, sf), P.PackConfig(64)
+    names = B.collect_blend(P.tokens_per_epoch(X.lengths(spark, sf), cfg), weight="tokens_per_epoch").names
+    listed = [x for i, n in enumerate(names) for x in (repr(1 + i / 4), n)] + ["0.5", names[0]]
+    samples = TR.build_split(spark, seqs.select("dataset", "doc_id", "n_tokens"), seqs, B.parse_blend(listed), 300, cfg)
+    return samples.groupBy("dataset_id").agg(
+        F.count(F.lit(1)).alias("n_samples"), F.max("dataset_sample_idx").alias("last_sample"), F.sum(F.size("tokens")).cast("bigint").alias("n_tokens")
+    )
+
+
 # The whole training table: random sample order, so there is no SQL form.
 @query("a13_training_samples")
 def a13_samples(spark, sf):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import hash_bits
 from ..operators import blend as B
 from ..operators import mapping as MP
 from ..operators import mixture as MX
@@ -228,6 +229,25 @@ def w01(spark, sf):
     return O.prefix_sums(narrow, "doc_id", {"start": F.col("n_tokens")}, totals={"total": "start"}).drop("n_tokens")
 
 
+# Keys that fill no interval: texts, signed 64-bit integers, and a composite within datasets.
+@query(
+    "w01_wide_keys",
+    X.with_views(
+        "lens",
+        "select doc_id, coalesce(sum(n_tokens) over (order by md5(doc_id::varchar) rows between unbounded preceding and 1 preceding), 0)::bigint as by_text,"
+        " coalesce(sum(n_tokens) over (order by " + _hash("'7:' || doc_id") + " rows between unbounded preceding and 1 preceding), 0)::bigint as by_number,"
+        " row_number() over (partition by dataset order by n_tokens, doc_id) - 1 as by_size from lens",
+    ),
+)
+def w01_wide(spark, sf):
+    n = {"by_text": F.col("n_tokens")}
+    rows = X.lengths(spark, sf).select("doc_id", "dataset", "n_tokens", F.md5(F.col("doc_id").cast("string")).alias("text_key"))
+    rows = O.prefix_sums(rows, "text_key", n).withColumn("number_key", (hash_bits(7, F.col("doc_id")) - (1 << 59)) * 16)
+    rows = O.prefix_sums(rows, "number_key", {"by_number": F.col("n_tokens")})
+    rows = O.dense_index(rows.withColumn("size_key", F.struct("n_tokens", "doc_id")), "size_key", "by_size", ["dataset"])
+    return rows.select("doc_id", "by_text", "by_number", "by_size")
+
+
 @query("o01_file_order", X.with_views("names", "select file, file_no from names"))
 def o01(spark, sf):
     return X.names(spark, sf).orderBy("file", "file_no").select("file", "file_no")
@@ -339,7 +359,43 @@ def _size(spark, sf) -> int:
     ),
 )
 def a11(spark, sf):
-    return B.blend_requests(spark, _blend(spark, sf), {"train": 5000, "valid": 251, "test": 10})
+    totals = P.tokens_per_epoch(X.lengths(spark, sf), PACK)
+    entries = B.blend_entries(_blend_list(totals, F.col("tokens_per_epoch").cast("string")))
+    return B.entry_requests(entries, {"train": 5000, "valid": 251, "test": 10})
+
+
+def _blend_list(totals, weight):
+    """One blend list ``weight prefix weight prefix ...`` over a table of datasets, in name order."""
+    listed = F.sort_array(F.collect_list(F.struct("dataset", weight.alias("weight"))))
+    return totals.agg(F.flatten(F.transform(listed, lambda e: F.array(e["weight"], e["dataset"]))).alias("blend"))
+
+
+_LISTS = (
+    "named as (select dataset, d, (weight::varchar || '.25')::double as weight, count(*) over () as n from w),"
+    " listed as (select 'all' as split, d as dataset_id, dataset, weight, false as single from named union all"
+    " select 'first twice', d, dataset, weight, false from named union all select 'first twice', n, dataset, weight, false from named where d = 0 union all"
+    " select 'one', 0, dataset, 1.0::double, true from named where d = 0)"
+)
+
+
+# Three blends as text: all datasets, all and the first once more, and one prefix without a weight.
+@query(
+    "a11_parse_blend",
+    _ctes(
+        "lens",
+        f"{_W}, {_LISTS}",
+        "select split, dataset_id::integer as dataset_id, dataset, weight, round(weight / (sum(weight) over (partition by split)), 9) as share, single from listed",
+    ),
+)
+def a11_parse(spark, sf):
+    totals = P.tokens_per_epoch(X.lengths(spark, sf), PACK)
+    whole = _blend_list(totals, F.concat(F.col("tokens_per_epoch").cast("string"), F.lit(".25"))).select(F.array_join("blend", " ").alias("text"))
+    parts = F.split("text", " ")
+    twice = F.concat_ws(" ", "text", F.get(parts, F.lit(0)), F.get(parts, F.lit(1)), F.lit(""))
+    blends = whole.select(
+        F.explode(F.array(*[F.struct(F.lit(n).alias("split"), t.alias("blend")) for n, t in (("all", F.col("text")), ("first twice", twice), ("one", F.get(parts, F.lit(1))))])).alias("b")
+    ).select("b.*")
+    return B.blend_entries(blends, by=["split"]).withColumn("share", F.round("share", 9))
 
 
 _BALANCED = (
@@ -361,6 +417,25 @@ def a12_balanced(spark, sf):
     return B.blend_schedule(spark, _blend(spark, sf), _size(spark, sf))
 
 
+# Weights are real numbers with twelve decimals, so their exact ratios take wide integers.
+@query(
+    "a12_fractional_weights",
+    _ctes(
+        "lens",
+        f"{_W}, size as (select sum(weight // {L})::bigint as size from w),"
+        " w2 as (select d, weight::hugeint * 1000000000000 + (weight * 7919) % 999999999989 as w from w), total as (select sum(w)::hugeint as total from w2),"
+        " draws as (select d, w, unnest(range(0, (size * w // total + 2)::bigint))::hugeint as k from w2, size, total),"
+        " placed as (select a.d, a.k, a.k + sum(case when o.d = a.d then 0 else (((2 * a.k + 1) * o.w - (o.d > a.d)::integer) // a.w + 1) // 2 end) as n"
+        " from draws a, w2 o group by a.d, a.k)",
+        "select n::bigint as sample_idx, d::smallint as dataset_id, k::bigint as dataset_sample_idx from placed, size where n < size.size",
+    ),
+)
+def a12_fractional(spark, sf):
+    whole = _blend(spark, sf)
+    listed = [x for w, name in zip(whole.weights, whole.names) for x in (f"{w}.{w * 7919 % 999999999989:012d}", name)]
+    return B.balanced_schedule(spark, B.parse_blend(listed), _size(spark, sf))
+
+
 _EXACT = (
     "with recursive {ctes}, fixed as (select list(share order by d) as s, sum(weight // 128)::bigint as size from sh),"
     " steps(n, d, c) as (select 0::bigint, list_position(s, list_max(s)), list_transform(s, lambda x, i: case when i ="
@@ -395,21 +470,29 @@ def g06(spark, sf):
     return ratios.withColumns({"share": F.round("share", 9), "achieved": F.round("achieved", 9)})
 
 
+# As many draws as every dataset has samples for, so that no draw is without one.
+_SUPPLIED = _BALANCED.replace(
+    f"size as (select sum(weight // {L})::bigint as size from w), total as (select sum(weight)::bigint as total from w)",
+    f"total as (select sum(weight)::bigint as total from w), size as (select min((((weight - 1) // {L} - 1) * total) // weight)::bigint as size from w, total)",
+)
+
+
 @query(
     "j07_blended_lookup",
     _ctes(
         "flat lens",
-        f"{_W}, {_BALANCED}, packed as ({PACKED.format(L=L)})",
+        f"{_W}, {_SUPPLIED}, packed as ({PACKED.format(L=L)})",
         "select r.n as sample_idx, r.d::smallint as dataset_id, r.k as dataset_sample_idx, p.tokens from ranked r join size on r.n < size.size"
-        " join w using (d) join packed p on p.dataset = w.dataset and p.sample = r.k",
+        " join w using (d) left join packed p on p.dataset = w.dataset and p.sample = r.k",
     ),
 )
 def j07(spark, sf):
     blend = _blend(spark, sf)
+    total = sum(blend.weights)
+    size = min(((w - 1) // L - 1) * total // w for w in blend.weights)
     ids = B.blend_frame(spark, blend).select("dataset_id", "dataset")
     packed = P.pack_samples(X.seqs(spark, sf), PACK).join(F.broadcast(ids), "dataset")
-    schedule = B.blend_schedule(spark, blend, _size(spark, sf))
-    hit = B.lookup_blended(schedule, packed.select("dataset_id", "sample", "tokens"), missing="skip")
+    hit = B.lookup_blended(B.blend_schedule(spark, blend, size), packed.select("dataset_id", "sample", "tokens"))
     return hit.select("sample_idx", "dataset_id", "dataset_sample_idx", X.joined("tokens").alias("tokens"))
 
 

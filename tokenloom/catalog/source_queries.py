@@ -12,6 +12,7 @@ from ..session import scratch_path
 from ..sources import codec_files as C
 from ..sources import manifests as M
 from ..sources import store as ST
+from ..sources.files import write_files
 from . import fixtures as X
 from .registry import query
 
@@ -60,6 +61,29 @@ def read_codec(spark, sf):
     return C.decode_npy(files).select("path", X.joined_matrix("codec").alias("codec"))
 
 
+# Files as they are exchanged, some of them damaged: cut off, of reals, of one dimension, or with 64-bit values.
+@query(
+    "s03_codec_files",
+    X.with_views(
+        "codes",
+        "select vec_id || '.npy' as file, case vec_id % 9 when 1 then 'unreadable' when 2 then 'type' when 3 then 'shape' when 4 then 'range' end as problem,"
+        f" case when vec_id % 9 not in (1, 2, 3, 4) then {X.sql_matrix('codec')} end as codec from codes",
+    ),
+)
+def codec_files(spark, sf):
+    codec, fault = F.col("codec"), F.col("vec_id") % 9
+    far = F.transform(codec, lambda r: F.transform(r, lambda v: v.cast("bigint") + (1 << 40)))
+    good = C.encode_npy(codec)
+    content = (
+        F.when(fault == 1, F.substring(good, F.lit(1), F.octet_length(good) - 3)).when(fault == 2, C.encode_npy(codec, "float32"))
+        .when(fault == 3, C.encode_npy(F.flatten(codec))).when(fault == 4, C.encode_npy(far, "int64")).otherwise(good)
+    )
+    folder = scratch_path(spark, "codecs")
+    name = F.concat((F.col("vec_id") % 4).cast("string"), F.lit("/"), F.col("vec_id").cast("string"), F.lit(".npy"))
+    write_files(X.codes(spark, sf).select(name.alias("name"), content.alias("content")), folder)
+    return C.read_codec(spark, folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), "problem", X.joined_matrix("codec").alias("codec"))
+
+
 @query(
     "s04_list_files",
     X.with_views("names", "select file_no, file from names where lower(regexp_extract(file, '(\\.[^./]*)$', 1)) in ('.mp3', '.flac')"),
@@ -68,6 +92,15 @@ def list_files(spark, sf):
     return M.filter_files(X.names(spark, sf), "file", [e for e in AUDIO_EXTENSIONS if e != ".wav"])
 
 
+@query("s04_written_files", "select vec_id || '.npy' as file from embeddings where vec_id % 3 = 0 union all select vec_id || '.NPY' from embeddings where vec_id % 3 = 1")
+def written_files(spark, sf):
+    folder, n = scratch_path(spark, "listed"), F.col("vec_id")
+    ending = F.when(n % 3 == 0, ".npy").when(n % 3 == 1, ".NPY").otherwise(".txt")
+    rows = X.table(spark, sf, "embeddings").select(F.concat((n % 5).cast("string"), F.lit("/"), n.cast("string"), ending).alias("name"), F.lit("x").alias("content"))
+    write_files(rows, folder)
+    return M.list_files(spark, folder, [".npy"]).select(F.element_at(F.split("path", "/"), -1).alias("file"))
+
+
 @query(
     "s05_codec_records",
     X.with_views(
@@ -145,6 +178,28 @@ def take_by_dataset(spark, sf):
     return got.select("dataset", "doc_id", "seq_no", X.joined("tokens").alias("tokens"))
 
 
+# Requests for one document in a hundred, from a store in 64 ranges: only files that can hold one are read.
+@query(
+    "s07_point_reads",
+    X.with_views(
+        "toks",
+        "select l.dataset, l.doc_id, coalesce(string_agg(t.id::varchar, ' ' order by t.pos), '') as tokens, true as few_files from"
+        " (select source as dataset, doc_id from documents where doc_id < (select max(doc_id) // 100 from documents)) l"
+        " left join toks t on t.doc_id = l.doc_id and t.pos < 20 group by l.dataset, l.doc_id",
+    ),
+)
+def point_reads(spark, sf):
+    path = scratch_path(spark, "clustered")
+    ST.write_sequences(X.seqs(spark, sf), path, cluster="doc_id", files=64)
+    docs = X.documents(spark, sf).select(F.col("source").alias("dataset"), "doc_id")
+    last = docs.agg(F.expr("max(doc_id) div 100").alias("last"))
+    requests = docs.join(F.broadcast(last), F.col("doc_id") < F.col("last")).select("dataset", "doc_id", F.lit(0).alias("offset"), F.lit(20).alias("length"))
+    files = ST.read_requested(spark, path, requests)
+    few = len(files.inputFiles()) <= len(ST.read_sequences(spark, path).inputFiles()) // 2
+    got = ST.take_sequences(files, requests)
+    return got.select("dataset", "doc_id", X.joined("tokens").alias("tokens"), F.lit(few).alias("few_files"))
+
+
 @query(
     "s08_write_stats",
     X.with_views(
@@ -175,14 +230,38 @@ def write_samples(spark, sf):
     return spark.read.parquet(path).select("dataset", "sample", X.joined("tokens").alias("tokens"))
 
 
+def _log(path, total):
+    return F.concat(F.lit("loading\nCounting tokens in  ./"), path, F.lit("\n\n  0%|  | 0/10 [00:00<?, ?it/s]\n"), total)
+
+
 @query("s10_parse_count_logs", X.with_views("counts", "select './' || path as path, n_tokens from counts"))
 def parse_logs(spark, sf):
     _, counts = X.mix(spark, sf)
-    log = F.concat(
-        F.lit("loading\nCounting tokens in  ./"), "path", F.lit("\n\n  0%|  | 0/10 [00:00<?, ?it/s]\nTotal number of tokens:  "),
-        F.col("n_tokens").cast("string"), F.lit("\n"),
-    )
-    return parse_count_logs(counts.select(log.alias("value")))
+    total = F.concat(F.lit("Total number of tokens:  "), F.col("n_tokens").cast("string"), F.lit("\n"))
+    return parse_count_logs(counts.select(_log(F.col("path"), total).alias("value")))
+
+
+# One log file per source, language and last digit; some broke off before the total, some name no path, some are empty,
+# some files are no logs.
+_LOGS = "lg as (select source || '.' || lang || '.' || (doc_id % 10) as name, (doc_id % 10)::integer as m, sum(n_chars)::bigint as n from documents group by all)"
+
+
+@query(
+    "s10_log_files",
+    f"with {_LOGS} select 'count.' || name || '.log' as file, case when m not in (3, 4, 6) then './' || name || '.bin' end as path,"
+    " case when m not in (3, 4, 6) then n end as n_tokens, case m when 3 then 'no token total' when 4 then 'no path' when 6 then 'no path' end as problem from lg where m <> 5",
+)
+def log_files(spark, sf):
+    folder, m = scratch_path(spark, "logs"), F.col("m")
+    name = F.concat_ws(".", "source", "lang", (F.col("doc_id") % 10).cast("string"))
+    counts = X.documents(spark, sf).groupBy(name.alias("name"), (F.col("doc_id") % 10).alias("m")).agg(F.sum("n_chars").cast("bigint").alias("n"))
+    total = F.concat(F.lit("Total number of tokens:  "), F.col("n").cast("string"), F.lit("\n"))
+    whole = _log(F.concat("name", F.lit(".bin")), F.when(m == 3, F.lit("")).otherwise(total))
+    text = F.when(m == 4, total).when(m == 6, "").otherwise(whole)
+    file = F.concat(F.when(m == 5, "other.").otherwise("count."), "name", F.lit(".log"))
+    write_files(counts.select(file.alias("name"), text.alias("content")), folder)
+    good, bad = parse_count_logs(ST.read_count_logs(spark, folder), on_error="quarantine", file="file")
+    return good.unionByName(bad, allowMissingColumns=True).select("file", "path", F.col("n_tokens"), "problem")
 
 
 @query(
