@@ -53,6 +53,24 @@ def test_removal_digest(docs, shard_words):
     assert any(w[2] for w in want)
 
 
+def test_one_phrase_in_many_texts(spark):
+    """A minimiser with more words than a shard: its pieces meet in pairs of blocks, in every order."""
+    rng = np.random.default_rng(8)
+    phrase = [f"common{x}" for x in range(20)]
+    texts = [[f"a{k}x{x}" for x in range(int(rng.integers(10, 30)))] + phrase + [f"b{k}x{x}" for x in range(int(rng.integers(10, 30)))] for k in range(150)]
+    for k in range(0, 150, 6):  # windows that also stand in another text, and one that stands twice in its own
+        texts.append(texts[k][2:] + [f"tail{k}"])
+    texts.append([*texts[1], "mid", *texts[1]])
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    every, marks = removed([t for _, t in rows])
+    want = [(i, len(w), sum(m)) for (i, _), w, m in zip(rows, every, marks)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard_words in (700, 2500):
+        got = removal_digest(df, shard_words=shard_words).select("doc_id", "n_words", "n_removed").collect()
+        assert sorted(tuple(r) for r in got) == want
+    assert sum(w[2] for w in want) > 2000
+
+
 def test_remove_repeats_keeps_other_columns(docs):
     out = remove_repeats(docs)
     assert out.schema == docs.schema or out.columns == docs.columns

@@ -6,8 +6,9 @@
    are collapsed to one with a count, so copies and shared passages shrink before any text moves.
 3. The words of the remaining distinct pieces go to shards by minimiser. A shard is indexed
    (``fm_index``) and its pieces are streamed against it: a window that occurs twice is reported.
-   A shard holds whole minimiser groups up to ``SHARD_WORDS``; a larger group is indexed in blocks
-   of that size, and its pieces are streamed against every block, so memory stays bounded.
+   A shard holds whole minimiser groups, up to twice ``SHARD_WORDS`` words. The pieces of a larger group are dealt to
+   blocks of about ``SHARD_WORDS``, and each ordered pair of blocks is a shard of its own: one is indexed, the
+   other streamed, so no task holds more than two blocks. The work of such a group grows with its square.
 4. Reported intervals return to all places of the piece and are merged per text.
 
 A result depends on the text alone, so everything runs once per distinct text; texts are known by
@@ -22,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.binding import let_all
 from .fm_index import FMIndex, repeated_windows
 from .tables import documents, materialize
 from .wordhash import fits, grams, mix, ragged, slices, sliding, utf8, words
@@ -96,13 +98,16 @@ def _pieces_cut(window: int):
                 last = first + piece.field("n").to_numpy() + window - 2
                 raw = w.data.tobytes()
                 text = pa.array([raw[x:y] for x, y in zip(w.start[first].tolist(), w.end[last].tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([piece.field("anchor"), piece.field("piece"), pa.array(piece.field("count").to_numpy() > 1), text], names=["anchor", "piece", "many", "words"])
+                yield pa.RecordBatch.from_arrays(
+                    [piece.field("anchor"), piece.field("piece"), pa.array(piece.field("count").to_numpy() > 1), piece.field("blocks"), text], names=["anchor", "piece", "many", "blocks", "words"]
+                )
 
     return run
 
 
-def shard_repeats(texts: pa.Array, many: np.ndarray, window: int, block_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(piece, from, to) word intervals covered by repeated windows, of one shard's pieces."""
+def shard_repeats(texts: pa.Array, many: np.ndarray, window: int, block_words: int, stream: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, from, to) word intervals covered by repeated windows, of one shard's pieces. With ``stream``, those of
+    the streamed pieces that occur in the others, which come first."""
     w = words(texts)
     k = len(many)
     ids = np.unique(w.hashes(), return_inverse=True)[1].astype(np.int32) + 1
@@ -112,18 +117,24 @@ def shard_repeats(texts: pa.Array, many: np.ndarray, window: int, block_words: i
     start = w.first[:-1] + np.arange(k)
     end = w.first[1:] + np.arange(k)
     found = np.zeros(len(seq), bool)
-    cuts = [0]
-    for p in range(1, k):
-        if end[p] - start[cuts[-1]] > block_words:
-            cuts.append(p)
-    for x, y in itertools.pairwise([*cuts, k]):
-        need = np.ones(k, np.int32)
-        need[x:y] = 2
-        todo = ~many
-        index = FMIndex(seq[start[x] : end[y - 1] + 1], size)
-        found |= repeated_windows(index, seq, start[todo], end[todo], need[todo], window)
-    for p in np.flatnonzero(many & (end - start >= window)):
-        found[start[p] : end[p] - window + 1] = True
+    if stream is not None:
+        x, todo = int(np.argmax(stream)), ~many & stream
+        if stream.any() and x:
+            index = FMIndex(seq[start[0] : end[x - 1] + 1], size)
+            found |= repeated_windows(index, seq, start[todo], end[todo], np.ones(int(todo.sum()), np.int32), window)
+    else:
+        cuts = [0]
+        for p in range(1, k):
+            if end[p] - start[cuts[-1]] > block_words:
+                cuts.append(p)
+        for x, y in itertools.pairwise([*cuts, k]):
+            need = np.ones(k, np.int32)
+            need[x:y] = 2
+            todo = ~many
+            index = FMIndex(seq[start[x] : end[y - 1] + 1], size)
+            found |= repeated_windows(index, seq, start[todo], end[todo], need[todo], window)
+        for p in np.flatnonzero(many & (end - start >= window)):
+            found[start[p] : end[p] - window + 1] = True
     edge = np.diff(np.concatenate(([0], found.view(np.int8), [0])))
     lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     piece = np.searchsorted(start, lo, side="right") - 1
@@ -131,34 +142,48 @@ def shard_repeats(texts: pa.Array, many: np.ndarray, window: int, block_words: i
 
 
 def _shards_searched(window: int, shard_words: int):
-    """Pieces arrive ordered by minimiser; whole minimiser groups are gathered into shards."""
+    """Pieces arrive ordered by minimiser and pair of blocks. Whole groups of one block are gathered into
+    shards; a pair of blocks of a larger group is a shard of its own, with its indexed pieces first."""
 
-    def search(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def search(parts: list[pa.RecordBatch], pair: tuple[int, int, int] | None) -> pa.RecordBatch:
         t = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-        piece, lo, hi = shard_repeats(t["words"], t["many"].to_numpy(zero_copy_only=False), window, shard_words)
+        stream = t["side"].to_numpy() == 1 if pair and pair[1] != pair[2] else None
+        piece, lo, hi = shard_repeats(t["words"], t["many"].to_numpy(zero_copy_only=False), window, 4 * shard_words, stream)
         at = pa.array(piece)
         return pa.RecordBatch.from_arrays([t["anchor"].take(at), t["piece"].take(at), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["anchor", "piece", "lo", "hi"])
 
+    def shards(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, tuple[int, int, int] | None]]:
+        """Stretches of small groups, and pairs of blocks one by one."""
+        large, anchor, one, two = part["blocks"].to_numpy() > 1, *(part[c].to_numpy() for c in ("anchor", "one", "two"))
+        other = (anchor[1:] != anchor[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        cut = np.flatnonzero((large[1:] != large[:-1]) | large[1:] & other) + 1
+        for a, b in itertools.pairwise([0, *cut.tolist(), len(part)]):
+            yield part.slice(a, b - a), (int(anchor[a]), int(one[a]), int(two[a])) if large[a] else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        n = 0
+        n, pair = 0, None
         for batch in batches:
             for a, b in slices(batch["words"]):
-                part = batch.slice(a, b - a)
-                if n >= shard_words:
-                    anchor, last = part["anchor"].to_numpy(), held[-1]["anchor"][-1].as_py()
-                    same = len(anchor) if (anchor == last).all() else int(np.argmax(anchor != last))
-                    held.append(part.slice(0, same))
-                    n += int(utf8(part["words"])[1][same]) // 4
-                    part = part.slice(same)
-                    if not len(part):
-                        continue
-                    yield search(held)
-                    held, n = [], 0
-                held.append(part)
-                n += int(utf8(part["words"])[1][-1]) // 4  # at most that many words
+                for part, now in shards(batch.slice(a, b - a)):
+                    if held and now != pair:
+                        yield search(held, pair)
+                        held, n = [], 0
+                    pair = now
+                    if pair is None and n >= shard_words:
+                        anchor, last = part["anchor"].to_numpy(), held[-1]["anchor"][-1].as_py()
+                        same = len(anchor) if (anchor == last).all() else int(np.argmax(anchor != last))
+                        held.append(part.slice(0, same))
+                        n += int(utf8(part["words"])[1][same]) // 4
+                        part = part.slice(same)
+                        if not len(part):
+                            continue
+                        yield search(held, None)
+                        held, n = [], 0
+                    held.append(part)
+                    n += int(utf8(part["words"])[1][-1]) // 4  # at most that many words
         if held:
-            yield search(held)
+            yield search(held, pair)
 
     return run
 
@@ -186,12 +211,26 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
     kept = materialize(kept, "kept")
 
     chosen = kept.groupBy("anchor", "piece").agg(F.sum("k").alias("count"), F.min(F.struct(*KEY, "place", "n")).alias("at"))
+    chosen = materialize(chosen, "chosen")
+    held = chosen.groupBy("anchor").agg(F.ceil(F.sum(F.col("at.n") + window - 1) / shard_words).cast("int").alias("blocks")).where("blocks > 1")
+    chosen = chosen.join(held, "anchor", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     chosen = chosen.groupBy(F.col("at.text_key").alias("text_key"), F.col("at.n_bytes").alias("n_bytes")).agg(
-        F.collect_list(F.struct("anchor", "piece", "count", F.col("at.place").alias("place"), F.col("at.n").alias("n"))).alias("pieces")
+        F.collect_list(F.struct("anchor", "piece", "count", "blocks", F.col("at.place").alias("place"), F.col("at.n").alias("n"))).alias("pieces")
     )
     pieces = distinct_texts(docs).join(chosen, KEY).select("text", "pieces")
-    pieces = pieces.mapInArrow(_pieces_cut(window), "anchor bigint, piece bigint, many boolean, words binary")
-    shards = pieces.repartition("anchor").sortWithinPartitions("anchor", "piece")
+    pieces = pieces.mapInArrow(_pieces_cut(window), "anchor bigint, piece bigint, many boolean, blocks int, words binary")
+    block, mate = F.pmod(F.xxhash64("piece"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+
+    def pairs(block: Column, mates: Column) -> Column:
+        """The pairs in which a piece of a block is indexed (side 0) or streamed (side 1)."""
+        indexed = F.transform(mates, lambda m: F.struct(block.alias("one"), m.alias("two"), F.lit(0).alias("side")))
+        streamed = F.transform(F.filter(mates, lambda m: m != block), lambda m: F.struct(m.alias("one"), block.alias("two"), F.lit(1).alias("side")))
+        return F.concat(indexed, streamed)
+
+    alone = F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("two"), F.lit(0).alias("side")))
+    pieces = pieces.withColumn("pair", F.explode(F.when(F.col("blocks") == 1, alone).otherwise(let_all(pairs, block=block, mates=mate))))
+    pieces = pieces.select("anchor", "piece", "many", "blocks", "words", "pair.*")
+    shards = pieces.repartition("anchor", "one", "two").sortWithinPartitions("anchor", "one", "two", "side", "piece")
     hits = shards.mapInArrow(_shards_searched(window, shard_words), "anchor bigint, piece bigint, lo int, hi int")
     places = kept.select("anchor", "piece", *KEY, "place").join(hits, ["anchor", "piece"])
     return places.groupBy(KEY).agg(F.collect_set(F.struct((F.col("place") + F.col("lo")).alias("lo"), (F.col("place") + F.col("hi")).alias("hi"))).alias("spans"))
