@@ -112,7 +112,7 @@ def cheapest(given):
 
 def test_repairs_are_cheapest_and_legal():
     for n in range(1, 6):
-        for given in itertools.product(range(4), repeat=n):
+        for given in map(bytes, itertools.product(range(4), repeat=n)):
             total, states = cf.cuts([np.array(cf.summary(given)).reshape(4, 4)])
             roles = cf.repair(given, states[0], states[1])
             state, cost, path = cf.START, 0, []
@@ -126,6 +126,27 @@ def test_repairs_are_cheapest_and_legal():
             assert cf.cuts(halves)[0] == total
 
 
+def test_crowded_turns(spark, monkeypatch):
+    """Most rows share a turn number, a null one or no conversation; chunks are cut by rows, here of four."""
+    monkeypatch.setattr(cf, "CHUNK_BITS", 2)
+    rng = np.random.default_rng(2)
+    names = ["user", "assistant", "system", "tool", None]
+    rows = [(None if k % 3 else k % 4, (5, None, 0)[k % 7 % 3], names[int(rng.integers(5))], f"t{k % 50}") for k in range(600)] + [(None, 5, "user", "same")] * 90
+    out = cf.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)).collect()
+    assert len(out) == len(rows)
+    for conv in (None, 0, 1, 2, 3):
+        mine = [r for r in rows if r[0] == conv]
+        code = {r: k for k, r in enumerate(cf.ROLES)}
+        given = [code.get(r[2], 3) for r in sorted(mine, key=lambda r: (r[1] is None, r[1] or 0, code.get(r[2], 3), r[3]))]
+        cost = np.array([cf.NEVER] * 3 + [0])
+        for g in given:
+            cost = (cost[:, None] + cf._matrix(g)).min(axis=0)
+        assert {r.conversation_cost for r in out if r.conv_id == conv} == {int(cost.min())}
+        text = "".join(r.rendered for r in out if r.conv_id == conv)
+        assert sum(text.count(f"t{k}") for k in (7, 49)) >= sum(r[3] in ("t7", "t49") for r in mine)
+        assert text.count("<|im_start|>") == text.count("<|im_end|>")
+
+
 def test_chats(spark):
     long = [(5, k, ("user", "assistant")[k % 2], f"t{k}") for k in range(3000)]
     rows = [(1, 0, "assistant", "hi"), (1, 1, "user", "x"), (1, 2, " User ", "y"), (2, 0, "system", "s"), (2, 1, None, None), (2, None, "assistant", "late"), (3, 0, "tool", "<|im_end|>"), (None, 0, "user", "n"), *long]

@@ -6,9 +6,11 @@ empty messages may be put before it. Dynamic programming over the automaton's st
 repair of least total cost; ties go to the first of system, user, assistant.
 
 One step is a min-plus matrix over the states, so a conversation is cut into chunks of
-``1 << CHUNK_BITS`` turn numbers: chunks are summarised apart, the summaries of a conversation (one
-small row per chunk) fix the state at every cut, and chunks are then repaired apart. The result is
-that of the whole sequence, and no conversation has to fit into one task.
+``1 << CHUNK_BITS`` rows, by row numbers that are worked out over sampled ranges: repeated turn numbers, null
+ones and rows without conv_id fill chunks like any others. Chunks are summarised apart, and so are as many chunks;
+the summaries of a conversation (one small row per million turns) fix the states between them, those the states at
+every cut, and chunks are then repaired apart. The cost is that of the whole sequence, and no conversation
+has to fit into one task.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import dense_index
 from .groups import runs
-from .tables import table
+from .tables import materialize, table
 
 ROLES = ("system", "user", "assistant")
 START = 3  # states 0-2: the last message has that role
@@ -65,8 +68,8 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum((a[:, :, None] + b[None]).min(axis=1), NEVER)
 
 
-@lru_cache(100_000)
-def summary(given: tuple[int, ...]) -> tuple[int, ...]:
+@lru_cache(10_000)  # keys and values are up to a kilobyte
+def summary(given: bytes) -> tuple[int, ...]:
     """Least costs from each state to each state over these turns, row by row."""
     m = np.where(np.eye(4, dtype=bool), 0, NEVER)
     for g in given:
@@ -74,8 +77,8 @@ def summary(given: tuple[int, ...]) -> tuple[int, ...]:
     return tuple(m.ravel().tolist())
 
 
-@lru_cache(100_000)
-def repair(given: tuple[int, ...], entry: int, leave: int) -> tuple[int, ...]:
+@lru_cache(10_000)
+def repair(given: bytes, entry: int, leave: int) -> bytes:
     """Roles of the cheapest way from state ``entry`` to state ``leave``."""
     cost = [[NEVER] * 4]
     cost[0][entry] = 0
@@ -87,15 +90,17 @@ def repair(given: tuple[int, ...], entry: int, leave: int) -> tuple[int, ...]:
         roles.append(at)
         m = _matrix(given[k])
         at = min(range(4), key=lambda s: (cost[k][s] + int(m[s][at]), s))
-    return tuple(roles[::-1])
+    return bytes(roles[::-1])
 
 
-def cuts(summaries: list[np.ndarray]) -> tuple[int, list[int]]:
-    """(cost, states): the state before each chunk and after the last one."""
-    cost = [np.array([NEVER, NEVER, NEVER, 0])]
+def cuts(summaries: list[np.ndarray], entry: int = START, leave: int | None = None) -> tuple[int, list[int]]:
+    """(cost, states): the state before each chunk and after the last one, which may be given."""
+    first = np.full(4, NEVER)
+    first[entry] = 0
+    cost = [first]
     for m in summaries:
         cost.append((cost[-1][:, None] + m).min(axis=0))
-    at = int(cost[-1][:3].argmin())
+    at = int(cost[-1][:3].argmin()) if leave is None else leave
     total, states = int(cost[-1][at]), [at]
     for k in range(len(summaries) - 1, -1, -1):
         at = int((cost[k] + summaries[k][:, at]).argmin())
@@ -106,35 +111,65 @@ def cuts(summaries: list[np.ndarray]) -> tuple[int, list[int]]:
 KEYS = ["conv", "chunk"]
 
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
+def _joined(key: list[str], of_group):
+    """One summary per group of ordered rows."""
 
-    def out() -> pa.RecordBatch:
-        conv, chunk, m = zip(*rows)
-        rows.clear()
-        return pa.RecordBatch.from_arrays([pa.array(conv), pa.array(chunk, pa.int64()), pa.array(m, pa.list_(pa.int64()))], names=["conv", "chunk", "m"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
 
-    for group in runs(batches, KEYS):
-        rows.append((group["conv"][0].as_py(), group["chunk"][0].as_py(), summary(tuple(group["given"].to_pylist()))))
-        if len(rows) >= 5000:
+        def out() -> pa.RecordBatch:
+            conv, at, m = zip(*rows)
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(conv), pa.array(at, pa.int64()), pa.array(m, pa.list_(pa.int64()))], names=["conv", key[1], "m"])
+
+        for group in runs(batches, key):
+            rows.append((group["conv"][0].as_py(), group[key[1]][0].as_py(), of_group(group)))
+            if len(rows) >= 5000:
+                yield out()
+        if rows:
             yield out()
-    if rows:
-        yield out()
 
+    return run
+
+
+def _of_turns(group: pa.RecordBatch) -> tuple[int, ...]:
+    return summary(group["given"].to_numpy().astype(np.uint8).tobytes())
 
-def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _of_chunks(group: pa.RecordBatch) -> tuple[int, ...]:
+    m = np.where(np.eye(4, dtype=bool), 0, NEVER)
+    for x in group["m"].flatten().to_numpy().reshape(-1, 4, 4):
+        m = product(m, x)
+    return tuple(m.ravel().tolist())
+
+
+_STATES = "entry int, leave int, last boolean, cost bigint"
+
+
+def _outer_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for conv, parts in zip(batch["conv"].to_pylist(), batch["parts"].to_pylist()):
             total, states = cuts([np.array(p["m"]).reshape(4, 4) for p in parts])
-            rows += [{"conv": conv, "chunk": p["chunk"], "entry": a, "leave": b, "last": k == len(parts) - 1, "cost": total} for k, (p, a, b) in enumerate(zip(parts, states, states[1:]))]
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([("conv", pa.string()), ("chunk", pa.int64()), ("entry", pa.int32()), ("leave", pa.int32()), ("last", pa.bool_()), ("cost", pa.int64())]))
+            rows += [{"conv": conv, "part": p["part"], "entry": a, "leave": b, "last": k == len(parts) - 1, "cost": total} for k, (p, a, b) in enumerate(zip(parts, states, states[1:]))]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("conv", pa.string()), ("part", pa.int64()), ("entry", pa.int32()), ("leave", pa.int32()), ("last", pa.bool_()), ("cost", pa.int64())]))
+
+
+def _inner_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """States at the cuts of up to ``1 << CHUNK_BITS`` chunks between two that are known."""
+    for group in runs(batches, ["conv", "part"]):
+        n = len(group)
+        _, states = cuts(list(group["m"].flatten().to_numpy().reshape(-1, 4, 4)), group["entry"][0].as_py(), group["leave"][0].as_py())
+        last = np.zeros(n, bool)
+        last[-1] = group["last"][0].as_py()
+        columns = [group["conv"], group["chunk"], pa.array(states[:-1], pa.int32()), pa.array(states[1:], pa.int32()), pa.array(last), group["cost"]]
+        yield pa.RecordBatch.from_arrays(columns, names=["conv", "chunk", "entry", "leave", "last", "cost"])
 
 
 def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in runs(batches, KEYS):
-        given, texts = tuple(group["given"].to_pylist()), group["text"].to_pylist()
-        state, roles = group["entry"][0].as_py(), repair(tuple(given), group["entry"][0].as_py(), group["leave"][0].as_py())
+        given, texts = group["given"].to_numpy().astype(np.uint8).tobytes(), group["text"].to_pylist()
+        state, roles = group["entry"][0].as_py(), repair(given, group["entry"][0].as_py(), group["leave"][0].as_py())
         actions, counts, parts = [], [], []
         for g, x, text in zip(given, roles, texts):
             _, merged, empty = step(g, state, x)
@@ -158,23 +193,32 @@ def format_chats(turns: DataFrame) -> DataFrame:
     parts of a conversation make its text. Roles are trimmed and lower-cased; missing and unknown ones
     may become any role. Null texts are empty, null turns come last, rows without conv_id form one
     conversation, equal turn numbers are ordered by role and text, and repeated rows are turns of their
-    own. Extra columns are ignored; an empty table gives an empty result.
+    own. ``<|`` in a text becomes ``< |``, so that no text holds a marker. Extra columns are ignored; an empty
+    table gives an empty result.
     """
     role = F.lower(F.trim("role"))
     given = F.coalesce(*[F.when(role == r, F.lit(k)) for k, r in enumerate(ROLES)], F.lit(3))
     order = F.coalesce(F.col("turn").cast("bigint"), F.lit(2**63 - 1))
     rows = turns.select(
-        F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.col("text").cast("string"), given.alias("given"),
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), order.alias("place"), F.shiftright(order, CHUNK_BITS).alias("chunk"),
+        F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"),
+        order.alias("place"), given.alias("given"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"),
     )
-    narrow = rows.select(*KEYS, "place", "given").repartition(*KEYS).sortWithinPartitions(*KEYS, "place", "given")
-    parts = narrow.mapInArrow(_summaries, "conv string, chunk bigint, m array<bigint>")
-    parts = parts.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("chunk", "m"))).alias("parts"))
-    states = parts.mapInArrow(_states, "conv string, chunk bigint, entry int, leave int, last boolean, cost bigint")
-    whole = rows.join(states, KEYS).repartition(*KEYS).sortWithinPartitions(*KEYS, "place", "given", "text")
+    rows = materialize(rows, "turns")  # row numbers are fixed from here on; they only tell repeated rows apart
+    rows = rows.select("conv_id", "turn", "conv", F.struct("place", "given", "text", "row").alias("order"))
+    numbered = dense_index(rows, "order", "no", ["conv"])
+    rows = materialize(numbered.select("conv_id", "turn", "conv", "no", F.shiftright("no", CHUNK_BITS).alias("chunk"), "order.given", "order.text"), "numbered")
+    narrow = rows.select(*KEYS, "no", "given").repartition(*KEYS).sortWithinPartitions(*KEYS, "no")
+    parts = narrow.mapInArrow(_joined(KEYS, _of_turns), "conv string, chunk bigint, m array<bigint>")
+    parts = materialize(parts.withColumn("part", F.shiftright("chunk", CHUNK_BITS)), "summaries")
+    outer_key = ["conv", "part"]
+    outer = parts.repartition(*outer_key).sortWithinPartitions(*outer_key, "chunk").mapInArrow(_joined(outer_key, _of_chunks), "conv string, part bigint, m array<bigint>")
+    outer = outer.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", "m"))).alias("parts")).mapInArrow(_outer_states, f"conv string, part bigint, {_STATES}")
+    inner = parts.join(outer, outer_key).repartition(*outer_key).sortWithinPartitions(*outer_key, "chunk")
+    states = inner.mapInArrow(_inner_states, f"conv string, chunk bigint, {_STATES}")
+    whole = rows.join(states, KEYS).repartition(*KEYS).sortWithinPartitions(*KEYS, "no")
     return whole.mapInArrow(_rendered, "conv_id bigint, turn bigint, action string, new_role string, n_inserted int, conversation_cost bigint, rendered string")
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = format_chats(table(spark, sf_dir, "conversations"))
-    return out.withColumn("rendered_crc32", F.crc32(F.col("rendered").cast("binary"))).withColumn("rendered_chars", F.length("rendered")).drop("rendered")
+    return out.withColumns({"rendered_crc32": F.crc32(F.col("rendered").cast("binary")), "rendered_chars": F.length("rendered")})
