@@ -8,7 +8,7 @@ from ..functions.codecs import EOD
 from ..operators import blend as B
 from ..operators import pack as P
 from ..operators import split as SP
-from ..operators.prompts import sample_prompt
+from ..operators.prompts import length_distribution, sample_prompt
 from ..plans import encode as E
 from ..plans import manifest as MF
 from ..plans import training as TR
@@ -262,14 +262,60 @@ def j01_samples(spark, sf):
     return samples.select("dataset", "sample", X.joined("tokens").alias("tokens"))
 
 
-# In-context prompts are drawn at random; tests compare them with a plain loop.
-@query("a31_interleave_icl")
+def _prompt_ctes(seed: int, seconds: float, songs: str, step: int, source: str) -> str:
+    """The prompt of each row of ``songs(doc_id, n, fr, rate)`` (words, frames of the lyric range, frames a second), drawn from
+    the same hashes; ``source(doc_id, pos, id)`` holds the ids to choose from. Ends with ``pm(doc_id, prompt, c)``."""
+    xs, cdf = (f"(cast([{', '.join(repr(x) for x in xs)}] as double[]))" for xs in length_distribution(seconds))
+
+    def u(salt: str) -> str:
+        return f"(('0x' || substr(md5('{seed}' || {salt} || ':' || doc_id), 1, 15))::bigint / {1 << 60}.0::double)"
+
+    return (
+        f"ps as ({songs}), pu as (select *, {u(repr('length'))} as u from ps),"
+        f" pi as (select *, len(list_filter({cdf}, lambda c: c <= u)) as i from pu),"
+        f" px as (select *, case when i = 0 then {xs}[1] when i >= 100 then {xs}[100] else {xs}[i] + ({xs}[i + 1] - {xs}[i]) * (u - {cdf}[i]) / ({cdf}[i + 1] - {cdf}[i]) end as x from pi),"
+        f" pd as (select *, case when trunc(x * rate)::integer > 0 then trunc(x * rate)::integer * {step} else trunc(rate * {step})::integer end as span from px),"
+        f" pl as (select *, case when span >= fr * {step} then (fr * {step}) // 2 else span end as m from pd),"
+        f" pc as (select *, greatest(fr * {step} - m, 0) as latest, greatest(0, trunc(n / 200.0::double * rate)::integer) * {step} as low,"
+        f" least(fr, trunc(n / 100.0::double * rate)::integer) * {step} - m as high from pl),"
+        f" pt as (select doc_id, m, t, case when t = 0 and doc_id % 3 = 0 and high > low then low + floor({u(repr('try0'))} * (high - low + 1))::integer"
+        f" else floor({u(chr(39) + 'try' + chr(39) + ' || t')} * (latest + 1))::integer end as s from pc, (select unnest(range(6)) as t)),"
+        f" pa as (select pt.doc_id, t, count(q.id) as c, count(distinct q.id) as k, coalesce(string_agg(q.id::varchar, ' ' order by q.pos), '') as prompt from pt"
+        f" left join {source} q on q.doc_id = pt.doc_id and q.pos >= pt.s and q.pos < pt.s + pt.m group by pt.doc_id, t),"
+        " pm as (select doc_id, prompt, c from (select *, row_number() over (partition by doc_id order by case when k >= c * 0.1::double then t else 99 end,"
+        " t desc) as best from pa) where best = 1)"
+    )
+
+
+_COT = _interleaved_sql("line", True)
+_ICL = (
+    _COT.replace(f"where {VALID})", "where s.b >= 0 and s.b < s.e and s.e <= s.T and s.duration >= 1.0)")
+    .replace(
+        ", fin as (",
+        ", duo as (select f.doc_id, 2 * f.t + x.o as pos, case x.o when 0 then f.v else f.u end as id from frames f join good_songs g using (doc_id), (select unnest([0, 1]) as o) x where f.t < g.T), "
+        + _prompt_ctes(42, 5.0, "select doc_id, n, n as fr, fps as rate from good_songs", 2, "duo")
+        + ", fin as (",
+    )
+    .replace("hd.ids || coalesce(' ' || p.tokens", "hd.ids || ' 3 32001 32016' || coalesce(' ' || nullif(pm.prompt, ''), '') || ' 32002 4' || coalesce(' ' || p.tokens")
+    .replace("list_concat([hd.n],", "list_concat([hd.n + 5 + pm.c],")
+    .replace("left join hd using (doc_id))", "left join hd using (doc_id) left join pm using (doc_id))")
+)
+
+
+@query("a31_interleave_icl", _ICL)
 def a31_icl(spark, sf):
     cfg = E.EncodeConfig(X.ONE, instruction="Sing.", use_audio_icl=True, cot=True, audio_prompt_seconds=5.0)
     return _doc(E.encode(_songs_from_files(spark, sf), "doc_id", X.tokenizer(spark, sf, True), cfg), "reason")
 
 
-@query("a23_sample_prompt")
+@query(
+    "a23_sample_prompt",
+    _ctes(
+        "songs frames",
+        "voc as (select doc_id, t as pos, v as id from frames), " + _prompt_ctes(1234, 5.0, "select doc_id, n, n as fr, 50.0::double as rate from songs where n_inst > 0", 1, "voc"),
+        "select doc_id, prompt from pm",
+    ),
+)
 def a23(spark, sf):
     s = X.songs(spark, sf).where(F.size(F.get("instrumental_codec_matrix", F.lit(0))) > 0)
     prompt = sample_prompt(
@@ -377,8 +423,38 @@ def a13_repeated(spark, sf):
     )
 
 
-# The whole training table: random sample order, so there is no SQL form.
-@query("a13_training_samples")
+# The whole training table: samples of the train range, over as many epochs as are drawn, in their permuted order.
+_TRAIN = (
+    ", dr2 as (select d, count(*) as draws from rk where split = 'train' and n < size group by d),"
+    " docs as (select dataset, doc_id, n_tokens, row_number() over (partition by dataset order by doc_id) - 1 as r, count(*) over (partition by dataset) as n from lens),"
+    " kept as (select dataset, doc_id, n_tokens from docs where r < round_even(0.8::double * n, 0)),"
+    " tok2 as (select k.dataset, k.doc_id, t.pos, t.id from kept k join toks t using (doc_id) union all select dataset, doc_id, n_tokens, 32000 from kept),"
+    " fl as (select dataset, id, row_number() over (partition by dataset order by doc_id, pos) - 1 as place from tok2),"
+    " ep as (select w.d, w.dataset, t.tpe, greatest(q.requested, coalesce(dr2.draws, 0)) as requested from w join (select dataset, sum(n_tokens + 1)::bigint as tpe from kept group by dataset) t"
+    " using (dataset) join (select d, requested from req where split = 'train') q using (d) left join dr2 using (d)),"
+    " pl as (select *, greatest((requested * 64 + 1 + tpe - 1) // tpe, 1) as epochs from ep),"
+    " pn as (select *, (epochs * tpe - 1) // 64 as n_samples, case when epochs > 1 then ((epochs - 1) * tpe - 1) // 64 else 0 end as early from pl),"
+    " pf as (select *, case when epochs > 1 and requested - early < trunc(0.8::double * ((tpe - 1) // 64)) then early else n_samples end as first_range from pn),"
+    " sm as (select d, dataset, tpe, first_range, unnest(range(0, n_samples)) as sample from pf),"
+    " sk as (select d, dataset, tpe, sample, row_number() over (partition by d, sample >= first_range order by {h}, sample) - 1"
+    " + case when sample >= first_range then first_range else 0 end as k from sm),"
+    " ch as (select rk.n as sample_idx, rk.d, rk.k, sk.dataset, sk.tpe, sk.sample from rk join sk on sk.d = rk.d and sk.k = rk.k where rk.split = 'train' and rk.n < rk.size),"
+    " tk as (select ch.sample_idx, ch.d, ch.k, j, f.id from ch, (select unnest(range(65)) as j) x join fl f on f.dataset = ch.dataset and f.place = (ch.sample * 64 + x.j) % ch.tpe),"
+    " ps as (select *, count(*) filter (where id = 32000) over before as seg, j - coalesce(max(case when id = 32000 then j + 1 end) over before, 0) as p from tk"
+    " window before as (partition by sample_idx order by j rows between unbounded preceding and 1 preceding))"
+).replace("{h}", "('0x' || substr(md5('1234sample:' || sample), 1, 15))::bigint")
+
+
+@query(
+    "a13_training_samples",
+    _ctes(
+        "lens toks",
+        _A13 + _TRAIN,
+        "select sample_idx, d::smallint as dataset_id, k as dataset_sample_idx, string_agg(id::varchar, ' ' order by j) filter (where j < 64) as input_ids,"
+        " string_agg(id::varchar, ' ' order by j) filter (where j > 0) as labels, string_agg(p::varchar, ' ' order by j) filter (where j < 64) as position_ids,"
+        " string_agg(seg::varchar, ' ' order by j) filter (where j < 64) as segment_ids from ps group by sample_idx, d, k",
+    ),
+)
 def a13_samples(spark, sf):
     cfg = P.PackConfig(64, reset_position_ids=True, reset_attention_mask=True, eod_mask_loss=True)
     train = P.training_fields(_training(spark, sf, ("train",))["train"], cfg)
