@@ -200,14 +200,17 @@ def a31_cot(spark, sf):
 
 
 # Song manifests as nested JSON lines; one in nine breaks off in the middle, one in eight has no genres.
-def _manifest_lines(spark, sf):
-    n = F.col("doc_id")
-    rows = X.manifest(spark, sf).withColumn("genres", F.when(n % 8 != 2, F.col("genres")))
-    song = F.struct(
-        n.cast("string").alias("id"), "genres", "audio_length_in_sec", "vocals_codec", "instrumental_codec", F.col("vocals_codec").alias("codec"),
+def _manifest_rows(spark, sf):
+    return X.manifest(spark, sf).select(
+        F.col("doc_id").cast("string").alias("id"), "genres", "audio_length_in_sec", "vocals_codec", "instrumental_codec", F.col("vocals_codec").alias("codec"),
         F.struct(F.col("segments").alias("segmented_lyrics")).alias("splitted_lyrics"), "msa",
     )
-    line = F.to_json(song)
+
+
+def _manifest_lines(spark, sf):
+    n = F.col("doc_id")
+    rows = _manifest_rows(spark, sf).withColumn("doc_id", F.col("id").cast("bigint")).withColumn("genres", F.when(n % 8 != 2, F.col("genres")))
+    line = F.to_json(F.struct(*[c for c in rows.columns if c != "doc_id"]))
     return rows.select("doc_id", F.when(n % 9 == 4, F.substring(line, F.lit(1), F.length(line) - 7)).otherwise(line).alias("value"))
 
 
@@ -262,6 +265,38 @@ def j01_samples(spark, sf):
     return samples.select("dataset", "sample", X.joined("tokens").alias("tokens"))
 
 
+_COT = _interleaved_sql("line", True)
+_COT_CTES, _COT_ROWS = _COT[: _COT.rindex("select doc_id, reason, case")], _COT[_COT.rindex("select doc_id, reason, case") :]
+
+
+# The same songs through the encoders that a configuration can ask for, from nested or flat manifest rows.
+@query(
+    "x03_encoder_choice",
+    _COT_CTES.rstrip()
+    + f", cot as ({_COT_ROWS}) select 'text' as encoder, count(*) as n_docs, sum(case when n_tokens > 0 then n_tokens + 1 else 0 end)::bigint as n_tokens from (select len(words) as n_tokens from docw)"
+    " union all select 'ids', count(*), sum(case when n_tokens > 0 then n_tokens + 1 else 0 end)::bigint from (select len(words) as n_tokens from docw)"
+    " union all select 'file', count(*) filter (where n > 0), (sum(2 * n + 7) filter (where n > 0))::bigint from songs"
+    " union all select 'interleaved', count(tokens), (sum(len(string_split(tokens, ' '))))::bigint from cot",
+)
+def x03(spark, sf):
+    codecs, tok = materialize(X.codec_files(spark, sf), "codec-table"), X.tokenizer(spark, sf, True)
+    texts = X.documents(spark, sf).select(F.col("doc_id").cast("string").alias("id"), "text", F.concat(F.lit("npy/"), F.col("doc_id").cast("string"), F.lit(".Vocals.npy")).alias("codec"))
+    songs = _manifest_rows(spark, sf)
+    ids = X.seqs(spark, sf).select(F.col("doc_id").cast("string").alias("id"), F.col("tokens").alias("ids"))
+    jobs = {
+        "text": (texts, E.EncodeConfig(unit="text")),
+        "ids": (ids, E.EncodeConfig(unit="ids")),
+        "file": (texts, E.EncodeConfig(X.ONE, unit="file", instruction=_INSTRUCTION)),
+        "interleaved": (songs, E.EncodeConfig(X.ONE, instruction="Sing.", interleave=True, cot=True)),
+    }
+    out = None
+    for name, (rows, cfg) in jobs.items():
+        done = materialize(MF.encode_songs(rows, codecs, tok, cfg).select("tokens", "reason"), name).where("reason is null")
+        part = done.agg(F.lit(E.encoder_name(cfg)).alias("encoder"), F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("tokens")).cast("bigint").alias("n_tokens"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _prompt_ctes(seed: int, seconds: float, songs: str, step: int, source: str) -> str:
     """The prompt of each row of ``songs(doc_id, n, fr, rate)`` (words, frames of the lyric range, frames a second), drawn from
     the same hashes; ``source(doc_id, pos, id)`` holds the ids to choose from. Ends with ``pm(doc_id, prompt, c)``."""
@@ -287,7 +322,6 @@ def _prompt_ctes(seed: int, seconds: float, songs: str, step: int, source: str)
     )
 
 
-_COT = _interleaved_sql("line", True)
 _ICL = (
     _COT.replace(f"where {VALID})", "where s.b >= 0 and s.b < s.e and s.e <= s.T and s.duration >= 1.0)")
     .replace(

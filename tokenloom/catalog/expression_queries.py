@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import codecs as C
@@ -11,7 +13,7 @@ from ..operators import mixture as MX
 from ..operators import pack as P
 from ..operators import validate as V
 from ..operators.prompts import length_distribution, reference_block, sample_length
-from ..operators.tokenizer import build_vocab, detokenize, tokenize
+from ..operators.tokenizer import BatchTokenizer, build_vocab, detokenize, tokenize, tokenize_by_join
 from . import fixtures as X
 from .registry import query
 from .source_queries import PACKED
@@ -43,6 +45,53 @@ def f01(spark, sf):
     return tokenize(_marked(spark, sf), "text", X.tokenizer(spark, sf)).select("doc_id", _J("tokens").alias("tokens"))
 
 
+# The way for vocabularies that are too large to ship: distinct words are joined.
+@query(
+    "f01_tokenize_by_join",
+    _and_ctes("vocab specials", _MARKED_TOKS, "select doc_id, string_agg(id::varchar, ' ' order by pos) as tokens from t group by doc_id"),
+)
+def f01_join(spark, sf):
+    vocab = build_vocab(X.documents(spark, sf), "text")
+    return tokenize_by_join(_marked(spark, sf), "doc_id", "text", vocab, slices=64).select("doc_id", _J("tokens").alias("tokens"))
+
+
+# A plugged-in model, loaded once per worker: here the lengths of the words behind three reserved ids.
+@query(
+    "x01_plugged_model",
+    X.with_views("docw", "select doc_id, " + X.sql_list("list_transform(words, lambda w: length(w) + 3)") + " as tokens from docw"),
+)
+def x01(spark, sf):
+    def load():
+        word = re.compile("[^ \n\t\r]+")
+        return lambda texts: [[len(w) + 3 for w in word.findall(t)] for t in texts]
+
+    tok = BatchTokenizer(load, 1 << 20)
+    return tokenize(X.documents(spark, sf).select("doc_id", "text"), "text", tok).select("doc_id", _J("tokens").alias("tokens"))
+
+
+_OPTIONS = (("xcodec", 0, 1, 45334), ("xcodec", 1, 3, 45334), ("dac16k", 0, 4, 32022), ("dac16k", 2, 1, 32022))
+
+
+# Codecs by name, with some of their codebooks.
+@query(
+    "x02_codec_options",
+    X.with_views(
+        "cells",
+        " union all ".join(
+            f"select vec_id, '{name}/{begin}/{n}' as option, string_agg((code + {base} + k * 1024)::varchar, ' ' order by t, k) as ids"
+            f" from cells where k between {begin} and {begin + n - 1} group by vec_id"
+            for name, begin, n, base in _OPTIONS
+        ),
+    ),
+)
+def x02(spark, sf):
+    chosen = [
+        F.struct(F.lit(f"{name}/{begin}/{n}").alias("option"), _J(C.codes_to_ids(F.col("codec"), C.CodecOptions(name, begin, n))).alias("ids"))
+        for name, begin, n, _ in _OPTIONS
+    ]
+    return X.codes(spark, sf).select("vec_id", F.inline(F.array(*chosen)))
+
+
 @query(
     "f01b_detokenize",
     _and_ctes(

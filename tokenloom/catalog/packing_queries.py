@@ -248,6 +248,26 @@ def w01_wide(spark, sf):
     return rows.select("doc_id", "by_text", "by_number", "by_size")
 
 
+# What a dataset's configuration determines, for two sample lengths and a demand of 700 samples.
+@query(
+    "x04_sample_plan",
+    X.with_views(
+        "lens",
+        "select dataset, l as sequence_length, tokens_per_epoch, epochs, (epochs * tokens_per_epoch - 1) // l as n_samples,"
+        " case when epochs > 1 then ((epochs - 1) * tokens_per_epoch - 1) // l else 0 end as samples_before_last from (select *,"
+        " greatest((700 * l + 1 + tokens_per_epoch - 1) // tokens_per_epoch, 1) as epochs from (select dataset, sum(n_tokens)::bigint as tokens_per_epoch from lens group by dataset),"
+        " (select unnest([64, 128]) as l))",
+    ),
+)
+def x04(spark, sf):
+    parts = []
+    for length in (64, 128):
+        cfg = P.PackConfig(length)
+        plan = P.epoch_plan(P.tokens_per_epoch(X.lengths(spark, sf), cfg), cfg, 700)
+        parts.append(plan.select("dataset", F.lit(length).alias("sequence_length"), "tokens_per_epoch", "epochs", "n_samples", F.col("samples_before_last").cast("bigint")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("o01_file_order", X.with_views("names", "select file, file_no from names"))
 def o01(spark, sf):
     return X.names(spark, sf).orderBy("file", "file_no").select("file", "file_no")
