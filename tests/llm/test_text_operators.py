@@ -175,7 +175,7 @@ def _sharing(n, seed):
     return texts
 
 
-@pytest.mark.parametrize("short,block", [(64, 256), (1, 8), (3, 30)])
+@pytest.mark.parametrize("short,block", [(64, 256), (2, 12)])
 def test_join_of_shared_phrases(spark, monkeypatch, short, block):
     monkeypatch.setattr(ngram_join, "SHORT", short)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
