@@ -91,6 +91,32 @@ def test_recall_on_the_table(spark, data_dir):
     assert all(r.n_links <= exact[r.vec_id] for r in got)
 
 
+def test_cosine_in_double_precision(spark):
+    """As floats this pair would reach the threshold; very long and very short vectors neither overflow nor vanish."""
+    x = 0.93 - 1e-10
+    rows = [(1, [1.0, 0.0], 0), (2, [x, math.sqrt(1 - x * x)], 0), (3, [1e300, 1e300], 1), (4, [1e-300, 1.001e-300], 1)]
+    got = embedding_dedup.embedding_near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True), (4, 1, 3, False)]
+
+
+def test_one_pass_compares_ordered_neighbours_and_dense_runs(spark):
+    """One pass: all pairs at most ``window`` places apart in the order of the hashes or, however far apart, with equal leading bits."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate((rng.standard_normal((60, 8)), rng.standard_normal(8) + 0.02 * rng.standard_normal((40, 8))))
+    nodes = spark.createDataFrame([(k, 0, 8, v.tolist()) for k, v in enumerate(x)], "node long, label int, dim int, embedding array<double>")
+    plane = np.random.default_rng([embedding_dedup.SEED, 8, 0]).standard_normal((8, embedding_dedup.CODE_BITS))
+    signs = [tuple(s) for s in (x @ plane > 0).tolist()]
+    order = sorted(range(100), key=lambda k: (signs[k], k))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = set()
+    for i, j in itertools.combinations(range(100), 2):
+        a, b = order[i], order[j]
+        if (j - i <= 3 or signs[a][:2] == signs[b][:2]) and unit[a] @ unit[b] >= 0.5:
+            want.add((min(a, b), max(a, b)))
+    got = embedding_dedup._pass_links(nodes, range(1), 2, 0.5, 3).collect()
+    assert len(got) == len(want) and {(r.u, r.v) for r in got} == want
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(5, 5), (None, 3)]
     got = {r.id: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

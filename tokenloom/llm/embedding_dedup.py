@@ -1,12 +1,19 @@
 """Near-duplicate vectors by sorted projection passes.
 
-In each pass vectors get the signs of random projections as hash bits and are ordered by label and
-concatenated bits. Neighbours are compared within windows: the runs of the order that share their
-leading bits. The number of bits follows the largest label, so that a run holds about ``RUN``
-vectors; the number of passes follows the bits, so that a pair at the threshold meets with
-probability ``RECALL``. A run beyond ``WINDOW`` vectors is cut into blocks and each pair of its
-blocks is compared in a task of its own, so dense runs are neither cut off nor gathered. Pairs are
-checked by cosine in double precision, and united across passes.
+In each pass a vector's hash is the concatenated signs of ``CODE_BITS`` random projections, and the vectors
+of each label are ordered lexicographically by it. Each vector is compared with the next ``WINDOW``
+ones of that order. Only ids and hashes are ordered; vectors are fetched for blocks of ``WINDOW`` neighbours, a task
+comparing one block with itself and the next one. Pairs are verified by cosine in double precision and
+united across passes.
+
+Windows alone would cut off dense places, where more than ``WINDOW`` vectors share their leading bits. Such
+a run is finished exactly: every two of its blocks further apart meet in a task of their own. The number of leading
+bits follows the largest label, so that a run holds about ``RUN`` vectors; the number of passes follows the bits, so
+that a pair at the threshold shares them in some pass with probability ``RECALL``. So at least that share of
+pairs is found; windows that reach beyond a run find more. The work of a run that is dense in
+every projection grows with its square, as do its links.
+
+``AT_ONCE`` passes are worked on together: vectors lie in shuffle files about twice for each of these, not for all.
 
 Equal vectors are one node with a count, so copies never meet each other. Nodes are known by a
 64-bit hash of label and components.
@@ -14,6 +21,7 @@ Equal vectors are one node with a count, so copies never meet each other. Nodes
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -22,15 +30,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import dense_index
 from .components import components
+from .groups import runs
 from .tables import materialize, table
 
 THRESHOLD = 0.93
 RUN = 64
 WINDOW = 256
 RECALL = 0.99
+CODE_BITS = 60
+AT_ONCE = 8
 SEED = 7
-GROUP = ["pass", "label", "dim", "bits", "one", "two"]
+ORDER = ["pass", "label", "dim"]
+GROUP = [*ORDER, "one", "two"]
+_EMIT = 1 << 16
 
 
 def passes_needed(threshold: float, bits: int, recall: float = RECALL) -> int:
@@ -44,88 +58,91 @@ def _matrix(col: pa.ListArray) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(float).reshape(len(col), -1)
 
 
-def _hashed(bits: int, passes: int):
-    """Run keys of each vector, for all passes."""
+def _hashed(passes: range):
+    """The hash of each vector in each of these passes: the first projection's sign is the highest bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
+        weight = 1 << np.arange(CODE_BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             dims = batch["dim"].to_numpy()
             for dim in np.unique(dims).tolist():
                 if dim not in planes:
-                    planes[dim] = np.random.default_rng([SEED, dim]).standard_normal((dim, passes * bits))
-                at = np.flatnonzero(dims == dim)
-                part = batch.take(pa.array(at))
-                sign = (_matrix(part["embedding"]) @ planes[dim] > 0).reshape(len(at), passes, bits)
-                code = sign @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64)) if bits else np.zeros((len(at), passes), np.int64)
-                for p in range(passes):
+                    planes[dim] = np.concatenate([np.random.default_rng([SEED, dim, p]).standard_normal((dim, CODE_BITS)) for p in passes], axis=1)
+                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                x = _matrix(part["embedding"])
+                sign = (x / np.abs(x).max(axis=1, keepdims=True) @ planes[dim] > 0).reshape(len(part), len(passes), CODE_BITS)
+                for k, p in enumerate(passes):
                     yield pa.RecordBatch.from_arrays(
-                        [part["node"], pa.array(np.full(len(at), p, np.int32)), part["label"], part["dim"], pa.array(code[:, p].astype(np.int64)), part["embedding"]],
-                        names=["node", "pass", "label", "dim", "bits", "embedding"],
+                        [part["node"], pa.array(np.full(len(part), p, np.int32)), part["label"], part["dim"], pa.array(sign[:, k] @ weight)],
+                        names=["node", "pass", "label", "dim", "code"],
                     )
 
     return run
 
 
-def _compared(threshold: float):
-    """Groups arrive together, ordered by key; side tells the block of a pair of blocks."""
+def _compared(threshold: float, window: int):
+    """Blocks (side 0) meet their mates (side 1), which come later in the order; a block meets itself along with the next one."""
 
-    def pairs(node: np.ndarray, side: np.ndarray, x: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        if same:
-            i, j = np.nonzero(np.triu(x @ x.T >= threshold, 1))
-            return node[i], node[j]
+    def pairs(t: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        node, side, at, lead = (t[c].to_numpy() for c in ("node", "side", "at", "lead"))
+        x = _matrix(t["embedding"])
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        i, j = np.nonzero(x[a] @ x[b].T >= threshold)
-        return node[a[i]], node[b[j]]
-
-    def flush(t: pa.RecordBatch) -> pa.RecordBatch:
-        key = np.stack([t[c].to_numpy() for c in GROUP], axis=1)
-        cut = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
-        node, side, us, vs = t["node"].to_numpy(), t["side"].to_numpy(), [], []
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            if b - a > 1:
-                u, v = pairs(node[a:b], side[a:b], _matrix(t["embedding"].slice(a, b - a)), key[a, 4] == key[a, 5])
-                us.append(np.minimum(u, v))
-                vs.append(np.maximum(u, v))
-        none = [np.zeros(0, np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us + none)), pa.array(np.concatenate(vs + none))], names=["u", "v"])
+        reach = (at[b] - at[a][:, None] <= window) | (lead[b] == lead[a][:, None])
+        i, j = np.nonzero((x[a] @ x[b].T >= threshold) & reach)
+        u, v = [node[a[i]]], [node[b[j]]]
+        if t["two"][0].as_py() == t["one"][0].as_py() + 1:
+            i, j = np.nonzero(np.triu(x[a] @ x[a].T >= threshold, 1))
+            u, v = [*u, node[a[i]]], [*v, node[a[j]]]
+        return np.concatenate(u), np.concatenate(v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            last = [batch[c][-1].as_py() for c in GROUP]
-            open_ = np.ones(len(batch), bool)
-            for c, v in zip(GROUP, last):
-                open_ &= batch[c].to_numpy() == v
-            done = int(np.argmax(open_)) if open_.any() else len(batch)
-            if done:  # all but the last group is complete
-                held[-1] = batch.slice(0, done)
-                yield flush(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                held = [batch.slice(done)]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            u, v = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+        for group in runs(batches, GROUP):
+            held.append(pairs(group))
+            if sum(len(u) for u, _ in held) >= _EMIT or len(held) >= _EMIT:
+                yield flush()
         if held:
-            yield flush(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            yield flush()
 
     return run
 
 
+def _pass_links(nodes: DataFrame, passes: range, bits: int, threshold: float, window: int) -> DataFrame:
+    """Distinct pairs that some of these passes find."""
+    coded = nodes.mapInArrow(_hashed(passes), "node bigint, pass int, label int, dim int, code bigint")
+    ranked = dense_index(coded, "code", "at", ORDER, ties=("node",))
+    ranked = ranked.select("node", *ORDER, "at", F.shiftright("code", CODE_BITS - bits).alias("lead"), F.floor(F.col("at") / window).alias("block"))
+    ranked = materialize(ranked, "ranked")
+    key = ["node", *ORDER, "at", "lead"]
+    own = F.struct(F.col("block").alias("one"), (F.col("block") + 1).alias("two"), F.lit(0).alias("side"))
+    last = F.struct((F.col("block") - 1).alias("one"), F.col("block").alias("two"), F.lit(1).alias("side"))
+    near = ranked.select(*key, F.explode(F.array(own, last)).alias("x")).where("x.one >= 0")
+    # Runs that reach beyond two neighbouring blocks.
+    wide = ranked.groupBy(*ORDER, "lead").agg(F.min("block").alias("first"), F.max("block").alias("final")).where("final > first + 1")
+    far = ranked.join(wide, [*ORDER, "lead"]).withColumn("mate", F.explode(F.sequence("first", "final"))).where("abs(mate - block) > 1")
+    meet = F.struct(F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"), (F.col("block") > F.col("mate")).cast("int").alias("side"))
+    rows = near.unionByName(far.select(*key, meet.alias("x"))).select(*key, "x.*")
+    rows = rows.join(nodes.select("node", "embedding"), "node").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return rows.mapInArrow(_compared(threshold, window), "u bigint, v bigint").distinct()
+
+
 def embedding_links(nodes: DataFrame, threshold: float = THRESHOLD, run: int = RUN, window: int = WINDOW) -> DataFrame:
     """Distinct pairs (u < v) found among ``nodes(node, label, dim, embedding)``, all valid vectors."""
     sizes = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()
-    bits = max(0, round(math.log2(max(1, (sizes[0] or 1) / run))))
-    coded = nodes.mapInArrow(_hashed(bits, passes_needed(threshold, bits)), "node bigint, pass int, label int, dim int, bits bigint, embedding array<float>")
-    coded = materialize(coded, "coded")
-    key = GROUP[:4]
-    count = coded.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / window).cast("int")
-    rows = coded.join(count, key).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "node", *key, F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"), (F.col("block") > F.col("mate")).cast("int").alias("side"), "embedding"
-    )
-    rows = rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
-    return rows.mapInArrow(_compared(threshold), "u bigint, v bigint").distinct()
+    bits = min(CODE_BITS, max(0, round(math.log2(max(1, (sizes[0] or 1) / run)))))
+    passes = passes_needed(threshold, bits)
+    parts = [range(p, min(p + AT_ONCE, passes)) for p in range(0, passes, AT_ONCE)]
+    found = [materialize(_pass_links(nodes, part, bits, threshold, window), "links") for part in parts]
+    return functools.reduce(DataFrame.unionByName, found).distinct()
 
 
 def embedding_near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, run: int = RUN, window: int = WINDOW) -> DataFrame:
@@ -136,10 +153,11 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, run:
     null id can be linked, but names a component only if nothing else does. Extra columns are ignored; an empty
     table gives an empty result.
     """
-    base = vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<float>"), F.col("label").cast("int"))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    base = vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast(f"array<{kind}>"), F.col("label").cast("int"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = F.col("label").isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists("embedding", lambda x: x != 0)
-    plus = F.transform("embedding", lambda x: x + F.lit(0.0).cast("float"))  # no negative zeros
+    plus = F.transform("embedding", lambda x: x + F.lit(0.0).cast(kind))  # no negative zeros
     rows = materialize(base.select("vec_id", "label", F.when(usable, plus).alias("embedding")), "vectors").withColumn("node", F.when(F.col("embedding").isNotNull(), F.xxhash64("label", "embedding")))
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count(F.lit(1)).alias("k"), F.min("vec_id").alias("least")
