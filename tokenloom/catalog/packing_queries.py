@@ -490,29 +490,22 @@ def g06(spark, sf):
     return ratios.withColumns({"share": F.round("share", 9), "achieved": F.round("achieved", 9)})
 
 
-# As many draws as every dataset has samples for, so that no draw is without one.
-_SUPPLIED = _BALANCED.replace(
-    f"size as (select sum(weight // {L})::bigint as size from w), total as (select sum(weight)::bigint as total from w)",
-    f"total as (select sum(weight)::bigint as total from w), size as (select min((((weight - 1) // {L} - 1) * total) // weight)::bigint as size from w, total)",
-)
-
-
+# The whole schedule: one pass over all datasets. A draw past the last sample of its dataset has none and is left out.
 @query(
     "j07_blended_lookup",
     _ctes(
         "flat lens",
-        f"{_W}, {_SUPPLIED}, packed as ({PACKED.format(L=L)})",
+        f"{_W}, {_BALANCED}, packed as ({PACKED.format(L=L)})",
         "select r.n as sample_idx, r.d::smallint as dataset_id, r.k as dataset_sample_idx, p.tokens from ranked r join size on r.n < size.size"
-        " join w using (d) left join packed p on p.dataset = w.dataset and p.sample = r.k",
+        " join w using (d) join packed p on p.dataset = w.dataset and p.sample = r.k",
     ),
 )
 def j07(spark, sf):
     blend = _blend(spark, sf)
-    total = sum(blend.weights)
-    size = min(((w - 1) // L - 1) * total // w for w in blend.weights)
     ids = B.blend_frame(spark, blend).select("dataset_id", "dataset")
     packed = P.pack_samples(X.seqs(spark, sf), PACK).join(F.broadcast(ids), "dataset")
-    hit = B.lookup_blended(B.blend_schedule(spark, blend, size), packed.select("dataset_id", "sample", "tokens"))
+    schedule = B.blend_schedule(spark, blend, _size(spark, sf))
+    hit = B.lookup_blended(schedule, packed.select("dataset_id", "sample", "tokens"), missing="skip")
     return hit.select("sample_idx", "dataset_id", "dataset_sample_idx", X.joined("tokens").alias("tokens"))
 
 
