@@ -125,3 +125,24 @@ def test_parsing(spark):
     for wrong in ("1 a 2", "x a 1 b", "-1 a 2 b", "0 a 0 b", ""):
         with pytest.raises(ValueError):
             B.parse_blend(wrong)
+
+
+def test_lookups_broadcast_no_samples(spark):
+    """Samples exploded from a few rows look small to Spark; broadcast, they fill the driver."""
+    schedule = B.blend_schedule(spark, _blend(3, 7), 20)
+    few = spark.createDataFrame([(0, 9), (1, 20)], "dataset_id int, n bigint")
+    samples = few.selectExpr("dataset_id", "explode(sequence(0L, n)) as sample")
+    for missing in ("error", "skip"):
+        found = B.lookup_blended(schedule, samples, missing=missing)
+        assert sorted(found.columns) == ["dataset_id", "dataset_sample_idx", "sample_idx"] and found.count() == 20
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_blended_lookup_takes_the_whole_schedule(spark, data_dir):
+    from tokenloom.catalog import packing_queries as Q
+
+    blend, length = Q._blend(spark, data_dir), Q.L
+    drawn = B.blend_schedule(spark, blend, sum(w // length for w in blend.weights)).collect()
+    want = sorted(tuple(r) for r in drawn if r.dataset_sample_idx < (blend.weights[r.dataset_id] - 1) // length)
+    assert sorted(tuple(r)[:3] for r in Q.j07(spark, data_dir).collect()) == want

@@ -42,6 +42,8 @@ def build_split(
     named = lengths.select(*cfg.names, cfg.n_tokens).join(entries, cfg.dataset).select(*placed.names, cfg.n_tokens)
     index = materialize(P.tile_epochs(named.join(F.broadcast(wanted), "dataset_id"), placed, F.col("requested")), "document-index")
     _check_supply(wanted, index, blend)
+    # The index is a small file that many samples come from: all cores get a part of it.
+    index = index.repartition(max(spark.sparkContext.defaultParallelism, len(index.inputFiles())), *placed.names)
     starts = P.sample_index(index, placed).where(F.col("sample") < F.col("n_samples"))
     numbers = starts.select("dataset_id", "sample", "first_range")
     if shuffle:
@@ -51,7 +53,8 @@ def build_split(
     drawn = lookup_blended(schedule, numbers.select("dataset_id", "__k", "sample"), "dataset_id", "__k")
     carried = ["sample_idx", "dataset_sample_idx"]
     drawn = drawn.select(F.col("dataset_id").cast("int").alias("dataset_id"), "sample", *carried)
-    needed = P.sample_parts(index, placed).join(drawn, ["dataset_id", "sample"])
+    # Parts and draws are as many as samples; their sizes are known by the rows they are exploded from, so none is broadcast.
+    needed = P.sample_parts(index, placed).join(drawn.hint("merge"), ["dataset_id", "sample"])
     tokens = sequences.join(entries, cfg.dataset).select(*placed.names, cfg.tokens)
     samples = P.gather_samples(needed, tokens, placed, carried)
     return samples.select("sample_idx", F.col("dataset_id").cast("smallint").alias("dataset_id"), "dataset_sample_idx", "tokens", "doc_ids")
