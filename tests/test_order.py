@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tokenloom.operators import order as O
 from tokenloom.operators.order import bucket_shifts, dense_index, hash_rank, prefix_sums
 
 
@@ -97,3 +98,13 @@ def test_hash_rank_is_a_stable_permutation(spark):
     assert one == two != other
     for g in (0, 1):
         assert sorted(n for (h, _), n in one.items() if h == g) == list(range(250))
+
+
+def test_hash_leaves_follow_the_rows(spark):
+    """A leaf per row would make as many nodes as rows, all of a group in one window."""
+    assert [O.hash_shift(n) for n in (0, 8191, 8192, 1 << 20, 1 << 33, 1 << 40)] == [60, 60, 59, 52, 40, 40]
+    df = spark.range(20_000).withColumn("g", F.col("id") % 2)
+    got = O.hash_rank(df, 5, ["id"], "place", ["g"]).toPandas()
+    assert all(sorted(p["place"]) == list(range(10_000)) for _, p in got.groupby("g"))
+    plan = df.withColumn("h", F.shiftright(O.hash_bits(5, F.col("id")), O.hash_shift(20_000))).select("g", "h").distinct()
+    assert plan.count() <= 8

@@ -30,8 +30,9 @@ LEAF_SHIFT = 16
 FAN_OUT = 12
 # Mean rows of a leaf below which integer keys count as sparse.
 LEAST_LEAF_ROWS = 64
-# Hash keys have 60 uniform bits: at most 2**20 leaves, so 10**11 rows make 95,000 per leaf.
-HASH_SHIFTS = (40,)
+# Hash keys have 60 uniform bits. A leaf has 8,192 rows of one group in the mean, so nodes stay few; at most 2**20
+# leaves, so 10**11 rows make 95,000 per leaf.
+HASH_BITS, HASH_LEAF_BITS, MAX_LEAF_BITS = 60, 13, 20
 _INTEGERS = ("byte", "short", "integer", "long")
 
 
@@ -157,6 +158,11 @@ def dense_index(
     return prefix_sums(df, key, {name: F.lit(1)}, groups, {total: name} if total else None, **kwargs)
 
 
+def hash_shift(rows: int) -> int:
+    """How many low bits of a hash the rows of one leaf differ in."""
+    return HASH_BITS - min(MAX_LEAF_BITS, (rows >> HASH_LEAF_BITS).bit_length())
+
+
 def hash_prefix_sums(
     df: DataFrame,
     seed: int,
@@ -166,10 +172,12 @@ def hash_prefix_sums(
     totals: Mapping[str, str] | None = None,
     salt: str = "",
 ) -> DataFrame:
-    """Prefix sums in a pseudo-random order fixed by ``seed`` and the unique ``keys``."""
+    """Prefix sums in a pseudo-random order fixed by ``seed`` and the unique ``keys``. Rows are counted first, for
+    as many leaves as they need: with a leaf for every row the nodes would be as many again, in one window per group."""
+    shift = hash_shift(df.count())
     hashed = df.withColumn("__h", hash_bits(seed, *[F.col(k) for k in keys], salt=salt))
     return prefix_sums(
-        hashed, "__h", sums, groups, totals, ties=keys, shifts=HASH_SHIFTS
+        hashed, "__h", sums, groups, totals, ties=keys, shifts=(shift,)
     ).drop("__h")
 
 
