@@ -72,3 +72,30 @@ def test_progress_is_told_per_interval(spark):
 def test_document_bytes(spark):
     df = spark.createDataFrame([("é", [[1, 2], [3, 4]], None)], "line string, a array<array<int>>, b array<array<int>>")
     assert df.select(MX.document_bytes(F.col("line"), F.col("a"), F.col("b"))).first()[0] == 2 + 8
+
+
+def test_stream_encodes_a_batch_once(spark, tmp_path):
+    """Two sinks are written from each batch; joins and encoding are done for one of them only."""
+    from tokenloom.streaming.quarantine_stream import quarantine_stream, read_sink
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    spark.range(20).selectExpr("to_json(struct(cast(id as string) as id)) as value").write.text(f"{tmp_path}/lines")
+    encode = lambda rows: rows.mapInArrow(count, "id string").selectExpr("id", "if(id % 4 = 0, 'fourth', null) as reason")
+    good, bad = f"{tmp_path}/good", f"{tmp_path}/bad"
+    quarantine_stream(spark, f"{tmp_path}/lines", "id string", encode, good, bad, f"{tmp_path}/state").awaitTermination()
+    assert (read_sink(spark, good).count(), read_sink(spark, bad).count(), seen.value) == (15, 5, 20)
+
+
+def test_a_part_moves_only_the_files_it_names(spark):
+    from tokenloom.plans.encode import named_codecs
+
+    codecs = spark.range(1000).selectExpr("concat('npy/', id) as path", "array(array(cast(id as int))) as codec")
+    rows = spark.range(10).selectExpr("concat('npy/', id) as a", "if(id < 5, concat('npy/', id + 500), null) as b")
+    got = {r.path for r in named_codecs(rows, codecs, ["a", "b"]).collect()}
+    assert got >= {f"npy/{i}" for i in [*range(10), *range(500, 505)]} and len(got) < 30

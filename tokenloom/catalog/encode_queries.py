@@ -233,7 +233,7 @@ def t01_quarantine(spark, sf):
     cfg = E.EncodeConfig(X.ONE, instruction=_INSTRUCTION, interleave=True)
 
     def encode(rows):
-        return MF.encode_songs(rows, codecs, tok, cfg)
+        return MF.encode_songs(rows, codecs, tok, cfg, part=True)
 
     for part in (F.col("doc_id") % 3 != 0, F.col("doc_id") % 3 == 0):
         lines.where(part).select("value").write.mode("append").text(source)

@@ -33,6 +33,7 @@ from ..operators.prompts import reference_block, sample_prompt
 from ..operators.tokenizer import Tokenizer
 
 STAGE2_WINDOW = 300
+PATH_BITS = 22
 #: What one document is encoded from: lyric segments with codes, a whole text with a whole codec file, a text, or ids.
 UNITS = ("segments", "file", "text", "ids")
 
@@ -69,6 +70,16 @@ def attach_codecs(manifest: DataFrame, codecs: DataFrame, columns: list[str]) ->
     return out
 
 
+def named_codecs(manifest: DataFrame, codecs: DataFrame, columns: list[str]) -> DataFrame:
+    """``codecs`` without most of the files that no row of ``manifest`` names: for a small part of a manifest against the
+    files of all of it, which would be shuffled whole for each part. Paths are compared by ``PATH_BITS`` bits of a hash, so
+    the set that is sent to the scan has a bound; the few files that are kept by chance find no row in the join."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << PATH_BITS))
+    paths = manifest.select(F.explode(F.array(*columns)).alias("path")).where("path is not null")
+    named = paths.select(place("path").alias("__place")).distinct()
+    return codecs.join(F.broadcast(named), place(codecs["path"]) == F.col("__place"), "left_semi")
+
+
 def missing_files(manifest: DataFrame, codecs: DataFrame, column: str) -> DataFrame:
     return manifest.join(codecs.select(F.col("path").alias(column)), column, "left_anti")
 

@@ -12,7 +12,7 @@ from ..operators import validate as V
 from ..operators.tokenizer import Tokenizer
 from ..session import materialize
 from ..sources.manifests import FLAT_SCHEMA, SONG_SCHEMA, parse_manifest
-from .encode import EncodeConfig, attach_codecs, encode, encoder_name, to_sequences
+from .encode import EncodeConfig, attach_codecs, encode, encoder_name, named_codecs, to_sequences
 
 
 class Prepared(NamedTuple):
@@ -30,12 +30,13 @@ def manifest_schema(cfg: EncodeConfig) -> str:
     return FLAT_SCHEMA if kind in ("text", "file") else SONG_SCHEMA
 
 
-def encode_songs(rows: DataFrame, codecs: DataFrame, tokenizer: Tokenizer, cfg: EncodeConfig) -> DataFrame:
+def encode_songs(rows: DataFrame, codecs: DataFrame, tokenizer: Tokenizer, cfg: EncodeConfig, part: bool = False) -> DataFrame:
     """Parsed manifest rows to ``(id, ..., tokens, lengths, reason)``; further columns of ``rows`` are kept.
 
     Rows without a key or a column that the encoder needs get the reason ``missing_keys``, songs without lyrics
     ``no_segments``, rows whose codec file is missing or fails a check that of the encoder. ``codecs`` is ``(path, codec)``,
-    as ``read_codec`` gives it. Matrices move once, and only to rows that passed the checks that need none.
+    as ``read_codec`` gives it. Matrices move once, and only to rows that passed the checks that need none. With ``part``,
+    rows are a small part of what ``codecs`` holds files for (a micro-batch), and files that no row names stay where they are.
     """
     kind = encoder_name(cfg)
     lyrics, paths = "splitted_lyrics.segmented_lyrics", ["codec"]
@@ -51,6 +52,8 @@ def encode_songs(rows: DataFrame, codecs: DataFrame, tokenizer: Tokenizer, cfg:
     usable, unusable = V.quarantine(rows, V.first_reason(*checks))
     if kind in ("interleaved", "segments"):
         usable = usable.withColumn("segments", F.col(lyrics))
+    if part and paths:
+        codecs = named_codecs(usable, codecs, paths)
     found = attach_codecs(usable, codecs, paths)
     done = encode(found, "id", tokenizer, cfg, mixture="codec_matrix" if len(paths) == 3 else None)
     reason = F.col("reason") if "reason" in done.columns else F.lit(None).cast("string")

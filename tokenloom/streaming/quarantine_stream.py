@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import materialize
 from ..sources.manifests import parse_manifest
 
 BATCH = "batch_id"
@@ -36,7 +37,8 @@ def quarantine_stream(
 
     def store(batch: DataFrame, number: int) -> None:
         rows, malformed = parse_manifest(batch, schema)
-        done = encode(rows)
+        # Both folders read the encoded rows: they are saved once, so that joins and encoding are not done for each.
+        done = materialize(encode(rows), "encoded-batch")
         fine = F.col("reason").isNull()
         done.where(fine).drop("reason").write.mode("overwrite").parquet(f"{good}/{BATCH}={number}")
         kept = [c for c in done.columns if c not in ("tokens", "lengths")]
