@@ -228,3 +228,17 @@ def test_one_blend_per_split(spark):
     seqs, cfg = _seqs(spark), P.PackConfig(8)
     out = TN.build_splits(spark, seqs, {"train": B.Blend(("a",), (1,)), "test": B.Blend(("b",), (1,))}, [], {"train": 5, "test": 4}, cfg)
     assert {n: len({r.dataset_id for r in d.collect()}) for n, d in out.items()} == {"train": 1, "test": 1}
+
+
+def test_appended_stores_are_read_twice(spark, tmp_path):
+    """Once to number the documents and once for the result, whatever the stores are derived from."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    store = spark.range(10).selectExpr("id as doc_id", "'a' as dataset").mapInArrow(count, "doc_id bigint, dataset string")
+    got = ST.append_stores([store, store]).collect()
+    assert sorted(r.new_id for r in got) == list(range(20)) and seen.value == 40

@@ -84,7 +84,12 @@ def tokenized(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_seqs(spark: SparkSession, sf: str) -> DataFrame:
-    """The store with a row per line: ``(dataset, doc_id, seq_no, tokens, n_tokens)``."""
+    """The stored token table with a row per line, ``(dataset, doc_id, seq_no, tokens, n_tokens)``, written once per
+    session and folder."""
+    return _saved(spark.sparkContext.applicationId, spark, sf, cut_lines)
+
+
+def cut_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = sizes(spark, sf).withColumnRenamed("sizes", "lengths")
     return to_sequences(seqs(spark, sf).drop("n_tokens").join(lines, "doc_id"))
 

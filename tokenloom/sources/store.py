@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.sequences import sub_sequence
 from ..operators.order import dense_index, prefix_sums
+from ..session import materialize
 
 # ---- fixed values: bytes per token of each stored type -------------------------------------
 TYPE_BYTES = {
@@ -167,7 +168,8 @@ def append_stores(stores: Sequence[DataFrame], key: str = "doc_id", out: str = "
         part = store.withColumn("store_no", F.lit(i))
         parts = part if parts is None else parts.unionByName(part)
     ties = [c for c in ("dataset",) if c in parts.columns]
-    documents = parts.select("store_no", key, *ties).distinct()
+    # Numbering reads the documents several times; the stores are read once for them and once for the result.
+    documents = materialize(parts.select("store_no", key, *ties).distinct(), "append-documents")
     numbered = dense_index(documents, key, "__local", ["store_no"], ties=ties)
     counts = documents.groupBy("store_no").agg(F.count(F.lit(1)).alias("__n"))  # one row per store
     earlier = Window.orderBy("store_no").rowsBetween(Window.unboundedPreceding, -1)
