@@ -230,6 +230,16 @@ def test_one_blend_per_split(spark):
     assert {n: len({r.dataset_id for r in d.collect()}) for n, d in out.items()} == {"train": 1, "test": 1}
 
 
+def test_tables_are_read_in_their_parts(spark, tmp_path):
+    """A table in a few files with many row groups is not moved at each read; one part only is spread."""
+    from tokenloom.catalog import fixtures as X
+
+    spark.range(4000).selectExpr("id as doc_id", "repeat('x', 500) as text").repartition(1).write.parquet(f"{tmp_path}/one.parquet")
+    spark.range(4000).selectExpr("id as doc_id", "repeat('x', 500) as text").repartition(3).write.parquet(f"{tmp_path}/three.parquet")
+    moved = {n: "RepartitionByExpression" in X.table(spark, str(tmp_path), n)._jdf.queryExecution().optimizedPlan().toString() for n in ("one", "three")}
+    assert moved == {"one": True, "three": False}
+
+
 def test_appended_stores_are_read_twice(spark, tmp_path):
     """Once to number the documents and once for the result, whatever the stores are derived from."""
     seen = spark.sparkContext.accumulator(0)

@@ -125,3 +125,9 @@ def test_billions_and_missing_counts(spark):
     counts = spark.createDataFrame([("a.bin", 10)], "path string, n_tokens long")
     found, missing = MX.mixture_table(rounds, counts)
     assert found.count() == 1 and [r.path for r in missing.collect()] == ["b.bin"]
+
+
+def test_words_split_at_the_four_blanks_only(spark):
+    df = spark.createDataFrame([(1, " a b\t\tc\r\nd\x0be "), (2, None), (3, "")], "i int, t string")
+    got = {r.i: r.w for r in df.select("i", TK.words(F.col("t")).alias("w")).collect()}
+    assert got == {1: ["a b", "c", "d\x0be"], 2: None, 3: []}

@@ -30,11 +30,18 @@ FIRST_LAYERS = CodecOptions("xcodec", 0, 4)  # the same matrices in a codec with
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A driver table. One that comes in fewer files than there are cores is spread by its first
-    column, so that all cores get work; a table of many files is read as it is."""
+    """A driver table, read in the parts that its files and row groups give. Only one whose rows lie in less than half as
+    many parts as there are cores is spread by its first column, as that moves the whole table at each read."""
     df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, df.columns[0])
+    return df if 2 * _filled(spark.sparkContext.applicationId, spark, sf, name) >= cores else df.repartition(cores, df.columns[0])
+
+
+@lru_cache(maxsize=256)
+def _filled(app: str, spark: SparkSession, sf: str, name: str) -> int:
+    """Read tasks that get a row: a row group goes to one task. Counted from the files' row counts, no column is read."""
+    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return df.select(F.spark_partition_id().alias("part")).distinct().count()
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
