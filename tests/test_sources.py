@@ -252,3 +252,10 @@ def test_appended_stores_are_read_twice(spark, tmp_path):
     store = spark.range(10).selectExpr("id as doc_id", "'a' as dataset").mapInArrow(count, "doc_id bigint, dataset string")
     got = ST.append_stores([store, store]).collect()
     assert sorted(r.new_id for r in got) == list(range(20)) and seen.value == 40
+
+
+def test_saved_tables_are_packed(spark):
+    from tokenloom.session import materialize
+
+    saved = materialize(spark.range(1000), "packed")
+    assert saved.count() == 1000 and all(".zstd." in f for f in saved.inputFiles())
