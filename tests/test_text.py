@@ -1,3 +1,7 @@
+import re
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +159,36 @@ def test_words_split_at_the_four_blanks_only(spark):
     df = spark.createDataFrame([(1, " a b\t\tc\r\nd\x0be "), (2, None), (3, "")], "i int, t string")
     got = {r.i: r.w for r in df.select("i", TK.words(F.col("t")).alias("w")).collect()}
     assert got == {1: ["a b", "c", "d\x0be"], 2: None, 3: []}
+
+
+def test_words_of_a_batch_by_byte_masks(spark, vocab, capsys):
+    odd = [None, "", " ", "a", " a", "a ", "a\tb\r\nc", "é\u00a0ü  漢字\x0bx", "\n\n", "last", None, "x" * 50 + " y"]
+    want = [re.findall(r"[^ \n\t\r]+", t or "") for t in odd]
+    for texts in (pa.array(odd), pa.array(["skipped", *odd, "cut off"]).slice(1, len(odd)), pa.array(odd, pa.large_string())):
+        assert TK.split_words(texts).to_pylist() == want
+    assert TK.split_words(pa.array([], pa.string())).to_pylist() == [] == TK.split_words(pa.array([None], pa.string())).to_pylist()[0]
+    plain = TK.WordTokenizer(vocab)
+    docs = spark.createDataFrame([(t, [t, "b a"]) for t in odd], "t string, ts array<string>")
+    got = docs.select(plain.text_ids(F.col("t")), plain.nested_text_ids(F.col("ts"))).collect()
+    assert [tuple(r) for r in got] == [([{"a": 1, "b": 2, "c": 3}.get(x, 0) for x in w], [[{"a": 1, "b": 2, "c": 3}.get(x, 0) for x in w], [2, 1]]) for w in want]
+    # Words are counted and looked up where the texts are: no row per word, no list of words between JVM and Python.
+    TK.build_vocab(docs, "t").explain("extended")
+    docs.select(plain.text_ids(F.col("t")).alias("i")).explain()
+    plan = capsys.readouterr().out
+    assert "array_remove" not in plan and "split(" not in plan
+
+
+def test_words_are_added_up_within_bounds(monkeypatch):
+    texts = [f"w{i % 7} w{i} w{i % 3}\n" for i in range(200)]
+    want = Counter(w for t in texts for w in t.split())
+    for limit, size in ((1 << 20, 1 << 20), (16, 40), (500, 64)):
+        monkeypatch.setattr(TK, "COUNTED_WORDS", limit)
+        monkeypatch.setattr(TK, "SPLIT_BYTES", size)
+        parts = list(TK._count_words(pa.RecordBatch.from_arrays([pa.array(texts[i : i + 50])], names=["t"]) for i in range(0, 200, 50)))
+        got = Counter()
+        for b in parts:
+            for word, n in zip(b["token"].to_pylist(), b["n"].to_pylist()):
+                got[word] += n
+        assert got == want
+        assert sum(b.num_rows for b in parts) == len(want) or limit < 1 << 20
+    assert list(TK._count_words(iter([]))) == []

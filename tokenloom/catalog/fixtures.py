@@ -83,11 +83,9 @@ def songs(spark: SparkSession, sf: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, sf: str) -> DataFrame:
     """``(doc_id, dataset, tokens, n_tokens)``; plain words, no special tokens."""
-    split = documents(spark, sf).select(
-        "doc_id", F.col("source").alias("dataset"), words(F.col("text")).alias("w")
-    )
-    ids = tokenizer(spark, sf).word_ids(F.col("w"))
-    return split.select("doc_id", "dataset", ids.alias("tokens"), F.size("w").alias("n_tokens"))
+    ids = tokenizer(spark, sf).spaced_ids(F.col("text"))
+    found = documents(spark, sf).select("doc_id", F.col("source").alias("dataset"), "text", ids.alias("tokens"))
+    return found.select("doc_id", "dataset", "tokens", F.when(F.col("text").isNotNull(), F.size("tokens")).alias("n_tokens"))
 
 
 def line_seqs(spark: SparkSession, sf: str) -> DataFrame:
