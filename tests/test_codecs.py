@@ -75,3 +75,28 @@ def test_tail_and_bos(spark):
         S.sub_sequence(F.col("x"), F.lit(1), F.lit(None)).alias("e"), S.tail_tokens(F.col("x"), 16381).alias("f"),
     ).first()
     assert (r.a, r.b, r.c, r.d, r.e, r.f) == ([2, 3], [1, 2, 3], [32000, 1, 2, 3], [8, 1, 2, 3], [2, 3], [2, 3])
+
+
+def test_problems_by_least_and_greatest_codes(spark):
+    """The reasons that a look at each code gives, also for rows that are null, empty, or hold nulls."""
+    rows = [None, [], [None], [1, None], [-1], [1024], [1023, 0], [None, 2000], [5, 6]]
+    cases = [[r] for r in rows] + [[a, b] for a in rows for b in rows] + [[a, b] * 6 for a in rows for b in rows] + [None, []]
+    seen = set()
+    for opts in (C.CodecOptions("xcodec", 0, 1), C.CodecOptions("xcodec", 1, 2), C.CodecOptions("xcodec", 0, 2)):
+
+        sizes, m, k = C.int_array(opts.spec.sizes), F.col("m"), F.size("m")
+        bad = F.exists(F.transform(m, lambda row, i: F.exists(row, lambda x: (x < 0) | (x >= F.get(sizes, i)))), lambda b: b)
+        ids = C.codes_to_ids(m, opts)
+        found = C.detect_codec(F.array_min(ids), F.array_max(ids))
+        want = (
+            F.when(m.isNull() | (F.coalesce(k, F.lit(0)) <= 0) | (C.n_frames(m) <= 0), "empty_codes")
+            .when(~k.isin(12, opts.n_quantizer) | (k < opts.quantizer_begin + opts.n_quantizer), "codebook_count")
+            .when(F.exists(m, lambda row: F.size(row) != C.n_frames(m)), "ragged_codes")
+            .when(bad, "code_out_of_range")
+            .when(F.coalesce(found != F.lit("xcodec"), F.lit(True)), "codec_range")
+        )
+        df = spark.createDataFrame([(i, m) for i, m in enumerate(cases)], "i int, m array<array<int>>")
+        got = df.select("m", C.codes_problem(m, opts).alias("got"), want.alias("want")).collect()
+        assert [r for r in got if r["got"] != r["want"]] == []
+        seen |= {r["got"] for r in got}
+    assert seen == {None, "empty_codes", "codebook_count", "ragged_codes", "code_out_of_range", "codec_range"}

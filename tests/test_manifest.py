@@ -8,6 +8,7 @@ from tokenloom.operators.pack import PackConfig
 from tokenloom.operators.tokenizer import WordTokenizer
 from tokenloom.plans import encode as E
 from tokenloom.plans import manifest as MF
+from tokenloom.sources.manifests import parse_manifest
 from tokenloom.streaming.quarantine_stream import quarantine_stream, read_sink
 
 ONE = CodecOptions("xcodec", 0, 1)
@@ -44,6 +45,21 @@ def test_manifest_to_samples(spark):
     assert sorted((r.sample, r.tokens) for r in samples) == [(i, stream[32 * i : 32 * i + 33]) for i in range((len(stream) - 1) // 32)]
 
 
+def test_manifest_lines_are_parsed_once(spark, capsys):
+    lines, codecs, tok = _inputs(spark)
+    prepared = MF.prepare_manifest(lines, codecs, tok, E.EncodeConfig(ONE, instruction="one", interleave=True), F.lit("set"))
+    assert [r.line for r in prepared.rejected.where("line is not null").collect()] == [_song(5)[:-9]]
+    capsys.readouterr()
+    prepared.rejected.explain()
+    rows, bad = parse_manifest(lines, MF.manifest_schema(E.EncodeConfig()), save=True)
+    rows.explain()
+    bad.explain()
+    plans = capsys.readouterr().out
+    assert "Physical Plan" in plans and "from_json" not in plans
+    again, worse = parse_manifest(lines, MF.manifest_schema(E.EncodeConfig()))
+    assert sorted(map(str, rows.collect())) == sorted(map(str, again.collect())) and bad.collect() == worse.collect()
+
+
 def test_streams_keep_rejects_apart_and_resume(spark, tmp_path):
     lines, codecs, tok = _inputs(spark)
     cfg = E.EncodeConfig(ONE, instruction="one", interleave=True)

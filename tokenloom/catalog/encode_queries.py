@@ -207,9 +207,10 @@ def _manifest_rows(spark, sf):
     )
 
 
-def _manifest_lines(spark, sf):
+def _manifest_lines(spark, sf, width=None):
     n = F.col("doc_id")
-    rows = _manifest_rows(spark, sf).withColumn("doc_id", F.col("id").cast("bigint")).withColumn("genres", F.when(n % 8 != 2, F.col("genres")))
+    rows = _manifest_rows(spark, sf).withColumn("doc_id", F.col("id").cast("bigint"))
+    rows = rows.withColumn("id", F.lpad("id", width, "0") if width else F.col("id")).withColumn("genres", F.when(n % 8 != 2, F.col("genres")))
     line = F.to_json(F.struct(*[c for c in rows.columns if c != "doc_id"]))
     return rows.select("doc_id", F.when(n % 9 == 4, F.substring(line, F.lit(1), F.length(line) - 7)).otherwise(line).alias("value"))
 
@@ -255,8 +256,7 @@ _MANIFEST_SAMPLES = (
 # From nested JSON lines over codec files to packed samples; documents in the order of their ids.
 @query("j01_manifest_samples", _PLAIN_CTES.rstrip() + _MANIFEST_SAMPLES)
 def j01_samples(spark, sf):
-    id_ = F.regexp_replace("value", '"id":"([0-9]+)"', F.concat(F.lit('"id":"'), F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit('"')))
-    lines = _manifest_lines(spark, sf).select(id_.alias("value"))
+    lines = _manifest_lines(spark, sf, 12).select("value")
     sources = X.documents(spark, sf).select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("id"), F.col("source").alias("dataset"))
     cfg = E.EncodeConfig(X.ONE, instruction=_INSTRUCTION, interleave=True)
     prepared = MF.prepare_manifest(lines, X.codec_files(spark, sf), X.tokenizer(spark, sf, True), cfg, F.lit(""))

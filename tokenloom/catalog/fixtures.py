@@ -13,14 +13,16 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.binding import let
 from ..functions.codecs import CodecOptions
 from ..functions.text import MARKERS
 from ..operators.order import dense_index
-from ..operators.tokenizer import WordTokenizer, build_vocab, words
+from ..operators.tokenizer import WordTokenizer, build_vocab, split_words, text_slices, words
 from ..plans.encode import to_sequences
 from ..session import materialize
 
@@ -105,29 +107,39 @@ def sizes(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select("doc_id", per_line.alias("sizes"))
 
 
+def _frames(texts: pa.Array) -> pa.Array:
+    """Words per line, words before each line, and two codes per word of each text."""
+    parts = []
+    for some in text_slices(texts):
+        lines = pc.split_pattern(pc.fill_null(some, ""), "\n")
+        found = split_words(lines.values)
+        of_lines, lines_at = found.offsets.to_numpy(), lines.offsets.to_numpy()
+        words_at = of_lines[lines_at]
+        t = np.arange(len(found.values)) - np.repeat(words_at[:-1], np.diff(words_at))
+        n = pc.utf8_length(found.values).to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = of_lines[:-1] - np.repeat(words_at[:-1], np.diff(lines_at))
+        flat = [(np.diff(of_lines), lines_at), (begins, lines_at), ((n * 37 + t * 13) % 1024, words_at), ((n * 59 + t * 29) % 1024, words_at)]
+        lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(v, pa.int32())) for v, at in flat]
+        parts.append(pa.StructArray.from_arrays(lists, ["sizes", "begins", "vocals", "instrumental"], mask=some.is_null()))
+    return pa.concat_arrays(parts)
+
+
 def derived_songs(spark: SparkSession, sf: str) -> DataFrame:
     """One song per document with inlined stems; see the module text."""
-    d = documents(spark, sf).select("doc_id", "lang", "source", "text", words(F.col("text")).alias("w"))
-    lines = F.transform(
-        F.split("text", "\n"), lambda line: F.struct(line.alias("t"), F.size(words(line)).alias("n"))
-    )
-    d = d.withColumn("lines", lines).withColumn("n", F.size("w"))
+    frames = F.arrow_udf(_frames, "sizes array<int>, begins array<int>, vocals array<int>, instrumental array<int>")
+    d = documents(spark, sf).select("doc_id", "lang", "source", "text", frames("text").alias("f"))
+    d = d.select("*", "f.*", F.size("f.vocals").alias("n"))
 
-    def begin(all_lines: Column, i: Column) -> Column:
-        return F.aggregate(F.slice(all_lines, F.lit(1), i), F.lit(0), lambda a, x: a + x["n"])
-
-    def segment(x: Column, b: Column) -> Column:
+    def segment(line: Column, i: Column) -> Column:
+        n, b = F.get("sizes", i), F.get("begins", i)
         return F.struct(
-            x["t"].alias("line_content"),
-            (x["n"] / F.lit(50.0)).alias("duration"),
+            line.alias("line_content"),
+            (n / F.lit(50.0)).alias("duration"),
             b.alias("codec_frame_start"),
-            (b + x["n"]).alias("codec_frame_end"),
+            (b + n).alias("codec_frame_end"),
         )
 
-    segments = let(
-        F.col("lines"), lambda ls: F.transform(ls, lambda x, i: let(begin(ls, i), lambda b: segment(x, b)))
-    )
-    code = lambda a, b: (lambda x, t: (F.length(x) * a + t * b) % 1024)
+    segments = F.transform(F.split("text", "\n"), segment)
     kept = F.greatest(F.col("n") - (F.col("doc_id") % 14).cast("int"), F.lit(0))
     msa = F.when(
         F.col("doc_id") % 3 == 0,
@@ -145,8 +157,8 @@ def derived_songs(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws(" ", "lang", "source").alias("genres"),
         (F.col("n") / F.when(F.col("doc_id") % 11 == 3, 40.0).otherwise(50.0)).alias("audio_length_in_sec"),
         segments.alias("segments"),
-        F.array(F.transform("w", code(37, 13))).alias("vocals_codec_matrix"),
-        F.array(F.transform(F.slice("w", F.lit(1), kept), code(59, 29))).alias("instrumental_codec_matrix"),
+        F.array("vocals").alias("vocals_codec_matrix"),
+        F.array(F.slice("instrumental", F.lit(1), kept)).alias("instrumental_codec_matrix"),
         msa.alias("msa"),
     )
 

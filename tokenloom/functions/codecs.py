@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .binding import let
+from .binding import let, let_all
 
 # ---- fixed values: vocabulary layout -------------------------------------------------------
 SPECIAL_TOKENS = {
@@ -242,17 +242,20 @@ def _codes_problem(matrix: Column, opts: CodecOptions) -> Column:
     spec = opts.spec
     k = F.size(matrix)
     sizes = int_array(spec.sizes)
+    # Least and greatest codes tell as much as all of them, and are found without a call per code.
     bad_value = F.exists(
         F.transform(
             matrix,
-            lambda row, i: F.exists(
-                row, lambda x: (x < 0) | (x >= F.coalesce(F.get(sizes, i), F.lit(min(spec.sizes))))
-            ),
+            lambda row, i: (F.array_min(row) < 0) | (F.array_max(row) >= F.coalesce(F.get(sizes, i), F.lit(min(spec.sizes)))),
         ),
         lambda b: b,
     )
     ragged = F.exists(matrix, lambda row: F.size(row) != n_frames(matrix))
-    found = let(codes_to_ids(matrix, opts), lambda ids: detect_codec(F.array_min(ids), F.array_max(ids)))
+    bases = int_array(opts.bases)
+    layers = F.slice(matrix, opts.quantizer_begin + 1, opts.n_quantizer)
+    low = F.array_min(F.transform(layers, lambda row, i: F.array_min(row) + F.get(bases, i)))
+    high = F.array_max(F.transform(layers, lambda row, i: F.array_max(row) + F.get(bases, i)))
+    found = let_all(detect_codec, low=low, high=high)
     return (
         F.when(matrix.isNull() | (F.coalesce(k, F.lit(0)) <= 0) | (n_frames(matrix) <= 0), "empty_codes")
         .when(~k.isin(spec.num_codebooks, opts.n_quantizer), "codebook_count")

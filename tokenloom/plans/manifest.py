@@ -16,7 +16,7 @@ from .encode import EncodeConfig, attach_codecs, encode, encoder_name, named_cod
 
 
 class Prepared(NamedTuple):
-    """``documents`` has ``(id, dataset, tokens, lengths)``, ``rejected`` has ``(id, reason, line)``; both are saved."""
+    """``documents`` has ``(id, dataset, tokens, lengths)``, ``rejected`` has ``(id, reason, line)``; both are read from saved tables."""
 
     documents: DataFrame
     rejected: DataFrame
@@ -69,7 +69,7 @@ def prepare_manifest(
 ) -> Prepared:
     """JSON lines (``manifest_schema``) to documents and rejects; lines that are no JSON are rejected as ``malformed``.
     ``dataset`` is computed from the manifest's columns."""
-    rows, malformed = parse_manifest(lines, manifest_schema(cfg), value)
+    rows, malformed = parse_manifest(lines, manifest_schema(cfg), value, save=True)
     done = encode_songs(rows.withColumn("dataset", dataset), codecs, tokenizer, cfg)
     done = materialize(done.select("id", "dataset", "tokens", "lengths", "reason"), "encoded")
     none = F.lit(None).cast("string")

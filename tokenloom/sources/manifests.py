@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import has_extension
 from ..operators.order import dense_index
+from ..session import materialize
 
 CORRUPT = "_corrupt"
 
@@ -37,14 +38,19 @@ def read_manifest(
     return parse_manifest(spark.read.text(path), schema)
 
 
-def parse_manifest(lines: DataFrame, schema: str | T.StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split JSON lines into parsed good rows and malformed lines."""
+def parse_manifest(
+    lines: DataFrame, schema: str | T.StructType, col: str = "value", save: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Split JSON lines into parsed good rows and malformed lines. With ``save``, lines are parsed once and what they hold is
+    saved; without it, every plan that reads rows or malformed lines parses them, some more than once."""
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = lines.where(F.length(F.trim(col)) > 0).select(
-        F.col(col).alias("line"),
         F.from_json(col, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"),
+        *([] if save else [F.col(col).alias("line")]),
     )
+    if save:  # a malformed line is the record that could not be read
+        parsed = materialize(parsed, "manifest").withColumn("line", F.col(f"r.{CORRUPT}"))
     bad = F.col(f"r.{CORRUPT}").isNotNull()
     good = parsed.where(~bad).select(*[F.col(f"r.`{f.name}`").alias(f.name) for f in fields.fields])
     return good, parsed.where(bad).select("line")
