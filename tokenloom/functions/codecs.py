@@ -253,6 +253,8 @@ def _codes_problem(matrix: Column, opts: CodecOptions) -> Column:
     ragged = F.exists(matrix, lambda row: F.size(row) != n_frames(matrix))
     bases = int_array(opts.bases)
     layers = F.slice(matrix, opts.quantizer_begin + 1, opts.n_quantizer)
+    if opts.n_quantizer > 1:  # several layers have no ids without a first row, which tells their number of frames
+        layers = F.when(n_frames(matrix) > 0, layers)
     low = F.array_min(F.transform(layers, lambda row, i: F.array_min(row) + F.get(bases, i)))
     high = F.array_max(F.transform(layers, lambda row, i: F.array_max(row) + F.get(bases, i)))
     found = let_all(detect_codec, low=low, high=high)
