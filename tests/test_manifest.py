@@ -115,3 +115,27 @@ def test_a_part_moves_only_the_files_it_names(spark):
     rows = spark.range(10).selectExpr("concat('npy/', id) as a", "if(id < 5, concat('npy/', id + 500), null) as b")
     got = {r.path for r in named_codecs(rows, codecs, ["a", "b"]).collect()}
     assert got >= {f"npy/{i}" for i in [*range(10), *range(500, 505)]} and len(got) < 30
+
+
+def test_rows_move_once_to_their_matrices(spark, capsys):
+    """Also rows that name no file, a missing one, the same files as others, or codes beyond 16 bits."""
+    files = {"a": [[1, 2], [3, 4]], "b": [[70_000, -70_000]], "c": [[5, None]], "d": [], "e": [[-40_000], [1]], "f": [None, [1]], "g": None}
+    names = [*files, "absent", None]
+    rows = [(i, v, w, f"text {i}") for i, (v, w) in enumerate([(v, w) for v in names for w in names] + [("a", "b")] * 3 + [(None, None)] * 2)]
+    manifest = spark.createDataFrame(rows, "id int, v string, w string, lyrics string")
+    codecs = spark.createDataFrame(list(files.items()), "path string, codec array<array<int>>")
+    for columns in (["v", "w"], ["v"], []):
+        got = E.attach_codecs(manifest, codecs, columns)
+        assert got.columns == [*manifest.columns, *(f"{c}_matrix" for c in columns)] and all(got.schema[f"{c}_matrix"].dataType == codecs.schema["codec"].dataType for c in columns)
+        where = {"v": 1, "w": 2}
+        assert sorted(tuple(r) for r in got.select("id", *[F.to_json(f"{c}_matrix") for c in columns]).collect()) == sorted(
+            (r[0], *(None if files.get(r[where[c]]) is None else json.dumps(files[r[where[c]]], separators=(",", ":")) for c in columns)) for r in rows
+        )
+    capsys.readouterr()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        E.attach_codecs(manifest, codecs, ["v", "w"]).explain("formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = [p for p in capsys.readouterr().out.split("\n\n") if ") Exchange\n" in p and "lyrics" in p]
+    assert len(moves) == 1

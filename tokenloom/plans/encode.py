@@ -34,6 +34,7 @@ from ..operators.tokenizer import Tokenizer
 
 STAGE2_WINDOW = 300
 PATH_BITS = 22
+CODES = T.ArrayType(T.ArrayType(T.IntegerType()))
 #: What one document is encoded from: lyric segments with codes, a whole text with a whole codec file, a text, or ids.
 UNITS = ("segments", "file", "text", "ids")
 
@@ -62,12 +63,27 @@ class EncodeConfig:
 
 def attach_codecs(manifest: DataFrame, codecs: DataFrame, columns: list[str]) -> DataFrame:
     """Replace codec paths by their matrices (columns ``<name>_matrix``); a missing file leaves a
-    null. Filter the manifest before calling: the matrices make up nearly all bytes."""
-    out = manifest
+    null. Filter the manifest before calling: the matrices make up nearly all bytes.
+
+    Matrices of several columns are gathered for the paths that rows name together, so the rows themselves, with their
+    texts, move once however many columns there are. ``manifest`` is read twice then: save one that is costly to compute."""
+    matrix, matrix_type = F.col("codec"), codecs.schema["codec"].dataType
+    if matrix_type == CODES:  # codes that fit into 16 bits move as such
+        codes = F.flatten(matrix)
+        fits = F.coalesce((F.array_min(codes) >= -(1 << 15)) & (F.array_max(codes) < 1 << 15), F.lit(False))
+        moved = [F.when(fits, matrix.try_cast("array<array<smallint>>")), F.when(~fits, matrix)]
+    else:
+        moved = [matrix]
+    many = len(columns) > 1
+    found = manifest.select(*[F.col(c).alias(f"__at_{c}") for c in columns]).distinct() if many else manifest
     for name in columns:
-        matrices = codecs.select(F.col("path").alias(name), F.col("codec").alias(f"{name}_matrix"))
-        out = out.join(matrices, name, "left")
-    return out
+        at = f"__at_{name}" if many else name
+        found = found.join(codecs.select(F.col("path").alias(at), *[m.alias(f"__m{i}_{name}") for i, m in enumerate(moved)]), at, "left")
+    if many:
+        same = [F.col(c).eqNullSafe(F.col(f"__at_{c}")) for c in columns]
+        found = manifest.join(found, same, "left")
+    matrices = [F.coalesce(*[F.col(f"__m{i}_{c}").cast(matrix_type) for i in range(len(moved))]).alias(f"{c}_matrix") for c in columns]
+    return found.select(*manifest.columns, *matrices)
 
 
 def named_codecs(manifest: DataFrame, codecs: DataFrame, columns: list[str]) -> DataFrame:

@@ -36,7 +36,7 @@ def quarantine_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def store(batch: DataFrame, number: int) -> None:
-        rows, malformed = parse_manifest(batch, schema)
+        rows, malformed = parse_manifest(batch, schema, save=True)
         # Both folders read the encoded rows: they are saved once, so that joins and encoding are not done for each.
         done = materialize(encode(rows), "encoded-batch")
         fine = F.col("reason").isNull()
