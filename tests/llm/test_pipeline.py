@@ -1,5 +1,8 @@
+import uuid
+
 import __spark_entry__ as entry
 import corpus_pipeline
+from tokenloom import session
 
 
 def test_stages(spark, data_dir):
@@ -43,6 +46,16 @@ def test_one_row_of_each_component(spark, data_dir):
     assert got == sorted([(2, a + " end"), (2, b + " end"), (None, c), (9, ""), (9, ""), (None, None)], key=repr)
 
 
+def test_tables_go_when_they_are_read(spark, data_dir, tmp_path, monkeypatch):
+    """After stage 3 its narrow tables are left, of the whole run no stage's result but the last."""
+    monkeypatch.setattr(session, "scratch_path", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    left = lambda: {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    kept = corpus_pipeline.near_duplicates(spark, corpus_pipeline.documents(spark, data_dir), data_dir)
+    assert {"signatures", "classes"} <= left() <= {"signatures", "classes", "links", "roots"} and kept.count()
+    got = corpus_pipeline.run(spark, data_dir)
+    assert left() & {name for name, _ in corpus_pipeline.STAGES} == {"packing"} and got.count()
+
+
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and sorted(int(x[2:].split("_")[0]) for x in names if x.startswith("op")) == list(range(1, 11))
