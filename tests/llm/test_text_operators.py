@@ -184,6 +184,28 @@ def test_join_of_shared_phrases(spark, monkeypatch, short, block):
     assert sorted((tuple(r) for r in got), key=repr) == components(rows)
 
 
+def test_block_pairs_move_in_waves(spark, monkeypatch):
+    """Small blocks are many pairs, more than move at once; the waves find what one would."""
+    rows = list(enumerate(_sharing(350, 3)))
+    saved, materialize = [], ngram_join.materialize
+    for name, value in (("SHORT", 2), ("BLOCK", 6), ("ROOM", 1), ("FILTER", 1 << 15), ("POST_WAVES", 3)):
+        monkeypatch.setattr(ngram_join, name, value)
+    monkeypatch.setattr(ngram_join, "materialize", lambda df, name: saved.append(name) or materialize(df, name))
+    got = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == components(rows)
+    assert saved.count("lists") == 3 and saved.count("near") > 2
+
+
+def test_only_wanted_texts_pass(spark):
+    """All wanted texts pass the bitmap, and nearly no others: only what passes is moved."""
+    keys = spark.range(20_000).select(F.col("id").alias("id_key"), F.xxhash64("id").alias("text_key"), F.lit(1).cast("bigint").alias("n_bytes"), F.col("id").cast("string").alias("text"))
+    wanted = keys.where("id_key % 10 = 0")
+    passing = keys.withColumn("slot", ngram_join._slot()).mapInArrow(ngram_join._passing(ngram_join.slots_of(wanted)), keys.schema)
+    got = {r.id_key for r in passing.collect()}
+    assert got >= set(range(0, 20_000, 10)) and len(got) < 2_050
+    assert not ngram_join.slots_of(wanted.limit(0)).any()
+
+
 def test_join_with_one_shingle_in_all_prefixes(spark):
     """2,000 texts share three quarters of their shingles but do not link; a few have a copy that does."""
     shared = [f"s{x}" for x in range(34)]
